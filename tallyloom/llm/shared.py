@@ -149,3 +149,56 @@ def text_weight(df: DataFrame, column: str = "text") -> tuple[int, int]:
     """Rows and text bytes."""
     row = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(column))).first()
     return row[0], row[1] or 0
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The given words, in order, each followed by one space: (bytes, starts, ends)."""
+    new_ends = np.cumsum(ends - starts + 1) - 1
+    new_starts = new_ends - (ends - starts)
+    out = np.full(int(new_ends[-1]) + 1 if len(new_ends) else 0, 0x20, np.uint8)
+    out[covered(len(out), new_starts, new_ends)] = data[covered(len(data), starts, ends)]
+    return out, new_starts, new_ends
+
+
+def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of n places lie in one of the ranges, which don't overlap."""
+    change = np.zeros(n + 1, np.int8)
+    change[starts] += 1
+    change[ends] -= 1
+    return np.cumsum(change[:-1], dtype=np.int8).astype(bool)
+
+
+def in_blocks(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[DataFrame, int, int]:
+    """docs with a column `block` of about block_bytes text bytes each, the number of blocks and of text bytes.
+
+    The block hangs on doc_id and text alone, so each pass over the table forms the same blocks.
+    """
+    _, size = text_weight(docs)
+    blocks = max(1, -(-size // block_bytes))
+    return docs.select(*columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")), blocks, size
+
+
+def sorted_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
+
+
+def packed(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values).tobytes()
+
+
+def unpacked(column: pa.ChunkedArray | pa.Array, dtype: type = np.uint64) -> np.ndarray:
+    """All values of a column of packed arrays, in row order."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
+def by_shard(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of hashes by shard and, for each shard present, its number and first place (one more entry than shards)."""
+    shard = (hashes % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    numbers, first = np.unique(shard[order], return_index=True)
+    return order, numbers, np.append(first, len(hashes))

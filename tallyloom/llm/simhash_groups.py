@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_groups
-from .shared import LOWER, kept, steps, strings, word_spans
+from .shared import LOWER, joined_words, kept, steps, strings, word_spans
 
 LIMIT = 4
 SHINGLE = 4
@@ -36,18 +36,7 @@ def simhash_batch(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
         data = LOWER[data]
         starts, ends, first = word_spans(data, offsets)
         n_words = np.diff(first)
-        # words joined by one space: word bytes stay, and one byte after each word becomes the space
-        lengths = ends - starts
-        new_ends = np.cumsum(lengths + 1) - 1
-        new_starts = new_ends - lengths
-        joined = np.full(int(new_ends[-1]) + 1 if len(new_ends) else 0, 0x20, np.uint8)
-        word = np.zeros(len(data) + 1, np.int8)
-        word[starts] += 1
-        word[ends] -= 1
-        target = np.zeros(len(joined) + 1, np.int8)
-        target[new_starts] += 1
-        target[new_ends] -= 1
-        joined[np.cumsum(target[:-1], dtype=np.int8).astype(bool)] = data[np.cumsum(word[:-1], dtype=np.int8).astype(bool)]
+        joined, new_starts, new_ends = joined_words(data, starts, ends)
         n_shingles = np.where(n_words >= shingle, n_words - shingle + 1, np.minimum(n_words, 1))
         total = int(n_shingles.sum())
         begin = np.repeat(first[:-1] - np.concatenate([[0], np.cumsum(n_shingles)[:-1]]), n_shingles) + np.arange(total)
