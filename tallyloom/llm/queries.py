@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .pattern_packing import packed_documents
 from .shared import table
 from .simhash_groups import simhash_groups
 from .substring_dedup import remove_repeats
 
 
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.withColumn("length", F.col("length").cast("long"))
+
+
 def op7_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -23,24 +31,24 @@ def op8_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), x -> x <> '') AS words FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS words FROM documents
 ), p AS (
-  SELECT doc_id, words, unnest(range(0, len(words) - 34)) AS at FROM w WHERE len(words) >= 35
+  SELECT doc_id, words, unnest(range(0, len(words) - 34)) AS pos FROM w WHERE len(words) >= 35
 ), h AS (
-  SELECT doc_id, at, array_to_string(words[at + 1 : at + 35], ' ') AS passage FROM p
+  SELECT doc_id, pos, array_to_string(words[pos + 1 : pos + 35], ' ') AS passage FROM p
 ), r AS (
-  SELECT doc_id, at FROM h WHERE passage IN (SELECT passage FROM h GROUP BY passage HAVING count(*) > 1)
+  SELECT doc_id, pos FROM h WHERE passage IN (SELECT passage FROM h GROUP BY passage HAVING count(*) > 1)
 ), gone AS (
-  SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(at, at + 35)) AS i FROM r) GROUP BY doc_id
+  SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(pos, pos + 35)) AS i FROM r) GROUP BY doc_id
 )
 SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(list_filter(words, (x, i) -> gone IS NULL OR NOT list_contains(gone, i - 1)), ' ')) AS kept_sha256
+       sha256(array_to_string(list_filter(words, lambda x, i: gone IS NULL OR NOT list_contains(gone, i - 1)), ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_substring_doubling, op8_simhash_gray)}
+    return {f.__name__: f for f in (op2_pattern_packing, op7_substring_doubling, op8_simhash_gray)}
 
 
 def oracle_sql() -> dict[str, str]:
