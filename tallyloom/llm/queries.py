@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .gif_media import read_back, with_gif
 from .pattern_packing import packed_documents
 from .shared import table
 from .simhash_groups import simhash_groups
@@ -29,6 +30,10 @@ def op8_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back(with_gif(table(spark, sf_dir, "documents")))
+
+
 OP7_SQL = """
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS words FROM documents
@@ -48,7 +53,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pattern_packing, op7_substring_doubling, op8_simhash_gray)}
+    return {f.__name__: f for f in (op2_pattern_packing, op7_substring_doubling, op8_simhash_gray, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
