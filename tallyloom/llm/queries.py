@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .gif_media import read_back, with_gif
+from .html_blocks import extract_main_text
 from .pattern_packing import packed_documents
 from .shared import table
 from .simhash_groups import simhash_groups
@@ -30,6 +31,10 @@ def op8_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(with_gif(table(spark, sf_dir, "documents")))
 
@@ -53,7 +58,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pattern_packing, op7_substring_doubling, op8_simhash_gray, op10_gif_media)}
+    return {f.__name__: f for f in (op2_pattern_packing, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
