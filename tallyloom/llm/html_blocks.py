@@ -59,6 +59,19 @@ LABELLED = """
 6 0 14 0 7 0 0 1 1 1
 5 40 6 0 8 0 0 1 1 1
 1 0 5 0 4 0 0 1 1 1
+2 0 10 0 2 0 1 0 1 1
+2 0 2 0 12 0 0 0 1 1
+1 0 1 0 11 0 0 0 1 1
+3 0 3 0 9 0 0 0 1 1
+1 0 200 0 10 0 0 0 1 1
+4 0 1 100 6 100 0 0 1 1
+2 50 4 100 3 100 1 0 1 1
+5 100 3 100 2 100 0 1 1 1
+8 0 5 100 40 0 0 1 1 1
+12 0 1 0 2 100 0 0 1 1
+80 90 3 100 7 100 0 0 1 1
+6 0 0 0 0 0 1 0 1 1
+2 0 0 0 0 0 0 0 1 1
 70 0 9 0 65 0 0 0 0 1
 85 0 70 0 90 0 0 0 0 1
 33 0 85 0 28 0 0 0 0 1
