@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .gif_media import read_back, with_gif
 from .html_blocks import extract_main_text
+from .license_rules import scan_licenses
 from .pattern_packing import packed_documents
 from .shared import table
 from .simhash_groups import simhash_groups
@@ -22,6 +23,10 @@ def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("length", F.col("length").cast("long"))
 
 
+def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -58,7 +63,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pattern_packing, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
+    return {f.__name__: f for f in (op2_pattern_packing, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
