@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .edit_fingerprint import fingerprint_documents
 from .gif_media import read_back, with_gif
 from .html_blocks import extract_main_text
+from .kneser_ney import classify_quality
 from .license_rules import scan_licenses
 from .pattern_packing import packed_documents
 from .shared import table
@@ -17,12 +20,18 @@ from .substring_dedup import remove_repeats
 
 
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    out = packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    out = packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return out.withColumn("length", F.col("length").cast("long"))
 
 
+def op3_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -63,7 +72,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pattern_packing, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
+    return {f.__name__: f for f in (op2_pattern_packing, op3_edit_fingerprint, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
