@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 from tallyloom.llm.pattern_packing import Places, WordEncoder, best_fit, exact_patterns, packed_documents, packing_plan
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def check_pack(rows, docs, capacity=2048):
@@ -38,7 +39,7 @@ def check_pack(rows, docs, capacity=2048):
 def test_whole_documents(spark, sf):
     frame = spark.read.parquet(f"{sf}/documents.parquet")
     docs = [(r.doc_id, r.text) for r in frame.collect()]
-    used, least = check_pack(packed_documents(frame, PATH).collect(), docs)
+    used, least = check_pack(packed_documents(frame, PATH, ranks_path=RANKS).collect(), docs)
     assert used <= 1.03 * least + 1
 
 
@@ -46,13 +47,14 @@ def test_edges(spark):
     docs = [(1, None), (2, ""), (3, "  two  spaces "), (None, "x"), (None, "x"), (4, "é\n\n b  \n c  d <|endoftext|> e"), (5, "word " * 9000), (6, " \n "), (7, "a \nb\t c"), (8, "x" * 100000)]
     frame = spark.createDataFrame([(d, t, 1, 2) for d, t in docs], "doc_id long, text string, length int, sequence_id long")
     check_pack(packed_documents(frame, PATH).collect(), docs)
+    check_pack(packed_documents(frame, PATH, ranks_path=RANKS).collect(), docs)
     assert packed_documents(frame.limit(0), PATH).count() == 0
 
 
 def test_encoder_matches(sf):
-    e = WordEncoder(PATH)
-    texts = ["", " ", "a", " a", "a  b", "don't stop", "x\n y", "x \n\ny z", "1234 5.6!! ..", "ÉÈ ü　 w"]
-    assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    texts = ["a\tb c\td\t e", "x\u00a0 y \u00a0z w\u2028 v", "a\x00 b\x1c c\r d","", " ", "a", " a", "a  b", "don't stop", "x\n y", "x \n\ny z", "1234 5.6!! ..", "ÉÈ ü　 w"]
+    for e in (WordEncoder(PATH), WordEncoder(PATH, RANKS)):
+        assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_plan_uses_each_length_as_often_as_it_is():
