@@ -8,6 +8,8 @@ so the operator has no shuffle and no group that could grow.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,89 +20,88 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # The phrases that are always reported, with their labels.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
-# License families. Label, names (regular expressions over words), versions (empty: without), and a word
-# that every text with one of the names has.
+# License families. Label, names (regular expressions over words) and versions (empty: without).
 FAMILIES = """
-agpl | gnu affero general public license; affero general public license; gnu agpl; agpl | 1 0; 3 0; 1; 3 | affero; agpl
-lgpl | gnu lesser general public license; lesser general public license; gnu library general public license; gnu lgpl; lgpl | 2 0; 2 1; 3 0; 2; 3 | lesser; library; lgpl
-gpl | gnu general public licen[cs]e; general public licen[cs]e; gnu gpl; gpl | 1 0; 2 0; 3 0; 1; 2; 3 | gnu; gpl
-gfdl | gnu free documentation license; gfdl | 1 1; 1 2; 1 3 | gnu; gfdl
-apache | apache licen[cs]e; apache software licen[cs]e; apache public license; asl | 1 0; 1 1; 2 0; 2 | apache; asl
-mit | mit licen[cs]e; expat licen[cs]e; x11 licen[cs]e; mit x11; mit expat | | mit; expat; x11
-bsd | bsd licen[cs]e; bsd style licen[cs]e; new bsd licen[cs]e; modified bsd licen[cs]e; simplified bsd licen[cs]e; freebsd licen[cs]e; bsd | 0 clause; 1 clause; 2 clause; 3 clause; 4 clause | bsd; freebsd
-mpl | mozilla public licen[cs]e; mpl | 1 0; 1 1; 2 0; 2 | mozilla; mpl
-epl | eclipse public licen[cs]e; epl | 1 0; 2 0; 2 | eclipse; epl
-edl | eclipse distribution licen[cs]e; edl | 1 0 | eclipse; edl
-cddl | common development and distribution licen[cs]e; cddl | 1 0; 1 1 | cddl; development
-cpl | common public licen[cs]e; cpl | 1 0 | common; cpl
-ipl | ibm public licen[cs]e; ipl | 1 0 | ibm; ipl
-eupl | european union public licen[cs]e; eupl | 1 0; 1 1; 1 2 | european; eupl
-isc | isc licen[cs]e; internet systems consortium licen[cs]e | | isc; consortium
-zlib | zlib licen[cs]e; zlib libpng licen[cs]e; libpng licen[cs]e | | zlib; libpng
-bsl | boost software licen[cs]e; bsl | 1 0 | boost; bsl
-artistic | artistic licen[cs]e; perl artistic licen[cs]e | 1 0; 2 0 | artistic
-unlicense | unlicense; the unlicense | | unlicense
-wtfpl | do what the fuck you want to public license; wtfpl | 1 0; 2 | wtfpl; fuck
-psf | python software foundation licen[cs]e; psf licen[cs]e; python licen[cs]e | 2 0; 2 | python; psf
-php | php licen[cs]e | 3 0; 3 01 | php
-ruby | ruby licen[cs]e | | ruby
-openssl | openssl licen[cs]e; ssleay licen[cs]e | | openssl; ssleay
-ofl | sil open font licen[cs]e; open font licen[cs]e; ofl | 1 0; 1 1 | font; ofl
-odbl | open database licen[cs]e; odbl | 1 0 | database; odbl
-pddl | public domain dedication and licen[cs]e; pddl | 1 0 | dedication; pddl
-odc-by | open data commons attribution licen[cs]e; odc by | 1 0 | odc; commons
-ms-pl | microsoft public licen[cs]e; ms pl | | microsoft; ms
-ms-rl | microsoft reciprocal licen[cs]e; ms rl | | microsoft; ms
-afl | academic free licen[cs]e; afl | 1 1; 1 2; 2 0; 2 1; 3 0 | academic; afl
-osl | open software licen[cs]e; osl | 1 0; 1 1; 2 0; 2 1; 3 0 | software; osl
-ecl | educational community licen[cs]e; ecl | 1 0; 2 0 | educational; ecl
-apsl | apple public source licen[cs]e; apsl | 1 0; 1 1; 1 2; 2 0 | apple; apsl
-cecill | cecill licen[cs]e; cecill; cecill b; cecill c | 1 0; 1 1; 2 0; 2 1 | cecill
-ncsa | university of illinois ncsa open source licen[cs]e; ncsa open source licen[cs]e; ncsa licen[cs]e | | ncsa
-upl | universal permissive licen[cs]e; upl | 1 0 | universal; upl
-zpl | zope public licen[cs]e; zpl | 1 1; 2 0; 2 1 | zope; zpl
-sleepycat | sleepycat licen[cs]e | | sleepycat
-w3c | w3c software notice and licen[cs]e; w3c licen[cs]e | | w3c
-postgresql | postgresql licen[cs]e | | postgresql
-vim | vim licen[cs]e | | vim
-tcl | tcl licen[cs]e; tcl tk licen[cs]e | | tcl
-curl | curl licen[cs]e | | curl
-qpl | q public licen[cs]e; qpl | 1 0 | qpl; q
-npl | netscape public licen[cs]e; npl | 1 0; 1 1 | netscape; npl
-spl | sun public licen[cs]e; spl | 1 0 | sun; spl
-sspl | server side public licen[cs]e; sspl | 1; 1 0 | server; sspl
-busl | business source licen[cs]e; busl | 1 1 | business; busl
-elastic | elastic licen[cs]e | 1 0; 2 0 | elastic
-mulan | mulan permissive software licen[cs]e; mulan psl | 1; 2 | mulan
-bzip2 | bzip2 licen[cs]e | 1 0 6 | bzip2
-json | json licen[cs]e | | json
-beerware | beerware licen[cs]e; beerware; beer ware licen[cs]e | | beerware; beer
-cc-by-nc-nd | cc by nc nd; creative commons attribution noncommercial noderivatives; creative commons attribution noncommercial no derivatives | 1 0; 2 0; 2 5; 3 0; 4 0 | cc; creative
-cc-by-nc-sa | cc by nc sa; creative commons attribution noncommercial sharealike; creative commons attribution non commercial share alike | 1 0; 2 0; 2 5; 3 0; 4 0 | cc; creative
-cc-by-nc | cc by nc; creative commons attribution noncommercial; creative commons attribution non commercial | 1 0; 2 0; 2 5; 3 0; 4 0 | cc; creative
-cc-by-nd | cc by nd; creative commons attribution noderivatives; creative commons attribution no derivatives | 1 0; 2 0; 2 5; 3 0; 4 0 | cc; creative
-cc-by-sa | cc by sa; creative commons attribution sharealike; creative commons attribution share alike | 1 0; 2 0; 2 5; 3 0; 4 0 | cc; creative
-cc-by | cc by; creative commons attribution | 1 0; 2 0; 2 5; 3 0; 4 0 | cc; creative
-cc0 | cc0; creative commons zero; creative commons cc0 | 1 0 | cc0; creative
+agpl | gnu affero general public license; affero general public license; gnu agpl; agpl | 1 0; 3 0; 1; 3
+lgpl | gnu lesser general public license; lesser general public license; gnu library general public license; gnu lgpl; lgpl | 2 0; 2 1; 3 0; 2; 3
+gpl | gnu general public licen[cs]e; general public licen[cs]e; gnu gpl; gpl | 1 0; 2 0; 3 0; 1; 2; 3
+gfdl | gnu free documentation license; gfdl | 1 1; 1 2; 1 3
+apache | apache licen[cs]e; apache software licen[cs]e; apache public license; asl | 1 0; 1 1; 2 0; 2
+mit | mit licen[cs]e; expat licen[cs]e; x11 licen[cs]e; mit expat |
+bsd | bsd licen[cs]e; bsd style licen[cs]e; new bsd licen[cs]e; modified bsd licen[cs]e; simplified bsd licen[cs]e; freebsd licen[cs]e; bsd | 0 clause; 1 clause; 2 clause; 3 clause; 4 clause
+mpl | mozilla public licen[cs]e; mpl | 1 0; 1 1; 2 0; 2
+epl | eclipse public licen[cs]e; epl | 1 0; 2 0; 2
+edl | eclipse distribution licen[cs]e; edl | 1 0
+cddl | common development and distribution licen[cs]e; cddl | 1 0; 1 1
+cpl | common public licen[cs]e; cpl | 1 0
+ipl | ibm public licen[cs]e; ipl | 1 0
+eupl | european union public licen[cs]e; eupl | 1 0; 1 1; 1 2
+isc | isc licen[cs]e; internet systems consortium licen[cs]e |
+zlib | zlib licen[cs]e; zlib libpng licen[cs]e; libpng licen[cs]e |
+bsl | boost software licen[cs]e; bsl | 1 0
+artistic | artistic licen[cs]e; perl artistic licen[cs]e | 1 0; 2 0
+unlicense | unlicense; the unlicense |
+wtfpl | do what the fuck you want to public license; wtfpl | 1 0; 2
+psf | python software foundation licen[cs]e; psf licen[cs]e; python licen[cs]e | 2 0; 2
+php | php licen[cs]e | 3 0; 3 01
+ruby | ruby licen[cs]e |
+openssl | openssl licen[cs]e; ssleay licen[cs]e |
+ofl | sil open font licen[cs]e; open font licen[cs]e; ofl | 1 0; 1 1
+odbl | open database licen[cs]e; odbl | 1 0
+pddl | public domain dedication and licen[cs]e; pddl | 1 0
+odc-by | open data commons attribution licen[cs]e; odc by | 1 0
+ms-pl | microsoft public licen[cs]e; ms pl |
+ms-rl | microsoft reciprocal licen[cs]e; ms rl |
+afl | academic free licen[cs]e; afl | 1 1; 1 2; 2 0; 2 1; 3 0
+osl | open software licen[cs]e; osl | 1 0; 1 1; 2 0; 2 1; 3 0
+ecl | educational community licen[cs]e; ecl | 1 0; 2 0
+apsl | apple public source licen[cs]e; apsl | 1 0; 1 1; 1 2; 2 0
+cecill | cecill licen[cs]e; cecill; cecill b; cecill c | 1 0; 1 1; 2 0; 2 1
+ncsa | university of illinois ncsa open source licen[cs]e; ncsa open source licen[cs]e; ncsa licen[cs]e |
+upl | universal permissive licen[cs]e; upl | 1 0
+zpl | zope public licen[cs]e; zpl | 1 1; 2 0; 2 1
+sleepycat | sleepycat licen[cs]e |
+w3c | w3c software notice and licen[cs]e; w3c licen[cs]e |
+postgresql | postgresql licen[cs]e |
+vim | vim licen[cs]e |
+tcl | tcl licen[cs]e; tcl tk licen[cs]e |
+curl | curl licen[cs]e |
+qpl | q public licen[cs]e; qpl | 1 0
+npl | netscape public licen[cs]e; npl | 1 0; 1 1
+spl | sun public licen[cs]e; spl | 1 0
+sspl | server side public licen[cs]e; sspl | 1; 1 0
+busl | business source licen[cs]e; busl | 1 1
+elastic | elastic licen[cs]e | 1 0; 2 0
+mulan | mulan permissive software licen[cs]e; mulan psl | 1; 2
+bzip2 | bzip2 licen[cs]e | 1 0 6
+json | json licen[cs]e |
+beerware | beerware licen[cs]e; beerware; beer ware licen[cs]e |
+cc-by-nc-nd | cc by nc nd; creative commons attribution noncommercial noderivatives; creative commons attribution noncommercial no derivatives | 1 0; 2 0; 2 5; 3 0; 4 0
+cc-by-nc-sa | cc by nc sa; creative commons attribution noncommercial sharealike; creative commons attribution non commercial share alike | 1 0; 2 0; 2 5; 3 0; 4 0
+cc-by-nc | cc by nc; creative commons attribution noncommercial; creative commons attribution non commercial | 1 0; 2 0; 2 5; 3 0; 4 0
+cc-by-nd | cc by nd; creative commons attribution noderivatives; creative commons attribution no derivatives | 1 0; 2 0; 2 5; 3 0; 4 0
+cc-by-sa | cc by sa; creative commons attribution sharealike; creative commons attribution share alike | 1 0; 2 0; 2 5; 3 0; 4 0
+cc-by | cc by; creative commons attribution | 1 0; 2 0; 2 5; 3 0; 4 0
+cc0 | cc0; creative commons zero; creative commons cc0 | 1 0
 """
 
 # Rules for running text. Label, priority, regular expression over words, keywords (one of them stands in each match).
 TEXTS = """
-mit | 80 | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files | granted
-mit | 75 | the above copyright notice and this permission notice shall be included in all copies or substantial portions | substantial
-isc | 80 | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted | hereby
+mit | 80 | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files | permission
+mit | 75 | the above copyright notice and this permission notice shall be included in all copies or substantial portions | copyright
+isc | 80 | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted | permission
 bsd | 80 | redistribution and use in source and binary forms with or without modification are permitted | redistribution
 bsd | 75 | redistributions of source code must retain the above copyright notice this list of conditions | redistributions
 bsd | 75 | neither the name of .{1,60}? nor the names of its contributors may be used to endorse | endorse
-zlib | 80 | this software is provided as is without any express or implied warranty in no event will the authors be held liable | liable
+zlib | 80 | this software is provided as is without any express or implied warranty in no event will the authors be held liable | warranty
 gpl | 80 | this program is free software you can redistribute it and or modify it under the terms of the gnu general public license | redistribute
 lgpl | 82 | you can redistribute it and or modify it under the terms of the gnu lesser general public license | redistribute
 agpl | 82 | you can redistribute it and or modify it under the terms of the gnu affero general public license | redistribute
 apache | 80 | you may not use this file except in compliance with the license | compliance
 apache | 75 | distributed under the license is distributed on an as is basis without warranties or conditions of any kind | warranties
-mpl | 80 | this source code form is subject to the terms of the mozilla public license | mozilla
-epl | 80 | this program and the accompanying materials are made available under the terms of the eclipse public license | eclipse
-bsl | 80 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software | organization
+mpl | 80 | this source code form is subject to the terms of the mozilla public license | licen
+epl | 80 | this program and the accompanying materials are made available under the terms of the eclipse public license | licen
+bsl | 80 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software | permission
 unlicense | 80 | this is free and unencumbered software released into the public domain | unencumbered
 public-domain | 60 | (?:released|dedicated|placed) (?:in|into|to) the public domain | domain
 public-domain | 50 | public domain (?:work|software|text|dedication) | domain
@@ -108,33 +109,33 @@ all-rights-reserved | 40 | all rights reserved | reserved
 proprietary | 45 | (?:proprietary and confidential|unauthorized copying of this file) | proprietary; unauthorized
 cc | 30 | creative commons(?: licen[cs]e)? | creative
 open-source | 10 | (?:open source|free software) licen[cs]e | licen
-licensed | 5 | (?:licen[cs]ed|released|distributed) under (?:the |an? )?(?:terms of )?(?:the |an? )? | licen; released; distributed
 """
 
 
-def rules() -> list[tuple[int, str, int, str, list[str]]]:
-    """(order, label, priority, pattern, keywords): names with a version, then names alone, then running text.
+def keyword(name: str) -> str:
+    """The beginning of a word that stands in every match of a name: of "license", else the name's longest plain word."""
+    return "licen" if "licen" in name and not name.startswith("unlicense") else max((w for w in name.split() if w.isalnum()), key=len)
 
-    For each name of a family there are rules for "name version", "name" and "under (the terms of) the name": some hundreds.
-    """
+
+def rules() -> list[tuple[str, int, str, list[str]]]:
+    """(label, priority, pattern, keywords): for each name of a family "name version", "name" and "under (the terms of) the
+    name", and the rules for running text; some hundreds. One of the keywords begins a word of each match."""
     out: list[tuple[str, int, str, list[str]]] = []
     for line in FAMILIES.strip().splitlines():
-        label, names, versions, keywords = (x.strip() for x in line.split("|"))
-        words = [k.strip() for k in keywords.split(";")]
+        label, names, versions = (x.strip() for x in line.split("|"))
         versions = [v.strip() for v in versions.split(";") if v.strip()]
         for name in (n.strip() for n in names.split(";")):
-            long = name.count(" ") + 1
+            long, words = name.count(" ") + 1, [keyword(name)]
             for v in versions:
-                major = v.replace(" ", "[ ]?") if " " in v and v[0].isdigit() else v
-                out.append((f"{label}-{v.replace(' ', '.' if v[0].isdigit() and v[-1].isdigit() else '-')}", 70 + long, rf"{name} (?:version |v )?v?{major}(?: or (?:any )?later(?: version)?)?", words))
+                number = v.replace(" ", "[ ]?") if " " in v and v[0].isdigit() else v
+                out.append((f"{label}-{v.replace(' ', '.' if v[0].isdigit() and v[-1].isdigit() else '-')}", 70 + long, rf"{name} (?:version |v )?v?{number}(?: or (?:any )?later(?: version)?)?", words))
             if long > 1 or name in ("unlicense", "wtfpl", "beerware", "cc0", "agpl", "lgpl", "gfdl", "cddl", "sspl"):
                 out.append((label, 60 + long, name, words))
             out.append((label, 65 + long, rf"(?<= under | under the | under an | terms of the ){name}", words))
     for line in TEXTS.strip().splitlines():
         label, priority, pattern, keywords = (x.strip() for x in line.split(" | "))
         out.append((label, int(priority), pattern, [k.strip() for k in keywords.split(";")]))
-    out = [r for r in out if r[0] != "licensed"]  # it says that there is a license, not which
-    return [(i, *r) for i, r in enumerate(out)]
+    return out
 
 
 def words_text(text: Column) -> Column:
@@ -149,17 +150,21 @@ def word_number(words: Column, start: Column) -> Column:
     return (F.length(head) - F.length(F.replace(head, F.lit(" "), F.lit("")))).cast("long") - 1
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once for each row, however often body or functions in it use it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def places(words: Column, pattern: Column) -> Column:
     """Array of (start, length) of a pattern's matches; a match has the space before its first word and not the one after it."""
-    between = F.split(words, pattern, -1)
-    found = F.regexp_extract_all(words, pattern, F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("found"))
+    none = F.array().cast("array<struct<start:int,length:int>>")
+    zero = F.struct(F.lit(0).alias("at"), none.alias("found"))
     step = lambda acc, pair: F.struct(
-        (acc["at"] + F.length(pair["between"]) + F.length(pair["found"])).alias("at"),
-        F.concat(acc["found"], F.array(F.struct((acc["at"] + F.length(pair["between"])).alias("start"), F.length(pair["found"]).alias("length")))).alias("found"),
+        (acc["at"] + F.length(pair["between"]) + F.length(pair["match"])).alias("at"),
+        F.concat(acc["found"], F.array(F.struct((acc["at"] + F.length(pair["between"])).alias("start"), F.length(pair["match"]).alias("length")))).alias("found"),
     )
-    pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("between"), found.alias("found"))
-    return F.aggregate(pairs, zero, step)["found"]
+    pairs = lambda m: F.arrays_zip(F.slice(F.split(words, pattern, -1), 1, F.size(m)).alias("between"), m.alias("match"))
+    return let(F.regexp_extract_all(words, pattern, F.lit(0)), lambda m: F.when(F.size(m) == 0, none).otherwise(F.aggregate(pairs(m), zero, step)["found"]))
 
 
 def base_starts(words: Column, phrase: str) -> Column:
@@ -176,32 +181,37 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are matched whole; further columns are not read.
     """
     every = rules()
-    keywords = sorted({k for r in every for k in r[4]})
-    gate = "(?i)" + "|".join(sorted({*keywords, "licen[cs]", "cc" + BETWEEN + "by"}))
+    keywords = sorted({k for r in every for k in r[3]})
+    by_letter = "|".join(f"{c}(?:{'|'.join(k[1:] for k in keywords if k[0] == c)})" for c in sorted({k[0] for k in keywords}))
+    gate = rf"(?i)(?<![0-9a-z\x80-\uffff])(?:{by_letter})"
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    out = out.select("doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), F.when(F.col("text").rlike(gate), words_text(F.col("text"))).alias("words"))
-
-    words = F.col("words")
-    table = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(priority).alias("priority"), F.lit(f" (?:{pattern})(?= )").alias("pattern"), F.array(*(F.lit(k) for k in keys)).alias("keys")) for _, label, priority, pattern, keys in every))
-    ready = F.filter(table, lambda r: F.exists(r["keys"], lambda k: F.contains(words, k)))
-    found = F.flatten(F.transform(ready, lambda r: F.transform(places(words, r["pattern"]), lambda p: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), p["start"].alias("start"), (p["start"] + p["length"]).alias("end")))))
-    out = out.withColumn("found", F.when(F.col("words").isNotNull(), found))
-    out = out.withColumns({f"base{i}": F.when(words.isNotNull(), base_starts(words, phrase)) for i, (phrase, _) in enumerate(BASE)})
-
+    table = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(priority).alias("priority"), F.lit(f" (?:{pattern})(?= )").alias("pattern"), F.array(*(F.lit(k) for k in keys)).alias("keys")) for label, priority, pattern, keys in every))
     inside = lambda a, b: (a["start"] >= b["start"]) & (a["end"] <= b["end"]) & ((a["priority"] < b["priority"]) | (a["priority"] == b["priority"]) & (a["end"] - a["start"] < b["end"] - b["start"]))
-    left = F.filter("found", lambda a: ~F.exists("found", lambda b: inside(a, b)))
-    starts = F.flatten(F.array(*(F.coalesce(f"base{i}", F.array().cast("array<bigint>")) for i in range(len(BASE)))))
-    base_labels = F.array_compact(F.array(*(F.when(F.size(f"base{i}") > 0, F.lit(label)) for i, (_, label) in enumerate(BASE))))
-    out = out.select("doc_id", "n_words", "words", left.alias("left"), starts.alias("starts"), base_labels.alias("base"))
+
+    def detections(words: Column) -> Column:
+        there = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(words, F.concat(F.lit(" "), k)))
+        ready = let(there, lambda t: F.filter(table, lambda r: F.arrays_overlap(r["keys"], t)))
+        one = lambda r, p: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), p["start"].alias("start"), (p["start"] + p["length"]).alias("end"))
+        found = F.flatten(F.transform(ready, lambda r: F.transform(places(words, r["pattern"]), lambda p: one(r, p))))
+        left = let(found, lambda f: F.filter(f, lambda a: ~F.exists(f, lambda b: inside(a, b))))
+        size = lambda x: F.size(F.split(F.substring(words, x["start"] + 2, x["end"] - x["start"] - 1), " "))
+        return F.transform(left, lambda x: F.struct(x["label"].alias("label"), x["priority"].alias("priority"), word_number(words, x["start"]).alias("first_word"), size(x).alias("n_words")))
+
+    answer = lambda words: F.struct(F.array(*(base_starts(words, phrase) for phrase, _ in BASE)).alias("base"), detections(words).alias("detections"))
+    hit = F.when(F.col("text").rlike(gate), let(words_text(F.col("text")), answer))
+    out = out.select("doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), hit.alias("hit"))
+    starts = F.coalesce(F.flatten("hit.base"), F.array().cast("array<bigint>"))
+    base_labels = F.array_compact(F.array(*(F.when(F.size(F.col("hit.base")[i]) > 0, F.lit(label)) for i, (_, label) in enumerate(BASE))))
+    found = F.coalesce("hit.detections", F.array().cast("array<struct<label:string,priority:int,first_word:bigint,n_words:int>>"))
     return out.select(
         "doc_id",
         "n_words",
-        F.size("starts").cast("long").alias("n_base"),
-        F.array_min("starts").alias("first_word"),
-        F.array_max("starts").alias("last_word"),
-        F.concat_ws(",", F.array_sort("base")).alias("base_labels"),
-        F.concat_ws(",", F.array_sort(F.array_union("base", F.coalesce(F.transform("left", lambda x: x["label"]), F.array().cast("array<string>"))))).alias("labels"),
-        F.greatest(F.coalesce(F.array_max(F.transform("left", lambda x: x["priority"])), F.lit(0)) / 100.0, F.when(F.size("starts") > 0, 0.6).otherwise(0.0)).alias("score"),
-        F.transform("left", lambda x: F.struct(x["label"].alias("label"), x["priority"].alias("priority"), word_number(F.col("words"), x["start"]).alias("first_word"), F.size(F.split(F.trim(F.substring(F.col("words"), x["start"] + 1, x["end"] - x["start"])), " ")).alias("n_words"))).alias("detections"),
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.concat_ws(",", F.array_sort(base_labels)).alias("base_labels"),
+        F.concat_ws(",", F.array_sort(F.array_union(base_labels, F.transform(found, lambda x: x["label"])))).alias("labels"),
+        F.greatest(F.coalesce(F.array_max(F.transform(found, lambda x: x["priority"])), F.lit(0)) / 100.0, F.when(F.size(starts) > 0, 0.6).otherwise(0.0)).alias("score"),
+        found.alias("detections"),
     )

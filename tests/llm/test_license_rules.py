@@ -25,7 +25,7 @@ def test_base_columns(spark, sf):
 
 def test_rules(spark):
     assert len(rules()) > 300
-    for _, _, _, pattern, keys in rules():
+    for _, _, pattern, keys in rules():
         assert keys and re.compile(re.sub(r"\(\?<=.*?\)", "", pattern))
     cases = {
         "Licensed under the Apache License, Version 2.0.": "apache,apache-2.0",
