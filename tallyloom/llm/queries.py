@@ -17,6 +17,7 @@ from .pattern_packing import packed_documents
 from .shared import table
 from .simhash_groups import simhash_groups
 from .substring_dedup import remove_repeats
+from .suffix_tree import score_documents
 
 
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op3_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,7 +77,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pattern_packing, op3_edit_fingerprint, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
+    return {f.__name__: f for f in (op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
