@@ -28,10 +28,13 @@ def full_year(digits: Column) -> Column:
 
 
 def month_from_text(text: Column) -> Column:
-    """Month start from free text with a month's name and a year of four or two digits ("Sept-19", "May 2025")."""
-    pattern = rf"(?i){_MONTH}[\s,.'-]*(\d{{4}}|\d{{2}})(?!\d)"
-    name, year = F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2)
-    return F.when(name != "", F.make_date(full_year(year), month_number(name), F.lit(1)))
+    """Month start from free text with a month's name and a year ("Sept-19", "as on March 31, May 2025"); four digits go before two."""
+    out = []
+    for year in (r"[\s,.'-]*(\d{4})(?!\d)", r"[\s.'-]*(\d{2})(?!\d)"):
+        pattern = f"(?i){_MONTH}{year}"
+        name = F.regexp_extract(text, pattern, 1)
+        out.append(F.when(name != "", F.make_date(full_year(F.regexp_extract(text, pattern, 2)), month_number(name), F.lit(1))))
+    return F.coalesce(*out)
 
 
 def month_from_path(path: Column) -> Column:

@@ -28,7 +28,8 @@ def comparison(rows: DataFrame, month: str, entity: str, value: str, entities: l
 def nested_export(rows: DataFrame, key: str, month: str, columns: list[str]) -> DataFrame:
     """For each key a JSON object of arrays in order of the month, all of one length."""
     listed = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(month, *columns))).alias("_r"))
-    arrays = [F.transform("_r", lambda x, c=c: x[c]).alias(c) for c in (month, *columns)]
+    field = lambda c: F.transform("_r", lambda x: x[c]).alias(c)
+    arrays = [field(c) for c in (month, *columns)]
     return listed.select(key, F.to_json(F.struct(*arrays), {"ignoreNullFields": "false"}).alias("payload"))
 
 

@@ -33,7 +33,7 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
 # ---- parsing ----
 
-_TEXT = "concat(CASE WHEN o_orderkey % 5 = 0 THEN '-' WHEN o_orderkey % 5 = 1 THEN ' NA ' WHEN o_orderkey % 5 = 2 THEN 'x1' ELSE ' ' || CAST(CAST(o_totalprice AS BIGINT) // 1000 AS VARCHAR) || ',' || lpad(CAST(CAST(o_totalprice AS BIGINT) % 1000 AS VARCHAR), 3, '0') || '.5' END)"
+_TEXT = "concat(CASE WHEN o_orderkey % 5 = 0 THEN '-' WHEN o_orderkey % 5 = 1 THEN ' NA ' WHEN o_orderkey % 5 = 2 THEN 'x1' ELSE ' ' || CAST(CAST(floor(o_totalprice) AS BIGINT) // 1000 AS VARCHAR) || ',' || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS VARCHAR), 3, '0') || '.5' END)"
 
 
 @query(f"""WITH t AS (SELECT o_orderkey, {_TEXT} AS txt FROM orders), c AS (SELECT o_orderkey, replace(trim(txt), ',', '') AS clean FROM t)
@@ -99,12 +99,12 @@ def b13_json_fields(spark, sf):
     return table(spark, sf, "events").select("event_id", k.alias("k"), F.when(k / 100.0 >= 0.5, "used").otherwise("dropped").alias("fate"))
 
 
-@query(f"""WITH {PANEL} SELECT bank_name, card_type, month, round(ln(1 + outstanding), 6) AS logged, round(exp(ln(1 + outstanding)) - 1, 2) AS back, round(outstanding / 100000.0, 6) AS lakh,
+@query(f"""WITH {PANEL} SELECT bank_name, card_type, month, round(ln(1 + outstanding), 6) AS logged, round(exp(ln(1 + outstanding)) - 1, 2) AS back, round(outstanding / 100000.0, 7) AS lakh,
  CASE WHEN n_rows < 5 THEN 'low' WHEN n_rows < 15 THEN 'mid' ELSE 'high' END AS band FROM panel""")
 def b14_transforms(spark, sf):
     y = F.col("outstanding")
     band = F.when(F.col("n_rows") < 5, "low").when(F.col("n_rows") < 15, "mid").otherwise("high")
-    return fx.panel(spark, sf).select(*KEY, "month", F.round(F.log1p(y), 6).alias("logged"), F.round(F.greatest(F.lit(0.0), F.expm1(F.log1p(y))), 2).alias("back"), F.round(y / 1e5, 6).alias("lakh"), band.alias("band"))
+    return fx.panel(spark, sf).select(*KEY, "month", F.round(F.log1p(y), 6).alias("logged"), F.round(F.greatest(F.lit(0.0), F.expm1(F.log1p(y))), 2).alias("back"), F.round(y / 1e5, 7).alias("lakh"), band.alias("band"))
 
 
 # ---- cleaning ----
@@ -122,9 +122,9 @@ def c2_keep_last(spark, sf):
 
 
 @query(f"""WITH {PANEL}, w AS (SELECT *, last_value(outstanding) OVER r AS l, first_value(outstanding) OVER r AS f, count(outstanding) OVER r AS n FROM panel WINDOW r AS (PARTITION BY bank_name, card_type ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
-SELECT bank_name, card_type, month, round(CASE WHEN n_rows % 7 = 0 AND n >= 2 THEN l + (l - f) / (n - 1) ELSE outstanding END, 2) AS fixed FROM w""")
+SELECT bank_name, card_type, month, round(CASE WHEN n_rows % 7 = 0 AND n >= 2 THEN l + (l - f) / (n - 1) ELSE outstanding END, 4) AS fixed FROM w""")
 def c4_known_errors(spark, sf):
-    return cleaning.imputed(fx.panel(spark, sf), KEY, "month", "outstanding", F.col("n_rows") % 7 == 0).select(*KEY, "month", F.round("fixed", 2).alias("fixed"))
+    return cleaning.imputed(fx.panel(spark, sf), KEY, "month", "outstanding", F.col("n_rows") % 7 == 0).select(*KEY, "month", F.round("fixed", 4).alias("fixed"))
 
 
 @query(f"""WITH {PANEL}, w AS (SELECT *, datediff('day', lag(month) OVER (PARTITION BY bank_name, card_type ORDER BY month), month) AS gap FROM panel)
@@ -139,23 +139,23 @@ def c7_quality_report(spark, sf):
 @query(f"""WITH {PANEL}, t AS (SELECT *, (year(month) - 1998) * 12 + month(month) - 1 AS k FROM panel),
 s AS (SELECT bank_name, card_type, CASE WHEN count(*) FILTER (WHERE k BETWEEN -4 AND -1) >= 3 AND count(*) FILTER (WHERE k BETWEEN 0 AND 3) >= 3
   THEN regr_intercept(outstanding, k) FILTER (WHERE k BETWEEN 0 AND 3) - regr_intercept(outstanding, k) FILTER (WHERE k BETWEEN -4 AND -1) END AS shift FROM t GROUP BY 1, 2)
-SELECT bank_name, card_type, t.month, round(CASE WHEN t.month < DATE '1998-01-01' THEN outstanding + coalesce(shift, 0) ELSE outstanding END, 1) AS spliced FROM t JOIN s USING (bank_name, card_type)""")
+SELECT bank_name, card_type, t.month, round(CASE WHEN t.month < DATE '1998-01-01' THEN outstanding + coalesce(shift, 0) ELSE outstanding END, 4) AS spliced FROM t JOIN s USING (bank_name, card_type)""")
 def c9_level_splice(spark, sf):
-    return cleaning.spliced(fx.panel(spark, sf), KEY, "month", "outstanding", "1998-01-01").select(*KEY, "month", F.round("spliced", 1).alias("spliced"))
+    return cleaning.spliced(fx.panel(spark, sf), KEY, "month", "outstanding", "1998-01-01").select(*KEY, "month", F.round("spliced", 4).alias("spliced"))
 
 
-@query(f"""WITH {PANEL}, c(bank_name) AS (VALUES ('FRANCE'), ('BRAZIL'), ('ATLANTIS')), b AS (SELECT DISTINCT bank_name FROM panel)
+@query(f"""WITH {PANEL}, c(bank_name) AS (VALUES ('NATION_6'), ('NATION_2'), ('ATLANTIS')), b AS (SELECT DISTINCT bank_name FROM panel)
 SELECT bank_name, CASE WHEN bank_name IN (SELECT bank_name FROM b) THEN 'modelled' ELSE 'missing' END AS kind FROM c UNION ALL SELECT bank_name, 'residual' FROM b WHERE bank_name NOT IN (SELECT bank_name FROM c)""")
 def c11_entity_selection(spark, sf):
     there = fx.panel(spark, sf).select("bank_name").distinct()
-    wanted = spark.createDataFrame([("FRANCE",), ("BRAZIL",), ("ATLANTIS",)], "bank_name string")
+    wanted = spark.createDataFrame([("NATION_6",), ("NATION_2",), ("ATLANTIS",)], "bank_name string")
     return wanted.join(there, "bank_name", "left_semi").withColumn("kind", F.lit("modelled")).unionByName(wanted.join(there, "bank_name", "left_anti").withColumn("kind", F.lit("missing"))).unionByName(there.join(F.broadcast(wanted), "bank_name", "left_anti").withColumn("kind", F.lit("residual")))
 
 
-@query(f"""WITH {PANEL} SELECT bank_name, card_type, month, outstanding FROM panel WHERE month >= CASE WHEN bank_name = 'FRANCE' THEN DATE '1997-01-01' ELSE DATE '1996-01-01' END AND outstanding > 0
+@query(f"""WITH {PANEL} SELECT bank_name, card_type, month, outstanding FROM panel WHERE month >= CASE WHEN bank_name = 'NATION_6' THEN DATE '1997-01-01' ELSE DATE '1996-01-01' END AND outstanding > 0
 QUALIFY count(*) OVER (PARTITION BY bank_name, card_type) >= 24""")
 def c13_training_rows(spark, sf):
-    starts = spark.createDataFrame([("FRANCE", "1997-01-01")], "bank_name string, since string")
+    starts = spark.createDataFrame([("NATION_6", "1997-01-01")], "bank_name string, since string")
     rows = fx.panel(spark, sf).join(F.broadcast(starts), "bank_name", "left").filter("month >= coalesce(to_date(since), date'1996-01-01') and outstanding > 0")
     return rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*KEY))).filter("n >= 24").select(*KEY, "month", "outstanding")
 
@@ -163,9 +163,9 @@ def c13_training_rows(spark, sf):
 # ---- alignment ----
 
 
-@query(f"""WITH {PANEL}, {TOTALS}, {MACRO} SELECT card_type, t.month, round(total, 2) AS total, round(m1, 4) AS m1, round(m2, 6) AS m2 FROM totals t LEFT JOIN macro USING (month)""")
+@query(f"""WITH {PANEL}, {TOTALS}, {MACRO} SELECT card_type, t.month, round(total, 3) AS total, round(m1, 4) AS m1, round(m2, 6) AS m2 FROM totals t LEFT JOIN macro USING (month)""")
 def d1_master_frame(spark, sf):
-    return fx.totals(spark, sf).join(fx.macro(spark, sf), "month", "left").select("card_type", "month", F.round("total", 2).alias("total"), F.round("m1", 4).alias("m1"), F.round("m2", 6).alias("m2"))
+    return fx.totals(spark, sf).join(fx.macro(spark, sf), "month", "left").select("card_type", "month", F.round("total", 3).alias("total"), F.round("m1", 4).alias("m1"), F.round("m2", 6).alias("m2"))
 
 
 @query(f"""WITH {RATES}, o AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS at FROM events WHERE event_type = 'purchase')
@@ -190,17 +190,17 @@ def d4_dense_calendar(spark, sf):
     return align.dense(fx.panel(spark, sf), KEY, "month").select(*KEY, "month", "outstanding")
 
 
-@query(f"""WITH {PANEL}, {TOTALS}, p AS (SELECT card_type, month, sum(outstanding) AS parts FROM panel WHERE bank_name < 'K' GROUP BY 1, 2)
-SELECT card_type, month, round(total - parts, 1) AS residual FROM totals JOIN p USING (card_type, month) WHERE parts > 0 AND total - parts > 0""")
+@query(f"""WITH {PANEL}, {TOTALS}, p AS (SELECT card_type, month, sum(outstanding) AS parts FROM panel WHERE bank_name < 'NATION_2' GROUP BY 1, 2)
+SELECT card_type, month, round(total - parts, 4) AS residual FROM totals JOIN p USING (card_type, month) WHERE parts > 0 AND total - parts > 0""")
 def d5_residual(spark, sf):
-    parts = fx.panel(spark, sf).filter("bank_name < 'K'").groupBy("card_type", "month").agg(F.sum("outstanding").alias("parts"))
-    return fx.totals(spark, sf).join(parts, ["card_type", "month"]).filter("parts > 0 and total - parts > 0").select("card_type", "month", F.round(F.col("total") - F.col("parts"), 1).alias("residual"))
+    parts = fx.panel(spark, sf).filter("bank_name < 'NATION_2'").groupBy("card_type", "month").agg(F.sum("outstanding").alias("parts"))
+    return fx.totals(spark, sf).join(parts, ["card_type", "month"]).filter("parts > 0 and total - parts > 0").select("card_type", "month", F.round(F.col("total") - F.col("parts"), 4).alias("residual"))
 
 
-@query(f"""WITH {PANEL}, h(lo, hi, name) AS (VALUES (0, 5, 'few'), (5, 15, 'some'), (15, 1000000, 'many')) SELECT name, card_type, count(*) AS n, round(sum(outstanding), 0) AS amount FROM panel JOIN h ON n_rows >= lo AND n_rows < hi GROUP BY 1, 2""")
+@query(f"""WITH {PANEL}, h(lo, hi, name) AS (VALUES (0, 5, 'few'), (5, 15, 'some'), (15, 1000000, 'many')) SELECT name, card_type, count(*) AS n, round(sum(outstanding), 4) AS amount FROM panel JOIN h ON n_rows >= lo AND n_rows < hi GROUP BY 1, 2""")
 def d7_range_join(spark, sf):
     bands = spark.createDataFrame([(0, 5, "few"), (5, 15, "some"), (15, 1000000, "many")], "lo int, hi int, name string")
-    return fx.panel(spark, sf).join(F.broadcast(bands), F.expr("n_rows >= lo and n_rows < hi")).groupBy("name", "card_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("outstanding"), 0).alias("amount"))
+    return fx.panel(spark, sf).join(F.broadcast(bands), F.expr("n_rows >= lo and n_rows < hi")).groupBy("name", "card_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("outstanding"), 4).alias("amount"))
 
 
 _DENSE = f"{PANEL}, e AS (SELECT bank_name, card_type, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH))::DATE AS month FROM panel GROUP BY 1, 2), d AS (SELECT bank_name, card_type, month, outstanding AS y FROM e LEFT JOIN panel USING (bank_name, card_type, month))"
@@ -216,19 +216,19 @@ def f1_lags_and_changes(spark, sf):
 @query(f"""WITH {_DENSE}, n AS (SELECT *, row_number() OVER w AS i, CASE WHEN y IS NOT NULL THEN row_number() OVER w END AS k FROM d WINDOW w AS (PARTITION BY bank_name, card_type ORDER BY month)),
 f AS (SELECT *, last_value(y IGNORE NULLS) OVER b AS pv, first_value(y IGNORE NULLS) OVER a AS nv, last_value(k IGNORE NULLS) OVER b AS pk, first_value(k IGNORE NULLS) OVER a AS nk FROM n
  WINDOW b AS (PARTITION BY bank_name, card_type ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY bank_name, card_type ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT bank_name, card_type, month, coalesce(y, 0) AS zero, coalesce(pv, nv) AS ffill, coalesce(nv, pv) AS bfill, round(coalesce(y, pv + (nv - pv) * (i - pk) / nullif(nk - pk, 0), pv, nv), 2) AS linear FROM f""")
+SELECT bank_name, card_type, month, coalesce(y, 0) AS zero, coalesce(pv, nv) AS ffill, coalesce(nv, pv) AS bfill, round(coalesce(y, pv + (nv - pv) * (i - pk) / nullif(nk - pk, 0), pv, nv), 6) AS linear FROM f""")
 def f3_fills(spark, sf):
     rows = align.dense(fx.panel(spark, sf), KEY, "month")
     for how in ("zero", "ffill", "bfill", "linear"):
         rows = align.filled(rows, KEY, "month", "outstanding", how, how)
-    return rows.select(*KEY, "month", "zero", "ffill", "bfill", F.round("linear", 2).alias("linear"))
+    return rows.select(*KEY, "month", "zero", "ffill", "bfill", F.round("linear", 6).alias("linear"))
 
 
 @query(f"""WITH {PANEL}, n AS (SELECT *, row_number() OVER (PARTITION BY bank_name, card_type ORDER BY month) AS i FROM panel)
-SELECT bank_name, card_type, month, round(avg(outstanding) OVER (PARTITION BY bank_name, card_type ORDER BY month ROWS 11 PRECEDING), 1) AS mean12,
- round(CASE WHEN i >= 6 THEN regr_slope(outstanding, i) OVER (PARTITION BY bank_name, card_type ORDER BY month ROWS 5 PRECEDING) ELSE 0 END, 1) AS slope6, round(outstanding - lag(outstanding, 12) OVER (PARTITION BY bank_name, card_type ORDER BY month), 1) AS growth12 FROM n""")
+SELECT bank_name, card_type, month, round(avg(outstanding) OVER (PARTITION BY bank_name, card_type ORDER BY month ROWS 11 PRECEDING), 6) AS mean12,
+ round(CASE WHEN i >= 6 THEN regr_slope(outstanding, i) OVER (PARTITION BY bank_name, card_type ORDER BY month ROWS 5 PRECEDING) ELSE 0 END, 6) AS slope6, round(outstanding - lag(outstanding, 12) OVER (PARTITION BY bank_name, card_type ORDER BY month), 4) AS growth12 FROM n""")
 def f4_trailing(spark, sf):
-    return align.trailing(fx.panel(spark, sf), KEY, "month", "outstanding").select(*KEY, "month", *(F.round(c, 1).alias(c) for c in ("mean12", "slope6", "growth12")))
+    return align.trailing(fx.panel(spark, sf), KEY, "month", "outstanding").select(*KEY, "month", *(F.round(c, 6).alias(c) for c in ("mean12", "slope6")), F.round("growth12", 4).alias("growth12"))
 
 
 @query(f"""WITH {PANEL} SELECT bank_name, card_type, arg_min(outstanding, month) AS first_value, arg_max(outstanding, month) AS last_value, max(outstanding) AS peak, arg_max(month, outstanding) AS peak_month, arg_min(month, outstanding) AS trough_month,
@@ -250,24 +250,24 @@ def f7_concentration(spark, sf):
 # ---- aggregates ----
 
 
-@query(f"""WITH {PANEL} SELECT card_type, bank_name, count(*) AS n_months, round(sum(outstanding), 0) AS total FROM panel GROUP BY ROLLUP (card_type, bank_name)""")
+@query(f"""WITH {PANEL} SELECT card_type, bank_name, count(*) AS n_months, round(sum(outstanding), 4) AS total FROM panel GROUP BY ROLLUP (card_type, bank_name)""")
 def e2_rollup(spark, sf):
-    return fx.panel(spark, sf).rollup("card_type", "bank_name").agg(F.count(F.lit(1)).alias("n_months"), F.round(F.sum("outstanding"), 0).alias("total"))
+    return fx.panel(spark, sf).rollup("card_type", "bank_name").agg(F.count(F.lit(1)).alias("n_months"), F.round(F.sum("outstanding"), 4).alias("total"))
 
 
-@query(f"""WITH {PANEL}, {TOTALS}, p AS (SELECT card_type, month, sum(outstanding) AS parts FROM panel WHERE bank_name <> 'FRANCE' GROUP BY 1, 2)
+@query(f"""WITH {PANEL}, {TOTALS}, p AS (SELECT card_type, month, sum(outstanding) AS parts FROM panel WHERE bank_name <> 'NATION_6' GROUP BY 1, 2)
 SELECT card_type, round(avg(abs(parts - total) / total * 100), 4) AS divergence, CASE WHEN avg(abs(parts - total) / total * 100) < 10 THEN 'good' WHEN avg(abs(parts - total) / total * 100) < 20 THEN 'fair' ELSE 'poor' END AS verdict FROM totals JOIN p USING (card_type, month) GROUP BY 1""")
 def e3_cross_check(spark, sf):
-    parts = fx.panel(spark, sf).filter("bank_name <> 'FRANCE'").groupBy("card_type", "month").agg(F.sum("outstanding").alias("parts"))
+    parts = fx.panel(spark, sf).filter("bank_name <> 'NATION_6'").groupBy("card_type", "month").agg(F.sum("outstanding").alias("parts"))
     d = F.avg(F.abs(F.col("parts") - F.col("total")) / F.col("total") * 100)
     return fx.totals(spark, sf).join(parts, ["card_type", "month"]).groupBy("card_type").agg(F.round(d, 4).alias("divergence"), F.when(d < 10, "good").when(d < 20, "fair").otherwise("poor").alias("verdict"))
 
 
-@query(f"""WITH {PANEL} SELECT bank_name, round(median(outstanding), 2) AS median, round(quantile_cont(outstanding, 0.9), 2) AS p90, round(stddev(outstanding), 2) AS std, round(stddev_pop(outstanding), 2) AS std_pop, min(outstanding) AS low, max(outstanding) AS high,
+@query(f"""WITH {PANEL} SELECT bank_name, round(median(outstanding), 5) AS median, round(quantile_cont(outstanding, 0.9), 5) AS p90, round(stddev(outstanding), 2) AS std, round(stddev_pop(outstanding), 2) AS std_pop, min(outstanding) AS low, max(outstanding) AS high,
  round(avg(CASE WHEN n_rows < 10 THEN 1 ELSE 0 END), 6) AS share_small FROM panel GROUP BY 1""")
 def e5_spread(spark, sf):
     y = F.col("outstanding")
-    return fx.panel(spark, sf).groupBy("bank_name").agg(F.round(F.percentile(y, F.lit(0.5)), 2).alias("median"), F.round(F.percentile(y, F.lit(0.9)), 2).alias("p90"), F.round(F.stddev(y), 2).alias("std"), F.round(F.stddev_pop(y), 2).alias("std_pop"), F.min(y).alias("low"), F.max(y).alias("high"), F.round(F.avg((F.col("n_rows") < 10).cast("double")), 6).alias("share_small"))
+    return fx.panel(spark, sf).groupBy("bank_name").agg(F.round(F.percentile(y, F.lit(0.5)), 5).alias("median"), F.round(F.percentile(y, F.lit(0.9)), 5).alias("p90"), F.round(F.stddev(y), 2).alias("std"), F.round(F.stddev_pop(y), 2).alias("std_pop"), F.min(y).alias("low"), F.max(y).alias("high"), F.round(F.avg((F.col("n_rows") < 10).cast("double")), 6).alias("share_small"))
 
 
 @query(f"""WITH {PANEL}, l(lag) AS (VALUES (0), (1), (3), (6)), w AS (SELECT bank_name, card_type, lag, outstanding AS y, CASE lag WHEN 0 THEN txn_vol WHEN 1 THEN lag(txn_vol, 1) OVER s WHEN 3 THEN lag(txn_vol, 3) OVER s ELSE lag(txn_vol, 6) OVER s END AS x FROM panel, l WINDOW s AS (PARTITION BY bank_name, card_type, lag ORDER BY month))
@@ -299,17 +299,17 @@ def e11_availability(spark, sf):
     return long.groupBy("variable").agg(F.countDistinct("bank_name").alias("n_banks"), F.min("month").alias("first_month"), F.max("month").alias("last_month"), F.round(F.avg(F.col("value").isNull().cast("double")), 4).alias("null_share"))
 
 
-@query(f"""WITH {PANEL}, t AS (SELECT bank_name FROM panel WHERE month = (SELECT max(month) FROM panel) GROUP BY 1 ORDER BY sum(outstanding) DESC, bank_name LIMIT 5) SELECT bank_name, month, round(sum(outstanding), 1) AS total FROM panel WHERE bank_name IN (SELECT bank_name FROM t) GROUP BY 1, 2""")
+@query(f"""WITH {PANEL}, t AS (SELECT bank_name FROM panel WHERE month = (SELECT max(month) FROM panel) GROUP BY 1 ORDER BY sum(outstanding) DESC, bank_name LIMIT 5) SELECT bank_name, month, round(sum(outstanding), 4) AS total FROM panel WHERE bank_name IN (SELECT bank_name FROM t) GROUP BY 1, 2""")
 def e15_top_entities(spark, sf):
     rows = fx.panel(spark, sf)
     last = rows.join(F.broadcast(rows.agg(F.max("month").alias("month"))), "month", "left_semi")  # one row
     top = last.groupBy("bank_name").agg(F.sum("outstanding").alias("s")).orderBy(F.desc("s"), "bank_name").limit(5)
-    return rows.join(F.broadcast(top), "bank_name", "left_semi").groupBy("bank_name", "month").agg(F.round(F.sum("outstanding"), 1).alias("total"))  # five rows
+    return rows.join(F.broadcast(top), "bank_name", "left_semi").groupBy("bank_name", "month").agg(F.round(F.sum("outstanding"), 4).alias("total"))  # five rows
 
 
-@query(f"""WITH {PANEL} SELECT month, max(CASE WHEN bank_name = 'FRANCE' THEN outstanding END) AS "FRANCE", max(CASE WHEN bank_name = 'BRAZIL' THEN outstanding END) AS "BRAZIL" FROM panel WHERE card_type = 'cc' GROUP BY 1""")
+@query(f"""WITH {PANEL} SELECT month, max(CASE WHEN bank_name = 'NATION_6' THEN outstanding END) AS "NATION_6", max(CASE WHEN bank_name = 'NATION_2' THEN outstanding END) AS "NATION_2" FROM panel WHERE card_type = 'cc' GROUP BY 1""")
 def e17_comparison(spark, sf):
-    return serving.comparison(fx.panel(spark, sf).filter("card_type = 'cc'"), "month", "bank_name", "outstanding", ["FRANCE", "BRAZIL"])
+    return serving.comparison(fx.panel(spark, sf).filter("card_type = 'cc'"), "month", "bank_name", "outstanding", ["NATION_6", "NATION_2"])
 
 
 @query(f"""WITH {SIGNALS} SELECT signal_type, bank_name, count(*) AS n FROM signals GROUP BY 1, 2""")
@@ -346,9 +346,9 @@ def h6_signal_regressors(spark, sf):
 
 
 @query(f"""WITH {PANEL}, n AS (SELECT *, row_number() OVER (PARTITION BY bank_name, card_type ORDER BY month DESC) AS k FROM panel), s AS (SELECT bank_name, card_type, max(month) AS last, CASE WHEN count(*) FILTER (WHERE k <= 6) >= 6 THEN regr_slope(txn_vol, -k) FILTER (WHERE k <= 6) ELSE 0 END AS slope, arg_max(txn_vol, month) AS v FROM n GROUP BY 1, 2)
-SELECT bank_name, card_type, CAST(last + to_months(CAST(h AS INTEGER)) AS DATE) AS month, round(greatest(0, v + slope * h), 2) AS txn_vol FROM s, range(1, 25) t(h)""")
+SELECT bank_name, card_type, CAST(last + to_months(CAST(h AS INTEGER)) AS DATE) AS month, round(greatest(0, v + slope * h), 6) AS txn_vol FROM s, range(1, 25) t(h)""")
 def h5_future_regressor(spark, sf):
-    return rounded(features.future_rows(fx.panel(spark, sf), KEY, "month", "txn_vol", "slope"), 2)
+    return rounded(features.future_rows(fx.panel(spark, sf), KEY, "month", "txn_vol", "slope"), 6)
 
 
 # ---- forecasts ----
@@ -369,30 +369,30 @@ def _members(spark, sf):
     return evaluate.long_members(_cv(spark, sf), [*KEY, "fold", "step", "y"])
 
 
-@query(f"WITH {_CV} SELECT bank_name, card_type, fold, step, y, round(linear, 1) AS linear, round(drift, 1) AS drift, seasonal FROM cv")
+@query(f"WITH {_CV} SELECT bank_name, card_type, fold, step, y, round(linear, 4) AS linear, round(drift, 4) AS drift, seasonal FROM cv")
 def i2_fold_forecasts(spark, sf):
-    return _cv(spark, sf).withColumns({c: F.round(c, 1) for c in ("linear", "drift")})
+    return _cv(spark, sf).withColumns({c: F.round(c, 4) for c in ("linear", "drift")})
 
 
-@query(f"WITH {_CV} SELECT bank_name, card_type, fold, step, round((2 * linear + drift + seasonal) / 4, 1) AS ensemble FROM cv")
+@query(f"WITH {_CV} SELECT bank_name, card_type, fold, step, round((2 * linear + drift + seasonal) / 4, 4) AS ensemble FROM cv")
 def i6_ensemble(spark, sf):
     out = evaluate.ensemble(_members(spark, sf), [*KEY, "fold", "step"], {"linear": 2.0, "drift": 1.0, "seasonal": 1.0})
-    return out.withColumn("ensemble", F.round("ensemble", 1))
+    return out.withColumn("ensemble", F.round("ensemble", 4))
 
 
 _SCORES = "f AS (SELECT bank_name, card_type, model, fold, avg(abs((y - yhat) / nullif(y, 0))) AS e FROM m GROUP BY 1, 2, 3, 4), sc AS (SELECT bank_name, card_type, model, count(*) AS n_folds, avg(least(e, 1)) AS mape_mean, median(least(e, 1)) AS mape_median, min(least(e, 1)) AS mape_min, max(least(e, 1)) AS mape_max, count(*) FILTER (WHERE e > 1) AS n_capped FROM f GROUP BY 1, 2, 3)"
 
 
-@query(f"WITH {_CV}, {_SCORES} SELECT bank_name, card_type, fold, step, round(sum(yhat / mape_mean) / sum(1 / mape_mean), 1) AS ensemble FROM m JOIN sc USING (bank_name, card_type, model) GROUP BY 1, 2, 3, 4")
+@query(f"WITH {_CV}, {_SCORES} SELECT bank_name, card_type, fold, step, round(sum(yhat / mape_mean) / sum(1 / mape_mean), 4) AS ensemble FROM m JOIN sc USING (bank_name, card_type, model) GROUP BY 1, 2, 3, 4")
 def i7_inverse_error_ensemble(spark, sf):
     m = _members(spark, sf)
     out = evaluate.inverse_error_ensemble(m, [*KEY, "fold", "step"], evaluate.cv_scores(m, KEY), KEY)
-    return out.withColumn("ensemble", F.round("ensemble", 1))
+    return out.withColumn("ensemble", F.round("ensemble", 4))
 
 
-@query(f"WITH {_CV}, p AS (SELECT bank_name, card_type, model, step, count(*) AS n, quantile_cont(y - yhat, 0.05) AS a, quantile_cont(y - yhat, 0.95) AS b FROM m GROUP BY 1, 2, 3, 4), s AS (SELECT bank_name, card_type, model, stddev_pop(y - yhat) AS g FROM m GROUP BY 1, 2, 3) SELECT bank_name, card_type, model, step, round(CASE WHEN n < 3 THEN -1.645 * g * sqrt(step) ELSE a END, 1) AS lower, round(CASE WHEN n < 3 THEN 1.645 * g * sqrt(step) ELSE b END, 1) AS upper, CASE WHEN n < 3 THEN 'normal' ELSE 'conformal' END AS how FROM p JOIN s USING (bank_name, card_type, model)")
+@query(f"WITH {_CV}, p AS (SELECT bank_name, card_type, model, step, count(*) AS n, quantile_cont(y - yhat, 0.05) AS a, quantile_cont(y - yhat, 0.95) AS b FROM m GROUP BY 1, 2, 3, 4), s AS (SELECT bank_name, card_type, model, stddev_pop(y - yhat) AS g FROM m GROUP BY 1, 2, 3) SELECT bank_name, card_type, model, step, round(CASE WHEN n < 3 THEN -1.645 * g * sqrt(step) ELSE a END, 5) AS lower, round(CASE WHEN n < 3 THEN 1.645 * g * sqrt(step) ELSE b END, 5) AS upper, CASE WHEN n < 3 THEN 'normal' ELSE 'conformal' END AS how FROM p JOIN s USING (bank_name, card_type, model)")
 def i8_conformal(spark, sf):
-    return rounded(evaluate.conformal(_members(spark, sf), [*KEY, "model"]), 1)
+    return rounded(evaluate.conformal(_members(spark, sf), [*KEY, "model"]), 5)
 
 
 @query(f"WITH {_CV}, {_SCORES} SELECT bank_name, card_type, model, n_folds, round(mape_mean, 6) AS mape_mean, round(mape_median, 6) AS mape_median, round(mape_min, 6) AS mape_min, round(mape_max, 6) AS mape_max, n_capped FROM sc")
