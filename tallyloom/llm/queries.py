@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .edit_fingerprint import fingerprint_documents
 from .gif_media import read_back, with_gif
+from .gumbel_pieces import sample_segmentations
 from .html_blocks import extract_main_text
 from .kneser_ney import classify_quality
 from .license_rules import scan_licenses
@@ -20,6 +21,11 @@ from .substring_dedup import remove_repeats
 from .suffix_tree import score_documents
 
 
+def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.hex(F.xxhash64("ids")).alias("ids_hash"), "log_prob", "perturbed", "log_inclusion", "decoded")
+
+
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return out.withColumn("length", F.col("length").cast("long"))
@@ -77,7 +83,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
+    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
