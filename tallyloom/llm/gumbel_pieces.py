@@ -25,6 +25,8 @@ from .kneser_ney import Lookup
 from .shared import Hasher, mixed, steps, strings
 
 SAMPLES = 2
+#: Text bytes whose units share a lattice.
+STEP = 3 << 20
 SPACE = 0x2581
 #: A space sign in the text itself: not the pieces' sign of a space, so its bytes are encoded.
 LITERAL = 0x110000
@@ -50,13 +52,20 @@ class Vocabulary:
         self.log = np.full(n, self.byte_log)
         self.log[ranked] = logs
         self.longest = max(len(self.pieces[i]) for i in usable)
-        codes = [np.frombuffer(self.pieces[i].encode("utf-32-le"), np.uint32) for i in usable]
+        known: dict[str, int] = {}
+        for i in usable:
+            for k in range(1, len(self.pieces[i])):
+                known.setdefault(self.pieces[i][:k], -1)
+            known[self.pieces[i]] = i
+        codes = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in known]
         ends = np.cumsum([len(c) for c in codes])
-        flat = np.concatenate(codes)
-        self.table = Lookup(code_spans(code_sums(flat), ends - [len(c) for c in codes], ends), np.arange(len(usable), dtype=np.float32))
-        self.usable = np.array(usable)
+        # pieces and their beginnings (-1): a span that isn't even a beginning needs no longer look
+        self.table = Lookup(code_spans(code_sums(np.concatenate(codes)), ends - [len(c) for c in codes], ends), np.array(list(known.values()), np.float32))
         self.shown = [p.replace("▁", " ") for p in self.pieces]
-        self.byte_ids = {i: b for b, i in self.bytes.items()}
+        for b in range(0x80):
+            self.shown[self.bytes[b]] = chr(b)
+        self.byte_ids = {i: b for b, i in self.bytes.items() if b >= 0x80}  # the others are characters by themselves
+        self.ascii_ids = np.array([self.bytes[b] for b in range(0x80)], np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text that pieces stand for; bytes that aren't UTF-8 together become replacement signs."""
@@ -120,17 +129,26 @@ class Lattice:
         self.edges(v)
 
     def edges(self, v: Vocabulary) -> None:
-        n, wide = len(self.codes), v.longest
-        sums = code_sums(self.codes)
-        log, self.piece = np.full((n, wide), -np.inf), np.full((n, wide), -1, np.int32)
-        for k in range(1, wide + 1):
-            i = np.flatnonzero(self.left >= k)
+        n, sums = len(self.codes), code_sums(self.codes)
+        logs, pieces, i = [], [], np.arange(n)
+        for k in range(1, v.longest + 1):
+            i = i[self.left[i] >= k]
             value, found = v.table.get(code_spans(sums, i, i + k))
-            i, ids = i[found], v.usable[value[found].astype(np.int64)]
-            log[i, k - 1], self.piece[i, k - 1] = v.log[ids], ids
+            i, ids = i[found], value[found].astype(np.int32)
+            if not len(i) and k > 1:
+                break
+            log, piece = np.full(n, -np.inf, np.float32), np.full(n, -1, np.int32)
+            whole = ids >= 0
+            log[i[whole]], piece[i[whole]] = v.log[ids[whole]], ids[whole]
+            logs.append(log)
+            pieces.append(piece)
+        log, self.piece = np.stack(logs, 1), np.stack(pieces, 1)
         alone = np.flatnonzero(self.piece[:, 0] < 0)  # not a piece: its bytes
         c = self.codes[alone]
         log[alone, 0] = v.byte_log * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000) - (c == LITERAL))
+        ascii_only = alone[c < 0x80]
+        self.piece[ascii_only, 0] = v.ascii_ids[self.codes[ascii_only]]
+        wide = log.shape[1]
         ahead = np.zeros(n + wide + 1)  # log sum over all ways from here to the unit's end
         order = np.argsort(self.left, kind="stable")
         cuts = np.searchsorted(self.left[order], np.arange(1, int(self.left.max(initial=0)) + 2))
@@ -147,7 +165,7 @@ class Lattice:
 
 def uniform(key: np.ndarray, turn: int, place: np.ndarray, what: int) -> np.ndarray:
     """Numbers in (0, 1) from row key, round and place."""
-    h = mixed(mixed(key + place.astype(np.uint64) * A) + np.uint64(turn) * B + np.uint64(what) * C)
+    h = mixed(mixed(key + place.astype(np.uint64) * A) + np.uint64((turn * int(B) + what * int(C)) % 2**64))
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -156,7 +174,7 @@ class Path:
 
     def __init__(self, at: np.ndarray, size: np.ndarray, unit: np.ndarray, lattice: Lattice):
         self.at, self.size, self.unit = at, size, unit
-        self.log = lattice.log[at, size - 1]
+        self.log = lattice.log[at, size - 1].astype(np.float64)
         self.before = np.concatenate([[0.0], np.cumsum(self.log)])
 
 
@@ -187,6 +205,29 @@ def truncated(log_mass: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(log_mass), np.minimum(out, bound), -np.inf)
 
 
+#: -log of an exponential variate made from 53 random bits is below this.
+MOST = 38.0
+
+
+def branches(p: Path, key: np.ndarray, turn: int, first: int, bound: float) -> np.ndarray:
+    """Values of the sets that branch off a path at each place from `first` on.
+
+    What branches off after the path's probability has fallen by more than MOST can't be the best, so it isn't drawn.
+    """
+    values, at, size, most = [np.full(first, -np.inf)], first, 256, -np.inf
+    while at < len(p.log):
+        log = p.log[at : at + size]
+        miss = -np.expm1(np.minimum(log, 0.0))
+        with np.errstate(divide="ignore"):
+            mass = np.where(miss < 1e-6, -np.inf, p.before[at : at + len(log)] + np.log(miss))
+        values.append(truncated(mass, bound, uniform(np.repeat(key, len(log)), turn, np.arange(at, at + len(log)), 1 << 21)))
+        most = max(most, values[-1].max())
+        at += size
+        if at < len(p.log) and p.before[at] + MOST < most:
+            break
+    return np.concatenate(values)
+
+
 def sampled(v: Vocabulary, texts: list[str], keys: np.ndarray, samples: int = SAMPLES) -> list[list[tuple[list[int], float, float, float]]]:
     """For each text up to `samples` distinct segmentations, best first: (ids, log probability, perturbed value, log inclusion score)."""
     lattice = Lattice(v, texts)
@@ -205,13 +246,8 @@ def sampled(v: Vocabulary, texts: list[str], keys: np.ndarray, samples: int = SA
         gone: list[dict[int, set[int]]] = [{}]  # of each path, the edges at a place that other paths have taken
         for turn in range(1, samples + 1):
             p = paths[-1]
-            with np.errstate(divide="ignore"):
-                mass = p.before[:-1] + np.log(np.maximum(-np.expm1(np.minimum(p.log, 0.0)), 0.0))
-            mass[-np.expm1(np.minimum(p.log, 0.0)) < 1e-12] = -np.inf
-            depth = np.arange(len(mass))
-            if gone[-1]:
-                mass[: max(gone[-1]) + 1] = -np.inf  # these sets are the frontier's already
-            frontier.append(truncated(mass, values[-1], uniform(np.repeat(key, len(mass)), turn, depth, 1 << 21)))
+            fresh = max(gone[-1], default=-1) + 1  # sets before this place are the frontier's already
+            frontier.append(branches(p, key, turn, fresh, values[-1]))
             best = max(range(len(frontier)), key=lambda i: frontier[i].max(initial=-np.inf))
             place = int(frontier[best].argmax()) if len(frontier[best]) else 0
             bound = float(frontier[best][place]) if len(frontier[best]) else -np.inf
@@ -220,7 +256,7 @@ def sampled(v: Vocabulary, texts: list[str], keys: np.ndarray, samples: int = SA
             p = paths[best]
             state = int(p.at[place])
             taken = gone[best].setdefault(place, set()) | {int(p.size[place])}
-            chance = np.exp(lattice.log[state])
+            chance = np.exp(lattice.log[state].astype(np.float64))
             chance[[k - 1 for k in taken]] = 0.0
             u = uniform(key, turn, np.array([place]), 1 << 22)[0]
             k = int(min((np.cumsum(chance) < u * chance.sum()).sum(), len(chance) - 1)) + 1
@@ -280,7 +316,7 @@ def sample_segmentations(docs: DataFrame, model_path: str, id_col: str = "doc_id
         for b in batches:
             texts = strings(b.column(2))
             doc_ids, keys = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for first, end, _, _ in steps(texts, 1 << 20):
+            for first, end, _, _ in steps(texts, STEP):
                 part, rows = texts[first:end].to_pylist(), []
                 for doc_id, text, found in zip(doc_ids[first:end], part, sampled(v, part, keys[first:end], samples), strict=True):
                     rows += [(doc_id, i, ids, p, g, q, v.decode(ids) == text) for i, (ids, p, g, q) in enumerate(found)]

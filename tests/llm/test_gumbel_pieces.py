@@ -44,7 +44,7 @@ def test_against_all_segmentations():
         weights = []
         for rows in draws:
             assert len({tuple(r[0]) for r in rows}) == len(rows) == min(3, len(every))
-            assert all(math.isclose(r[1], every[tuple(r[0])], abs_tol=1e-6) and V.decode(r[0]) == text for r in rows)
+            assert all(math.isclose(r[1], every[tuple(r[0])], abs_tol=1e-4) and V.decode(r[0]) == text for r in rows)
             assert [r[2] for r in rows] == sorted((r[2] for r in rows), reverse=True)
             first[tuple(rows[0][0])] += 1
             weights.append(sum(math.exp(r[1] - r[3]) for r in rows))
