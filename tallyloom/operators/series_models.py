@@ -1,0 +1,75 @@
+"""Models and tests of many short series: each series is one group, its recursion a numpy helper."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+from tallyloom.functions import numeric
+
+MODELS: dict[str, Callable[[np.ndarray, int], np.ndarray | None]] = {"ets": numeric.holt_winters, "arima": numeric.arima111, "structural": numeric.structural}
+
+
+def _schema(rows: DataFrame, series: list[str]) -> str:
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return ", ".join(f"`{c}` {types[c]}" for c in series)
+
+
+def forecasts(rows: DataFrame, series: list[str], month: str, y: str, horizon: int = 6, logged: bool = True) -> DataFrame:
+    """(series, model, step, yhat) of each model; a model that can't be fitted has null values and doesn't end the job."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        values = part.sort_values(month)[y].to_numpy(float)
+        values = np.log1p(np.maximum(values, 0)) if logged else values
+        out = []
+        for name, model in MODELS.items():
+            found = model(values, horizon)
+            found = [None] * horizon if found is None else (np.maximum(np.expm1(found), 0) if logged else found)
+            out += [(*part[series].iloc[0], name, h + 1, v) for h, v in enumerate(found)]
+        return pd.DataFrame(out, columns=[*series, "model", "step", "yhat"])
+
+    return rows.select(*series, month, y).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, model string, step int, yhat double")
+
+
+def cross_validated(rows: DataFrame, series: list[str], month: str, y: str, initial: int = 36, horizon: int = 6, step: int = 6) -> DataFrame:
+    """(series, model, fold, step, y, yhat): walk-forward forecasts. Rows travel once; folds are slices within the group."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        values = np.log1p(np.maximum(part.sort_values(month)[y].to_numpy(float), 0))
+        out = []
+        for fold, cut in enumerate(range(initial, len(values) - horizon + 1, step)):
+            for name, model in MODELS.items():
+                found = model(values[:cut], horizon)
+                if found is not None:
+                    out += [(*part[series].iloc[0], name, fold, h + 1, float(np.expm1(values[cut + h])), max(0.0, float(np.expm1(v)))) for h, v in enumerate(found)]
+        return pd.DataFrame(out, columns=[*series, "model", "fold", "step", "y", "yhat"])
+
+    return rows.select(*series, month, y).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, model string, fold int, step int, y double, yhat double")
+
+
+def relations(rows: DataFrame, series: list[str], month: str, y: str, x: str, lags: int = 4) -> DataFrame:
+    """(series, direction, lag, f, p, n): Granger tests of differences, x to y and back, for each lag."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(month)
+        a, b = (np.diff(part[c].to_numpy(float)) for c in (y, x))
+        out = [(*part[series].iloc[0], d, k, *numeric.granger(p, q, k)) for d, p, q in (("forward", a, b), ("reverse", b, a)) for k in range(1, lags + 1)]
+        return pd.DataFrame(out, columns=[*series, "direction", "lag", "f", "p", "n"])
+
+    return rows.select(*series, month, y, x).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, direction string, lag int, f double, p double, n int")
+
+
+def stationarity(rows: DataFrame, series: list[str], month: str, y: str) -> DataFrame:
+    """(series, adf, lags, stationary, order, kpss, ljung_box, ljung_p): order is how many differences make it stationary (at most 2)."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        values = part.sort_values(month)[y].to_numpy(float)
+        t, k, ok = numeric.adf(values)
+        order = next((d for d in range(3) if numeric.adf(np.diff(values, d))[2]), 2)
+        box = numeric.ljung_box(values, min(6, len(values) - 1)) if len(values) > 7 and np.ptp(values) > 0 else (np.nan, np.nan)
+        return pd.DataFrame([(*part[series].iloc[0], t, k, bool(ok), order, numeric.kpss(values) if len(values) > 10 else np.nan, *box)], columns=[*series, "adf", "lags", "stationary", "order", "kpss", "ljung_box", "ljung_p"])
+
+    return rows.select(*series, month, y).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, adf double, lags int, stationary boolean, `order` int, kpss double, ljung_box double, ljung_p double")

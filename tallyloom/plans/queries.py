@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import parse
-from tallyloom.operators import align, cleaning, evaluate, features, profile, serving
+from tallyloom.operators import align, cleaning, evaluate, features, grid, profile, series_models, serving
 from tallyloom.sources import fixtures as fx
 from tallyloom.sources.fixtures import MACRO, PANEL, RATES, SIGNALS, SOURCES, TOTALS, table
 
@@ -466,3 +466,73 @@ def f8_latest_status(spark, sf):
     runs = table(spark, sf, "events").select(F.col("event_type").alias("source"), F.col("ts").cast("timestamp").alias("started_at"), status.alias("status"))
     groups = spark.createDataFrame([(x,) for x in ("click", "view", "purchase", "signup", "error", "mail")], "source string")
     return serving.latest(runs, groups, "source", "started_at")
+
+
+# ---- cell grids ----
+
+_CELLS = f"""{PANEL}, base AS (SELECT card_type AS file, bank_name AS sheet, CAST(row_number() OVER (PARTITION BY card_type, bank_name ORDER BY month) AS INTEGER) AS r, month, outstanding, txn_vol FROM panel),
+cells AS (SELECT file, sheet, r + 2 AS row, 0 AS col, CASE WHEN r % 12 = 1 THEN 'Year group' WHEN r % 12 = 0 THEN 'TOTAL' ELSE strftime(month, '%Y-%m') END AS value FROM base
+ UNION ALL SELECT file, sheet, r + 2, 1, CAST(CAST(floor(outstanding) AS BIGINT) AS VARCHAR) FROM base UNION ALL SELECT file, sheet, r + 2, 2, CASE WHEN r % 5 = 0 THEN '-' ELSE CAST(CAST(floor(txn_vol) AS BIGINT) AS VARCHAR) END FROM base
+ UNION ALL SELECT DISTINCT file, sheet, v.row, v.col, v.value FROM base, (VALUES (0, 0, 'Name'), (0, 1, '8 Cards Outstanding'), (0, 2, ' '), (1, 0, NULL), (1, 1, 'Amount'), (1, 2, 'Volume (Online)'), (2, 0, NULL), (2, 1, 'Rs'), (2, 2, 'Number')) v(row, col, value))"""
+
+
+def _cells(spark, sf):
+    w = Window.partitionBy("file", "sheet").orderBy("month")
+    base = fx.panel(spark, sf).select(F.col("card_type").alias("file"), F.col("bank_name").alias("sheet"), "month", "outstanding", "txn_vol").withColumn("r", F.row_number().over(w))
+    label = F.when(F.col("r") % 12 == 1, "Year group").when(F.col("r") % 12 == 0, "TOTAL").otherwise(F.date_format("month", "yyyy-MM"))
+    whole = lambda c: F.col(c).cast("long").cast("string")
+    cell = lambda col, value: F.struct((F.col("r") + 2).alias("row"), F.lit(col).alias("col"), value.alias("value"))
+    body = base.select("file", "sheet", F.explode(F.array(cell(0, label), cell(1, whole("outstanding")), cell(2, F.when(F.col("r") % 5 == 0, "-").otherwise(whole("txn_vol"))))).alias("c")).select("file", "sheet", "c.*")
+    head = spark.createDataFrame([(0, 0, "Name"), (0, 1, "8 Cards Outstanding"), (0, 2, " "), (1, 0, None), (1, 1, "Amount"), (1, 2, "Volume (Online)"), (2, 0, None), (2, 1, "Rs"), (2, 2, "Number")], "row int, col int, value string")
+    return grid.data_sheets(body.unionByName(base.select("file", "sheet").distinct().crossJoin(F.broadcast(head))))  # nine header cells
+
+
+@query(f"WITH {_CELLS} SELECT file, sheet, row, col, last_value(nullif(trim(value), '') IGNORE NULLS) OVER (PARTITION BY file, sheet, row ORDER BY col ROWS UNBOUNDED PRECEDING) AS value FROM cells WHERE row < 3")
+def g1_filled_headers(spark, sf):
+    return grid.filled_headers(_cells(spark, sf), 3)
+
+
+@query(f"WITH {_CELLS} SELECT file, sheet, col, last_value(CASE WHEN regexp_matches(value, '^\\s*\\d+\\s+\\S') THEN value END IGNORE NULLS) OVER (PARTITION BY file, sheet ORDER BY col ROWS UNBOUNDED PRECEDING) AS section FROM cells WHERE row = 0")
+def g2_sections(spark, sf):
+    return grid.section_of_columns(_cells(spark, sf), 0)
+
+
+@query(f"WITH {_CELLS} SELECT DISTINCT file, sheet, target, c AS col FROM cells, (VALUES ('amount', 1), ('volume', 2), ('limit', NULL)) t(target, c)")
+def g4_resolved_targets(spark, sf):
+    sigs = grid.signatures(grid.filled_headers(_cells(spark, sf), 3))
+    return grid.resolved_targets(sigs, {"amount": [["outstanding", "amount"]], "volume": [["quantity"], ["volume", "online"]], "limit": [["limit"]]})
+
+
+@query(f"WITH {_CELLS}, l AS (SELECT file, sheet, row, value, last_value(CASE WHEN upper(trim(value)) = 'YEAR GROUP' THEN value END IGNORE NULLS) OVER (PARTITION BY file, sheet ORDER BY row ROWS UNBOUNDED PRECEDING) AS category FROM cells WHERE col = 0 AND row >= 3) SELECT file, sheet, row, value AS label, category FROM l WHERE upper(trim(value)) <> 'YEAR GROUP' AND NOT starts_with(upper(trim(value)), 'TOTAL')")
+def g6_categories(spark, sf):
+    return grid.categories(_cells(spark, sf), 0, ["Year group"], 3)
+
+
+@query(f"WITH {_CELLS} SELECT file, sheet, row, max(CASE WHEN col = 1 THEN TRY_CAST(value AS DOUBLE) END) AS amount, max(CASE WHEN col = 2 THEN TRY_CAST(value AS DOUBLE) END) AS volume FROM cells WHERE row >= 3 AND col > 0 GROUP BY 1, 2, 3")
+def g7_extracted_rows(spark, sf):
+    cells = _cells(spark, sf)
+    columns = grid.resolved_targets(grid.signatures(grid.filled_headers(cells, 3)), {"amount": [["amount"]], "volume": [["volume"]]})
+    return grid.extracted(cells, columns, 3, ["amount", "volume"], parse.number(F.col("value")))
+
+
+# ---- models and tests (rows only; pytest holds the helpers against independent computations) ----
+
+
+@query()
+def i3_i4_i5_forecasts(spark, sf):
+    return series_models.forecasts(fx.panel(spark, sf), KEY, "month", "outstanding")
+
+
+@query()
+def i10_model_cv(spark, sf):
+    return evaluate.cv_scores(series_models.cross_validated(fx.panel(spark, sf), KEY, "month", "outstanding"), KEY)
+
+
+@query()
+def j1_stationarity(spark, sf):
+    return series_models.stationarity(fx.panel(spark, sf), KEY, "month", "outstanding")
+
+
+@query()
+def j3_granger(spark, sf):
+    return series_models.relations(fx.panel(spark, sf), KEY, "month", "outstanding", "txn_vol")
