@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import only
+
 SAMPLES = 32
 FIRST = 6  # steps before 2**FIRST are one octave
 BAND = 8
@@ -174,6 +176,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         ids: list = []
         texts: list[str] = []
         chars = 0

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kneser_ney import Lookup
-from .shared import Hasher, mixed, steps, strings
+from .shared import HELD, Hasher, mixed, only, steps, strings
 
 SAMPLES = 2
 #: Text bytes whose units share a lattice.
@@ -95,6 +95,7 @@ def code_spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 VOCABULARIES: dict[str, Vocabulary] = {}
+HELD["pieces"] = VOCABULARIES.clear
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -310,6 +311,7 @@ def sample_segmentations(docs: DataFrame, model_path: str, id_col: str = "doc_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("pieces")
         v = vocabulary(model_path)
         names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion", "decoded"]
         kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import strings
+from .shared import only, strings
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "inside")
 
@@ -272,6 +272,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     tree = tree or trained_tree()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for b in batches:
             texts = [main_text(page, tree) for page in strings(b.column(2)).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

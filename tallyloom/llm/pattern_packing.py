@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import kept, strings
+from .shared import HELD, kept, only, strings
 
 CAPACITY = 2048
 #: Pieces for each part into which ranks within a length are split.
@@ -96,6 +96,7 @@ class WordEncoder:
 
 
 ENCODERS: dict[tuple[str, str | None], WordEncoder] = {}
+HELD["packing"] = ENCODERS.clear
 
 
 def encoder(path: str, ranks_path: str | None = None) -> WordEncoder:
@@ -110,6 +111,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     end = np.array([end_id], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("packing")
         encode = encoder(tokenizer_path, ranks_path).encode
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), strings(batch.column(1))

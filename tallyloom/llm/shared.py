@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,17 @@ def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int,
         first = end
 
 
+#: What Python workers hold from task to task, by operator: how to let go of it.
+HELD: dict[str, Callable[[], None]] = {}
+
+
+def only(name: str = "") -> None:
+    """Called at a task's start: lets go of what other operators' tasks have left in this worker."""
+    for other, clear in HELD.items():
+        if other != name:
+            clear()
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WHITE = np.zeros(256, bool)
@@ -92,19 +103,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WH
 class Hasher:
     """64-bit hashes of byte spans and of word windows, by prefix sums of a polynomial with random byte values."""
 
+    BASE = 0x5851F42D4C957F2D
+    #: Powers of the base and of its inverse, shared by all hashers of a process.
+    powers = inverses = np.ones(1, np.uint64)
+
     def __init__(self, seed: int):
         rng = np.random.Generator(np.random.PCG64(seed))
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1, 2**61)) * 8 + 5
-        self.inverse = pow(self.base, -1, 2**64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
 
-    def grow(self, n: int) -> None:
-        if n > len(self.powers):
+    @classmethod
+    def grow(cls, n: int) -> None:
+        if n > len(Hasher.powers):
             n = max(n, 1 << 16)
             with np.errstate(over="ignore"):
-                self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, self.base, np.uint64)]))
-                self.inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, self.inverse, np.uint64)]))
+                Hasher.powers, Hasher.inverses = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, np.uint64)])) for x in (cls.BASE, pow(cls.BASE, -1, 2**64)))
 
     def prefix(self, values: np.ndarray) -> np.ndarray:
         self.grow(len(values) + 1)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_groups
-from .shared import LOWER, joined_words, kept, steps, strings, word_spans
+from .shared import LOWER, joined_words, kept, only, steps, strings, word_spans
 
 LIMIT = 4
 SHINGLE = 4
@@ -76,6 +76,7 @@ def with_simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp): fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for b in batches:
             fp = simhash_batch(strings(b.column(1)), shingle)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp.view(np.int64))], ["doc_id", "fp"])

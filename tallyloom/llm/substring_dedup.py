@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Hasher, by_shard, in_blocks, inside, joined_words, kept, packed, sorted_in, steps, strings, unpacked, word_spans
+from .shared import Hasher, by_shard, in_blocks, inside, joined_words, kept, only, packed, sorted_in, steps, strings, unpacked, word_spans
 
 LENGTH = 35
 BLOCK_BYTES = 8 << 20
@@ -142,6 +142,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, length: int
     sent_schema = "block long, shard long, hashes binary, again binary"
 
     def passages(part: pa.Table) -> Iterator[Passages]:
+        only()
         for _, _, data, offsets in steps(strings(part.column("text"))):
             yield Passages(data, offsets, length)
 
