@@ -61,27 +61,23 @@ class Vocabulary:
         ends = np.cumsum([len(c) for c in codes])
         # pieces and their beginnings (-1): a span that isn't even a beginning needs no longer look
         self.table = Lookup(code_spans(code_sums(np.concatenate(codes)), ends - [len(c) for c in codes], ends), np.array(list(known.values()), np.float32))
-        self.shown = [p.replace("▁", " ") for p in self.pieces]
-        for b in range(0x80):
-            self.shown[self.bytes[b]] = chr(b)
-        self.byte_ids = {i: b for b, i in self.bytes.items() if b >= 0x80}  # the others are characters by themselves
+        shown = [p.replace("▁", " ").encode() for p in self.pieces]
+        for b, i in self.bytes.items():
+            shown[i] = bytes([b])
+        self.size = np.array([len(x) for x in shown])
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(shown), np.uint8)
         self.ascii_ids = np.array([self.bytes[b] for b in range(0x80)], np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def decoded(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """UTF-8 bytes of pieces, one after another, and where each piece's begin (one more entry than pieces)."""
+        size = self.size[ids]
+        at = np.concatenate([[0], np.cumsum(size)])
+        return self.flat[np.repeat(self.start[ids] - at[:-1], size) + np.arange(int(at[-1]))].tobytes(), at
+
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text that pieces stand for; bytes that aren't UTF-8 together become replacement signs."""
-        if self.byte_ids.keys().isdisjoint(ids):
-            return "".join(map(self.shown.__getitem__, ids))[1:]  # the first space is the encoder's own
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.byte_ids:
-                raw.append(self.byte_ids[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(self.shown[i])
-        out.append(raw.decode("utf-8", "replace"))
-        return "".join(out)[1:]
+        return self.decoded(np.asarray(ids, np.int64))[0].decode("utf-8", "replace")[1:]  # the first space is the encoder's own
 
 
 def code_sums(codes: np.ndarray) -> np.ndarray:
@@ -164,12 +160,20 @@ class Lattice:
         self.chance = np.cumsum(np.exp(log), axis=1)
 
 
-def uniform(key: np.ndarray, turn: int, place: np.ndarray, what: int) -> np.ndarray:
-    """Numbers in (0, 1) from row key, round and place."""
-    h = mixed(mixed(key + place.astype(np.uint64) * A) + np.uint64((turn * int(B) + what * int(C)) % 2**64))
+def place_keys(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mixed(key + place.astype(np.uint64) * A)
+
+
+def drawn(place_key: np.ndarray, turn: int, what: int) -> np.ndarray:
+    """Numbers in (0, 1) from row key and place, round and purpose."""
+    h = mixed(place_key + np.uint64((turn * int(B) + what * int(C)) % 2**64))
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def uniform(key: np.ndarray, turn: int, place: np.ndarray, what: int) -> np.ndarray:
+    return drawn(place_keys(key, place), turn, what)
+
+
 class Path:
     """One segmentation of one text: for each edge its place in the lattice, its length and log probability, and the unit's number."""
 
@@ -179,20 +183,20 @@ class Path:
         self.before = np.concatenate([[0.0], np.cumsum(self.log)])
 
 
-def walks(lattice: Lattice, keys: np.ndarray, turn: int, state: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def walks(lattice: Lattice, place_key: np.ndarray, turn: int, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Free samples from each state to its unit's end: (index into states, place, edge length), in order of index and step."""
     who, at, size, step = [], [], [], 0
-    index = np.arange(len(state))
+    index, state = np.arange(len(state)), state.copy()
     while len(index):
-        u = uniform(keys[index], turn, unit[index], step)
-        chance = lattice.chance[state[index]]
-        k = np.minimum((chance < u[:, None] * chance[:, -1:]).sum(1), chance.shape[1] - 1) + 1
+        here = state[index]
+        chance = lattice.chance[here]
+        u = (drawn(place_key[index], turn, step) * chance[:, -1]).astype(np.float32)
+        k = np.minimum((chance < u[:, None]).sum(1), chance.shape[1] - 1) + 1
         who.append(index)
-        at.append(state[index])
+        at.append(here)
         size.append(k)
-        state = state.copy()
         state[index] += k
-        index = index[lattice.left[at[-1]] > k]
+        index = index[lattice.left[here] > k]
         step += 1
     who = np.concatenate(who) if who else np.zeros(0, np.int64)
     order = np.argsort(who, kind="stable")
@@ -215,7 +219,7 @@ def branches(p: Path, key: np.ndarray, turn: int, first: int, bound: float) -> n
 
     What branches off after the path's probability has fallen by more than MOST can't be the best, so it isn't drawn.
     """
-    values, at, size, most = [np.full(first, -np.inf)], first, 256, -np.inf
+    values, at, size, most = [np.full(first, -np.inf)], first, 384, -np.inf
     while at < len(p.log):
         log = p.log[at : at + size]
         miss = -np.expm1(np.minimum(log, 0.0))
@@ -229,15 +233,16 @@ def branches(p: Path, key: np.ndarray, turn: int, first: int, bound: float) -> n
     return np.concatenate(values)
 
 
-def sampled(v: Vocabulary, texts: list[str], keys: np.ndarray, samples: int = SAMPLES) -> list[list[tuple[list[int], float, float, float]]]:
+def sampled(v: Vocabulary, texts: list[str], keys: np.ndarray, samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to `samples` distinct segmentations, best first: (ids, log probability, perturbed value, log inclusion score)."""
     lattice = Lattice(v, texts)
     n = len(texts)
     text_of = np.repeat(np.arange(n), np.diff(lattice.of_text))
     unit_no = np.arange(len(text_of)) - lattice.of_text[:-1][text_of]
-    free = [walks(lattice, keys[text_of], turn, lattice.begin[lattice.unit], unit_no) for turn in range(samples)]
+    unit_keys, begin = place_keys(keys[text_of], unit_no), lattice.begin[lattice.unit]
+    free = [walks(lattice, unit_keys, turn, begin) for turn in range(samples)]
     cuts = [np.searchsorted(who, np.arange(len(text_of) + 1)) for who, _, _ in free]
-    out: list[list[tuple[list[int], float, float, float]]] = []
+    out: list[list[tuple[np.ndarray, float, float, float]]] = []
     for t in range(n):
         a, b = int(lattice.of_text[t]), int(lattice.of_text[t + 1])
         key = keys[t : t + 1]
@@ -269,7 +274,7 @@ def sampled(v: Vocabulary, texts: list[str], keys: np.ndarray, samples: int = SA
             unit = int(p.unit[place])
             heads = [p.at[:place], [state]], [p.size[:place], [k]], [p.unit[:place], [unit]]
             if lattice.left[state] > k:
-                _, at, size = walks(lattice, key, turn, np.array([state + k]), np.array([unit + (1 << 32)]))
+                _, at, size = walks(lattice, place_keys(key, np.array([unit + (1 << 32)])), turn, np.array([state + k]))
                 heads[0].append(at), heads[1].append(size), heads[2].append(np.full(len(at), unit))
             tail = slice(cuts[turn][a + unit + 1], cuts[turn][b])
             who, at, size = (x[tail] for x in free[turn])
@@ -288,10 +293,10 @@ def log_inclusion(log_p: float, threshold: float) -> float:
     return float(log_p - threshold) if x < 1e-12 else float(np.log(-np.expm1(-x)))
 
 
-def piece_ids(v: Vocabulary, lattice: Lattice, p: Path) -> list[int]:
+def piece_ids(v: Vocabulary, lattice: Lattice, p: Path) -> np.ndarray:
     ids = lattice.piece[p.at, p.size - 1]
     if (ids >= 0).all():
-        return ids.tolist()
+        return ids
     out = []
     for i, at in zip(ids.tolist(), p.at.tolist(), strict=True):
         if i >= 0:
@@ -299,7 +304,7 @@ def piece_ids(v: Vocabulary, lattice: Lattice, p: Path) -> list[int]:
         else:
             c = int(lattice.codes[at])
             out += [v.bytes[x] for x in chr(SPACE if c == LITERAL else c).encode()]
-    return out
+    return np.array(out, np.int32)
 
 
 def sample_segmentations(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
@@ -314,15 +319,26 @@ def sample_segmentations(docs: DataFrame, model_path: str, id_col: str = "doc_id
         only("pieces")
         v = vocabulary(model_path)
         names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion", "decoded"]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
+        kinds = [pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
         for b in batches:
             texts = strings(b.column(2))
             doc_ids, keys = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
             for first, end, _, _ in steps(texts, STEP):
-                part, rows = texts[first:end].to_pylist(), []
-                for doc_id, text, found in zip(doc_ids[first:end], part, sampled(v, part, keys[first:end], samples), strict=True):
-                    rows += [(doc_id, i, ids, p, g, q, v.decode(ids) == text) for i, (ids, p, g, q) in enumerate(found)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                part = texts[first:end].to_pylist()
+                found = sampled(v, part, keys[first:end], samples)
+                ids = [x[0] for rows in found for x in rows]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+                flat = np.concatenate(ids)
+                raw, at = v.decoded(flat)
+                at, rows, n = at[ends].tolist(), [], 0
+                for doc_id, text, own in zip(doc_ids[first:end], part, found, strict=True):
+                    want = b" " + text.encode()
+                    for i, (_, p, g, q) in enumerate(own):
+                        rows.append((doc_id, i, p, g, q, raw[at[n] : at[n + 1]] == want))
+                        n += 1
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                columns.insert(2, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, decoded boolean"
     key = F.xxhash64(F.col(id_col).cast("long"), F.when(F.col(id_col).isNull(), F.col(text_col)))
