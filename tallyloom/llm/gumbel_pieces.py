@@ -60,7 +60,7 @@ class Vocabulary:
         codes = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in known]
         ends = np.cumsum([len(c) for c in codes])
         # pieces and their beginnings (-1): a span that isn't even a beginning needs no longer look
-        self.table = Lookup(code_spans(code_sums(np.concatenate(codes)), ends - [len(c) for c in codes], ends), np.array(list(known.values()), np.float32))
+        self.table = Lookup(code_spans(code_sums(np.concatenate(codes)), ends - [len(c) for c in codes], ends), np.array(list(known.values()), np.float32), hashed=True)
         shown = [p.replace("▁", " ").encode() for p in self.pieces]
         for b, i in self.bytes.items():
             shown[i] = bytes([b])
