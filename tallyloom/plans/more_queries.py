@@ -211,3 +211,41 @@ def s4_months_behind(spark, sf):
 def c8_structure(spark, sf):
     counts = fx.panel(spark, sf).groupBy("card_type", "month").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("outstanding").isNull()).alias("n_null"))
     return counts.join(fx.totals(spark, sf), ["card_type", "month"], "left").select("card_type", "month", "n", "n_null", F.col("total").isNull().alias("no_target"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS month FROM orders""")
+def b2_fixed_patterns(spark, sf):
+    """The first of the patterns that fits; text of another form gives null."""
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 3
+    text = F.when(k == 0, F.date_format(d, "MMM-yyyy")).when(k == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("Q3/99")
+    found = F.coalesce(*(F.try_to_timestamp(text, F.lit(p)) for p in ("MMM-yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    return table(spark, sf, "orders").select("o_orderkey", F.trunc(found, "MM").alias("month"))
+
+
+@query(f"""WITH {PANEL} SELECT card_type, count(outstanding) > 0 AS has_outstanding, count(txn_vol) > 0 AS has_txn_vol, count(CASE WHEN n_rows < 0 THEN 1 END) > 0 AS has_extra, count(*) AS n FROM panel GROUP BY 1""")
+def c6_columns_with_values(spark, sf):
+    there = lambda c: (F.count(c) > 0)
+    return fx.panel(spark, sf).groupBy("card_type").agg(there("outstanding").alias("has_outstanding"), there("txn_vol").alias("has_txn_vol"), there(F.when(F.col("n_rows") < 0, 1)).alias("has_extra"), F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {PANEL} SELECT * FROM (SELECT 'head' AS part, month, bank_name, card_type FROM panel ORDER BY month, bank_name, card_type LIMIT 5) UNION ALL SELECT * FROM (SELECT 'tail', month, bank_name, card_type FROM panel ORDER BY month DESC, bank_name DESC, card_type DESC LIMIT 5)""")
+def e21_head_and_tail(spark, sf):
+    keys = ["month", "bank_name", "card_type"]
+    rows = fx.panel(spark, sf).select(*keys)
+    head = rows.orderBy(*keys).limit(5).select(F.lit("head").alias("part"), *keys)
+    return head.unionByName(rows.orderBy(*(F.desc(k) for k in keys)).limit(5).select(F.lit("tail").alias("part"), *keys))
+
+
+@query(f"""WITH {PANEL}, m(bank_name, card_type, since) AS (VALUES ('NATION_6', 'cc', DATE '1998-07-01')) SELECT bank_name, card_type, month, CASE WHEN month >= since THEN 1.0 ELSE 0.0 END::DOUBLE AS merger FROM panel LEFT JOIN m USING (bank_name, card_type)""")
+def h3_merger_dummy(spark, sf):
+    mergers = spark.createDataFrame([("NATION_6", "cc", "1998-07-01")], "bank_name string, card_type string, since string")
+    step = F.when(F.col("month") >= F.col("since").cast("date"), 1.0).otherwise(0.0)
+    return fx.panel(spark, sf).join(F.broadcast(mergers), KEY, "left").select(*KEY, "month", step.alias("merger"))
+
+
+@query("""SELECT event_id, CASE WHEN user_id % 60 < 24 THEN 'drop' WHEN value / 100.0 < 0.05 AND user_id % 60 >= 36 THEN 'USE' WHEN value / 100.0 < 0.1 THEN 'CONSIDER' ELSE 'WEAK' END AS verdict FROM events""")
+def j4_verdicts(spark, sf):
+    """From a p value (value / 100) and a number of rows (user_id modulo 60)."""
+    n, p = F.col("user_id") % 60, F.col("value") / 100.0
+    verdict = F.when(n < 24, "drop").when((p < 0.05) & (n >= 36), "USE").when(p < 0.1, "CONSIDER").otherwise("WEAK")
+    return table(spark, sf, "events").select("event_id", verdict.alias("verdict"))
