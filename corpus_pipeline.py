@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.kneser_ney import classify_quality
+from tallyloom.llm.near_copies import near_copy_groups, node_of
 from tallyloom.llm.pattern_packing import packed_documents
 from tallyloom.llm.shared import kept, table
-from tallyloom.llm.simhash_groups import simhash_groups
 from tallyloom.llm.substring_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,11 +25,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that with the smallest doc_id (of repeated doc_ids one row). Rows without doc_id stay."""
-    stay = kept(simhash_groups(docs).filter("doc_id = component_id").select("doc_id").distinct(), "representatives")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    named = docs.join(stay, "doc_id", "left_semi").withColumn("_row", one).filter("_row = 1").select(COLUMNS)
-    return named.unionByName(docs.filter("doc_id is null").select(COLUMNS))
+    """One row of each group of texts with a five-word Jaccard similarity of 0.8 or more, that with the smallest doc_id.
+
+    Null ids come last and equal ids are told apart by text, so of every group one row stays, whatever its ids are.
+    """
+    rows = docs.select(COLUMNS).withColumn("_node", node_of())
+    groups = near_copy_groups(docs).select(F.col("node").alias("_node"), F.col("group").alias("_group"))
+    ids = rows.groupBy("_node").agg(F.min("doc_id").alias("_id")).join(groups, "_node", "left")
+    first = F.struct(F.col("_id").isNull(), "_id", "_node")
+    stay = kept(ids.groupBy(F.coalesce("_group", "_node").alias("_group")).agg(F.min(first).alias("_first")).select("_first._node", "_first._id"), "representatives")
+    one = F.row_number().over(Window.partitionBy("_node").orderBy(F.xxhash64(*COLUMNS)))
+    named = rows.join(stay, "_node").filter("doc_id <=> _id")
+    return named.withColumn("_row", one).filter("_row = 1").select(COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
