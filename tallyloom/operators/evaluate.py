@@ -103,3 +103,21 @@ def trend_forecast(rows: DataFrame, series: list[str], month: str, y: str, last:
     fit = r.groupBy(*series).agg(F.regr_slope(y, -F.col("_k")).alias("_s"), F.regr_intercept(y, -F.col("_k")).alias("_c"), F.max(month).alias("_end"))
     steps = fit.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
     return steps.select(*series, F.add_months("_end", F.col("step")).alias("month"), "step", F.greatest(F.lit(0.0), F.col("_c") + F.col("_s") * (F.col("step") - 1)).alias("forecast"))
+
+
+def trend_label(pct: Column) -> Column:
+    """Bands of a change in percent at 10 and 50, up and down (null: null)."""
+    return F.when(pct > 50, "strong growth").when(pct > 10, "growth").when(pct > -10, "flat").when(pct > -50, "declining").when(pct.isNotNull(), "strong decline")
+
+
+def stars(p: Column) -> Column:
+    """Three, two and one for p-values under 0.001, 0.01 and 0.05; none for others, null and NaN."""
+    return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("")
+
+
+def within_shares(members: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n, within_5, within_10, within_20, good, ok, bad): shares of errors under 5, 10 and 20 percent, and counts up to 5, 15 and beyond; actuals of zero are left out."""
+    rows = members.withColumn("_e", F.round(F.abs((F.col("y") - F.col("yhat")) / F.nullif("y", F.lit(0.0))), 8))
+    e = F.col("_e")
+    shares = [F.avg(F.when(e.isNotNull(), (e < t).cast("double"))).alias(f"within_{round(100 * t)}") for t in (0.05, 0.1, 0.2)]
+    return rows.groupBy(*by).agg(F.count(e).alias("n"), *shares, F.count_if(e < 0.05).alias("good"), F.count_if((e >= 0.05) & (e < 0.15)).alias("ok"), F.count_if(e >= 0.15).alias("bad"))

@@ -50,26 +50,31 @@ def cross_validated(rows: DataFrame, series: list[str], month: str, y: str, init
     return rows.select(*series, month, y).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, model string, fold int, step int, y double, yhat double")
 
 
-def relations(rows: DataFrame, series: list[str], month: str, y: str, x: str, lags: int = 4) -> DataFrame:
-    """(series, direction, lag, f, p, n): Granger tests of differences, x to y and back, for each lag."""
+def relations(rows: DataFrame, series: list[str], month: str, y: str, x: str, lags: int = 6) -> DataFrame:
+    """(series, direction, lag, f, p, n, best_lag): Granger tests of differences, x to y and back, for each lag; best_lag has the least p (null: no test)."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(month)
         a, b = (np.diff(part[c].to_numpy(float)) for c in (y, x))
-        out = [(*part[series].iloc[0], d, k, *numeric.granger(p, q, k)) for d, p, q in (("forward", a, b), ("reverse", b, a)) for k in range(1, lags + 1)]
-        return pd.DataFrame(out, columns=[*series, "direction", "lag", "f", "p", "n"])
+        out = []
+        for d, p, q in (("forward", a, b), ("reverse", b, a)):
+            tests = [numeric.granger(p, q, k) for k in range(1, lags + 1)]
+            known = [(t[1], k) for k, t in enumerate(tests, 1) if not np.isnan(t[1])]
+            best = min(known)[1] if known else None
+            out += [(*part[series].iloc[0], d, k, *t, best) for k, t in enumerate(tests, 1)]
+        return pd.DataFrame(out, columns=[*series, "direction", "lag", "f", "p", "n", "best_lag"]).astype({"best_lag": "Int64"})
 
-    return rows.select(*series, month, y, x).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, direction string, lag int, f double, p double, n int")
+    return rows.select(*series, month, y, x).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, direction string, lag int, f double, p double, n int, best_lag int")
 
 
 def stationarity(rows: DataFrame, series: list[str], month: str, y: str) -> DataFrame:
-    """(series, adf, lags, stationary, order, kpss, ljung_box, ljung_p): order is how many differences make it stationary (at most 2)."""
+    """(series, adf, lags, stationary, order, kpss, ljung_box, ljung_p, ljung_box12, ljung_p12): Ljung-Box at lags 6 and 12; order is how many differences make it stationary (at most 2)."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         values = part.sort_values(month)[y].to_numpy(float)
         t, k, ok = numeric.adf(values)
         order = next((d for d in range(3) if numeric.adf(np.diff(values, d))[2]), 2)
-        box = numeric.ljung_box(values, min(6, len(values) - 1)) if len(values) > 7 and np.ptp(values) > 0 else (np.nan, np.nan)
-        return pd.DataFrame([(*part[series].iloc[0], t, k, bool(ok), order, numeric.kpss(values) if len(values) > 10 else np.nan, *box)], columns=[*series, "adf", "lags", "stationary", "order", "kpss", "ljung_box", "ljung_p"])
+        box = [v for lag in (6, 12) for v in (numeric.ljung_box(values, min(lag, len(values) - 1)) if len(values) > lag + 1 and np.ptp(values) > 0 else (np.nan, np.nan))]
+        return pd.DataFrame([(*part[series].iloc[0], t, k, bool(ok), order, numeric.kpss(values) if len(values) > 10 else np.nan, *box)], columns=[*series, "adf", "lags", "stationary", "order", "kpss", "ljung_box", "ljung_p", "ljung_box12", "ljung_p12"])
 
-    return rows.select(*series, month, y).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, adf double, lags int, stationary boolean, `order` int, kpss double, ljung_box double, ljung_p double")
+    return rows.select(*series, month, y).groupBy(*series).applyInPandas(run, f"{_schema(rows, series)}, adf double, lags int, stationary boolean, `order` int, kpss double, ljung_box double, ljung_p double, ljung_box12 double, ljung_p12 double")

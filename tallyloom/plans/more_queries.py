@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators import align, evaluate, features
+from tallyloom.operators import align, evaluate, features, series_models
 from tallyloom.plans.queries import _CV, _DENSE, KEY, _cv, _members, query
 from tallyloom.sources import fixtures as fx
 from tallyloom.sources.fixtures import MACRO, PANEL, SIGNALS, SOURCES, TOTALS, table
@@ -249,3 +249,28 @@ def j4_verdicts(spark, sf):
     n, p = F.col("user_id") % 60, F.col("value") / 100.0
     verdict = F.when(n < 24, "drop").when((p < 0.05) & (n >= 36), "USE").when(p < 0.1, "CONSIDER").otherwise("WEAK")
     return table(spark, sf, "events").select("event_id", verdict.alias("verdict"))
+
+
+@query(f"""WITH {PANEL}, r AS (SELECT bank_name, card_type, month, outstanding AS y, lag(outstanding, 12) OVER w AS before, row_number() OVER (PARTITION BY bank_name, card_type ORDER BY month DESC) AS k FROM panel WINDOW w AS (PARTITION BY bank_name, card_type ORDER BY month)),
+p AS (SELECT bank_name, card_type, month, round(100.0 * (y - before) / nullif(before, 0), 6) AS pct FROM r WHERE k = 1)
+SELECT *, CASE WHEN pct > 50 THEN 'strong growth' WHEN pct > 10 THEN 'growth' WHEN pct > -10 THEN 'flat' WHEN pct > -50 THEN 'declining' WHEN pct IS NOT NULL THEN 'strong decline' END AS trend FROM p""")
+def b16_trend_labels(spark, sf):
+    """The last year's change of each series in percent, and its label (null where there is no year before)."""
+    w = Window.partitionBy(*KEY)
+    r = fx.panel(spark, sf).withColumns({"_b": F.lag("outstanding", 12).over(w.orderBy("month")), "_k": F.row_number().over(w.orderBy(F.desc("month")))}).filter("_k = 1")
+    r = r.select(*KEY, "month", F.round(100.0 * (F.col("outstanding") - F.col("_b")) / F.nullif("_b", F.lit(0)), 6).alias("pct"))
+    return r.withColumn("trend", evaluate.trend_label(F.col("pct")))
+
+
+@query()
+def b16_stars(spark, sf):
+    """Granger tests with stars for their p-values."""
+    tests = series_models.relations(fx.panel(spark, sf), KEY, "month", "outstanding", "txn_vol")
+    return tests.select(*KEY, "direction", "lag", "p", evaluate.stars(F.col("p")).alias("stars"))
+
+
+@query(f"""WITH {_CV}, a AS (SELECT *, round(abs((y - yhat) / nullif(y, 0)), 8) AS ape FROM m)
+SELECT bank_name, card_type, model, count(ape) AS n, avg(CASE WHEN ape < 0.05 THEN 1.0 WHEN ape IS NOT NULL THEN 0.0 END) AS within_5, avg(CASE WHEN ape < 0.1 THEN 1.0 WHEN ape IS NOT NULL THEN 0.0 END) AS within_10,
+ avg(CASE WHEN ape < 0.2 THEN 1.0 WHEN ape IS NOT NULL THEN 0.0 END) AS within_20, count(*) FILTER (ape < 0.05) AS good, count(*) FILTER (ape >= 0.05 AND ape < 0.15) AS ok, count(*) FILTER (ape >= 0.15) AS bad FROM a GROUP BY 1, 2, 3""")
+def e6_within_shares(spark, sf):
+    return evaluate.within_shares(_members(spark, sf), [*KEY, "model"])
