@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import HELD, kept, only, strings
+from .shared import HELD, kept, only, spare, strings
 
 CAPACITY = 2048
 #: Pieces for each part into which ranks within a length are split.
@@ -31,18 +32,24 @@ CACHE_WORDS = 600_000
 class WordEncoder:
     """Ids of whole texts, put together from the ids of their space-separated parts.
 
-    The tokenizer's own splitting never joins a space that follows other text with what stands before it, so parts that
-    start with one space can be encoded by themselves. Texts with runs of spaces are encoded whole.
+    The tokenizer's own splitting gives the last space of a run of white space to the word that follows it, so a part
+    that starts with one space and isn't white space alone can be encoded by itself. Texts in which white space alone
+    stands between two spaces or after the last one are encoded whole, and so are texts with a special token's string,
+    which the tokenizer turns into that token.
 
     ranks_path names the same vocabulary as byte-pair ranks, if there is one. New words are then encoded from it, joined
     by line ends, which are tokens of their own there: the same ids in a quarter of the time.
     """
 
+    #: White space alone between two spaces, or after the last space.
+    RUN = re.compile(r" \s*(?: |\Z)")
+
     def __init__(self, tokenizer_path: str, ranks_path: str | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.known: dict[str, bytes] = {}
         self.ranks = None
         if ranks_path:
@@ -79,7 +86,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
-        parts = [t.split(" ") if "  " not in t and t[-1:] != " " else None for t in texts]
+        parts = [None if self.RUN.search(t) or self.special.search(t) else t.split(" ") for t in texts]
         heads = [p[0] for p in parts if p]
         words = set(chain.from_iterable(p[1:] for p in parts if p))
         new = [w for w in words if w not in self.known]
@@ -275,20 +282,22 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rank_rows: int = RANK_ROWS
 
     Each sequence is filled gapless from 0 with at most `capacity` tokens. Ranks within a length are counted in parts by
     a hash of doc_id and piece, so a length that very many pieces share is spread over tasks. Rows with null or repeated
-    doc_id are pieces like others; an empty table gives an empty result.
+    doc_id are pieces like others; columns named sequence_id or offset are replaced; an empty table gives an empty result.
     """
     spark = pieces.sparkSession
+    pieces = pieces.drop("sequence_id", "offset")
     columns = pieces.columns
+    part, rank, n, ahead = (spare(columns, x) for x in ("part", "rank", "n", "ahead"))
     histogram = np.zeros(capacity + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():  # at most `capacity` rows
         histogram[r["length"]] = r["count"]
     places = spark.sparkContext.broadcast(Places(packing_plan(histogram, capacity), capacity))
     parts = max(64, int(histogram.sum()) // rank_rows)
-    salted = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
-    before = salted.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = before.select("length", "_part", (F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"))
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_part").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(before, ["length", "_part"]).select(*columns, (F.col("_rank") + F.col("_before")).cast("long").alias("_rank"))
+    salted = pieces.withColumn(part, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
+    before = salted.groupBy("length", part).agg(F.count(F.lit(1)).alias(n))
+    before = before.select("length", part, (F.sum(n).over(Window.partitionBy("length").orderBy(part)) - F.col(n)).alias(ahead))
+    ranked = salted.withColumn(rank, F.row_number().over(Window.partitionBy("length", part).orderBy("doc_id", "piece")) - 1)
+    ranked = ranked.join(before, ["length", part]).select(*(f"`{c}`" for c in columns), (F.col(rank) + F.col(ahead)).cast("long").alias(rank))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -300,6 +309,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rank_rows: int = RANK_ROWS
     return ranked.mapInArrow(run, schema)
 
 
-def packed_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
-    """All texts as pieces with their places (null text: empty, which is one piece of the end id alone)."""
-    return pack(kept(token_pieces(docs, tokenizer_path, id_col, text_col, capacity, ranks_path=ranks_path), "pieces"), capacity)
+def packed_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, ranks_path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """All texts as pieces with their places (null text: empty, which is one piece of the end id alone).
+
+    with_ids adds the pieces' ids, as little-endian unsigned 32-bit numbers. A very long text becomes many full pieces;
+    null and repeated doc_ids are documents like others; an empty table gives an empty result; further columns of docs
+    are not read.
+    """
+    pieces = token_pieces(docs, tokenizer_path, id_col, text_col, capacity, with_ids=with_ids, ranks_path=ranks_path)
+    return pack(kept(pieces, "pieces"), capacity)

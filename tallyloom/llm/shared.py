@@ -46,6 +46,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare(taken: list[str], name: str) -> str:
+    """A column name like `name` that none of the taken ones clashes with."""
+    low = {c.lower() for c in taken}
+    while (name := f"_{name}").lower() in low:
+        pass
+    return name
+
+
 def strings(column: pa.ChunkedArray | pa.Array) -> pa.Array:
     """One large_string array without nulls (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -5,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tallyloom.llm.pattern_packing import Places, WordEncoder, best_fit, exact_patterns, packed_documents, packing_plan
+from tallyloom.llm.pattern_packing import Places, WordEncoder, best_fit, exact_patterns, pack, packed_documents, packing_plan, token_pieces
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -13,7 +14,6 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def check_pack(rows, docs, capacity=2048):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for d, t in docs:
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
@@ -46,15 +46,23 @@ def test_whole_documents(spark, sf):
 def test_edges(spark):
     docs = [(1, None), (2, ""), (3, "  two  spaces "), (None, "x"), (None, "x"), (4, "é\n\n b  \n c  d <|endoftext|> e"), (5, "word " * 9000), (6, " \n "), (7, "a \nb\t c"), (8, "x" * 100000)]
     frame = spark.createDataFrame([(d, t, 1, 2) for d, t in docs], "doc_id long, text string, length int, sequence_id long")
+    clash = token_pieces(frame, PATH).selectExpr("*", "1 as _part", "2 as _rank", "3 as offset", "4 as `_N`")
+    check_pack(pack(clash).collect(), docs)
+    with_ids = packed_documents(frame, PATH, with_ids=True).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in with_ids)
     check_pack(packed_documents(frame, PATH).collect(), docs)
     check_pack(packed_documents(frame, PATH, ranks_path=RANKS).collect(), docs)
     assert packed_documents(frame.limit(0), PATH).count() == 0
 
 
 def test_encoder_matches(sf):
-    texts = ["a\tb c\td\t e", "x\u00a0 y \u00a0z w\u2028 v", "a\x00 b\x1c c\r d","", " ", "a", " a", "a  b", "don't stop", "x\n y", "x \n\ny z", "1234 5.6!! ..", "ÉÈ ü　 w"]
+    texts = ["a\tb c\td\t e", "x\u00a0 y \u00a0z w\u2028 v", "a\x00 b\x1c c\r d","", " ", "a", " a", "a  b", "don't stop", "x\n y", "x \n\ny z", "1234 5.6!! ..", "ÉÈ ü　 w", "a \xa0 \xa0 b", "x <|endoftext|> y", "<|endoftext|>", "a \n \n b", "a \n", "\n b", " \n b \t"]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices(" \n\t\xa0\u3000\x85\x1cab.'1é", k=rng.randrange(1, 14))) for _ in range(20000)]
+    plain = Tokenizer.from_file(PATH)
+    want = [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
     for e in (WordEncoder(PATH), WordEncoder(PATH, RANKS)):
-        assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode(texts)] == want
 
 
 def test_plan_uses_each_length_as_often_as_it_is():
