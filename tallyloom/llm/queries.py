@@ -23,7 +23,7 @@ from .suffix_tree import score_documents
 
 def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    return out.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.hex(F.xxhash64("ids")).alias("ids_hash"), "log_prob", "perturbed", "log_inclusion", "decoded")
+    return out.select("doc_id", "sample", "ids", F.size("ids").alias("n_pieces"), F.hex(F.xxhash64("ids")).alias("ids_hash"), "log_prob", "perturbed", "log_inclusion", "decoded")
 
 
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 
-from tallyloom.llm.gumbel_pieces import Vocabulary, sample_segmentations, sampled
+from tallyloom.llm.gumbel_pieces import Vocabulary, decode_documents, encode_documents, sample_segmentations, sampled
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 V = Vocabulary(PATH)
@@ -75,3 +75,18 @@ def test_rows_do_not_hang_on_others(spark, sf):
     few = {(r.doc_id, r.sample): (r.ids, round(r.perturbed, 9)) for r in got}
     assert again and all(few[r.doc_id, r.sample] == (r.ids, round(r.perturbed, 9)) for r in again)
     assert sample_segmentations(frame.limit(0), PATH).count() == 0
+
+
+def test_plain_encoding_and_decoding(spark, sf):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()] + [(-1, None), (-2, ""), (None, "né 日 \n ▁x"), (None, "x" * 5000)]
+    frame = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, ids int")
+    pieces = encode_documents(frame, PATH).cache()
+    assert Counter((r.doc_id, tuple(r.ids)) for r in pieces.collect()) == Counter((d, tuple(model.encode(t or ""))) for d, t in docs)
+    assert Counter((r.doc_id, r.text) for r in decode_documents(pieces, PATH).collect()) == Counter((d, model.decode(model.encode(t or ""))) for d, t in docs)
+    sampled_ids = sample_segmentations(frame, PATH).select("doc_id", "ids", "sample")
+    back = Counter((r.doc_id, r.text) for r in decode_documents(sampled_ids.filter("sample = 0"), PATH).collect())
+    assert back == Counter((d, t or "") for d, t in docs)
+    assert encode_documents(frame.limit(0), PATH).count() == 0 and decode_documents(spark.createDataFrame([(1, None), (2, [None, 5])], "doc_id long, ids array<int>"), PATH).count() == 2
