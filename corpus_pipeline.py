@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.kneser_ney import classify_quality
+from tallyloom.llm.kneser_ney import classify_quality, row_key
 from tallyloom.llm.near_copies import near_copy_groups, node_of
 from tallyloom.llm.pattern_packing import packed_documents
 from tallyloom.llm.shared import kept, table
@@ -18,25 +16,25 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject. Rows without doc_id can't be told apart and stay."""
+    """Documents that the classifier doesn't reject, told apart by doc_id, text and language, null ids included."""
     scored = classify_quality(docs, table(spark, sf_dir, "labels"))
-    rejected = kept(scored.filter("not keep and doc_id is not null").select("doc_id").distinct(), "rejected")
-    return docs.join(rejected, "doc_id", "left_anti").select(COLUMNS)
+    rejected = kept(scored.filter("not keep").select("row_key").distinct(), "rejected")
+    return docs.select(COLUMNS).withColumn("row_key", row_key(docs)).join(rejected, "row_key", "left_anti").select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts with a five-word Jaccard similarity of 0.8 or more, that with the smallest doc_id.
 
-    Null ids come last and equal ids are told apart by text, so of every group one row stays, whatever its ids are.
+    Candidates come from the SimHash index, with wide fingerprints; links are exact. Null ids come last and equal ids are
+    told apart by text, so of every group one row stays, whatever its ids are.
     """
     rows = docs.select(COLUMNS).withColumn("_node", node_of())
     groups = near_copy_groups(docs).select(F.col("node").alias("_node"), F.col("group").alias("_group"))
     ids = rows.groupBy("_node").agg(F.min("doc_id").alias("_id")).join(groups, "_node", "left")
     first = F.struct(F.col("_id").isNull(), "_id", "_node")
     stay = kept(ids.groupBy(F.coalesce("_group", "_node").alias("_group")).agg(F.min(first).alias("_first")).select("_first._node", "_first._id"), "representatives")
-    one = F.row_number().over(Window.partitionBy("_node").orderBy(F.xxhash64(*COLUMNS)))
     named = rows.join(stay, "_node").filter("doc_id <=> _id")
-    return named.withColumn("_row", one).filter("_row = 1").select(COLUMNS)
+    return named.groupBy("_node").agg(F.min_by(F.struct(*COLUMNS), F.xxhash64(*COLUMNS)).alias("_row")).select("_row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +45,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in sequences of at most 2048 tokens."""
-    return packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    """Token pieces, their ids and their places in sequences of at most 2048 tokens."""
+    return packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("packing", packing)]
@@ -59,4 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each on the written result of the one before."""
-    return reduce(lambda docs, stage: kept(stage[1](spark, docs, sf_dir), f"stage-{stage[0]}"), STAGES[:-1], table(spark, sf_dir, "documents")).transform(lambda docs: STAGES[-1][1](spark, docs, sf_dir))
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

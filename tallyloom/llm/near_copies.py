@@ -1,13 +1,16 @@
-"""Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, by wide SimHash fingerprints.
 
-At that similarity SimHash fingerprints differ in about ten of 64 bits. A search within such a radius has no bit block
-left to share, so candidates come from bands of minimum hashes instead: 40 bands of 6 miss a pair of similarity 0.8 with a
-chance of (1 - 0.8^6)^40, about 5 in a million, and more alike ones less often. Every candidate pair is then verified by
-its exact similarity.
+At that similarity 15 % of SimHash bits differ, too many for the blocks of 64 bits. So a fingerprint has 256 bits here, of
+which about 39 differ (and with any likelihood no more than LIMIT), and tables of sampled bits stand for the blocks: a
+pair of similarity 0.8 agrees on all bits of at least one table with a probability of RECALL, more alike ones with more.
+A table has so many bits that few texts that aren't alike share its value, and there are as many tables as RECALL then
+asks for. In each (table, value) the Gray-order index of simhash_groups finds the pairs within the limit, and every one
+of them is verified by its exact similarity, so no false link is made.
 
-Equal texts are folded first. Each text of a band's bucket is compared with one other of it, drawn by hash; then, in
-buckets that still hold several groups, all pairs from different groups are. Pairs within a group need no comparison, so
-a large group of near copies costs a comparison for each copy and band, not for each pair, and no link is left out.
+Equal texts are folded first. Pairs are looked at in two passes. The first compares each text with one text of its value,
+drawn by hash, and joins those that are alike. The second compares texts of different groups only, and drops a pair as
+soon as others have joined its groups. So a large group of near copies costs a few comparisons for each copy, not all of
+its pairs. Pairs to verify are dealt into cells by the hashes of both ends, and a cell gets each text's shingles once.
 """
 
 from __future__ import annotations
@@ -20,17 +23,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_groups
-from .shared import LOWER, Hasher, inside, kept, mixed, only, steps, strings, word_spans
+from .shared import LOWER, Hasher, inside, kept, mixed, only, packed, steps, strings, unpacked, word_spans
+from .simhash_groups import GrayIndex, majority
 
 SHINGLE = 5
-BANDS, ROWS = 40, 6
+#: 64-bit words of a fingerprint.
+WIDTH = 4
+#: Probability that a pair of similarity 0.8 shares a table's value.
+RECALL = 0.997
+#: Share of bits that are equal at a similarity of 0.8: 1 - arccos(0.8 / 0.9) / pi.
+EQUAL_BITS = 0.8486
+#: Differing bits of 256 up to which a pair is verified.
+LIMIT = 54
+#: Bytes of entries in a shard, and of shingles that a cell holds of each side, about.
+SHARD_BYTES, CELL_BYTES = 16 << 20, 32 << 20
 WORDS = Hasher(515)
-MULTIPLIERS = np.random.Generator(np.random.PCG64(81)).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SEEDS = np.random.Generator(np.random.PCG64(82)).integers(1, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_hashes(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For runs of rows: hashes of lower-cased word shingles in row order, and how many each row has (a shorter text is one)."""
+    """For runs of rows: different hashes of lower-cased word shingles, row by row in ascending order, and how many each row has.
+
+    A text of fewer words than a shingle is one shingle.
+    """
     for _, _, data, offsets in steps(texts):
         data = LOWER[data]
         starts, ends, first = word_spans(data, offsets)
@@ -40,17 +56,39 @@ def shingle_hashes(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for n in range(1, SHINGLE):
             few = first[:-1][n_words == n]
             at, hashes = np.concatenate([at, few]), np.concatenate([hashes, WORDS.windows(words, n)[few] if len(few) else hashes[:0]])
-        yield hashes[np.argsort(at, kind="stable")], np.where(n_words >= SHINGLE, n_words - SHINGLE + 1, np.minimum(n_words, 1))
+        owner = np.searchsorted(first, at, "right") - 1
+        order = np.lexsort((hashes, owner))
+        owner, hashes = owner[order], hashes[order]
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+        yield hashes[new], np.bincount(owner[new], minlength=len(n_words))
+
+
+def wide_fingerprints(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(rows, WIDTH): a row's fingerprint; rows without shingles have zeros."""
+    return np.stack([majority(mixed(hashes * seed), sizes) for seed in SEEDS], 1)
+
+
+def table_masks(texts: int) -> np.ndarray:
+    """(tables, WIDTH): for each table the mask of each word's bits; a value is shared by about 1000 texts at most by chance."""
+    bits = max(14, int(max(texts, 1) - 1).bit_length() - 10)
+    tables = int(np.ceil(np.log(1 - RECALL) / np.log1p(-(EQUAL_BITS**bits))))
+    rng = np.random.Generator(np.random.PCG64(83))
+    out = np.zeros((tables, WIDTH), np.uint64)
+    for mask in out:
+        for bit in rng.choice(64 * WIDTH, bits, replace=False).tolist():
+            mask[bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+    return out
 
 
-def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """(rows, BANDS): hashes of each band's minimum hashes; rows without shingles share theirs."""
-    out = np.zeros((len(sizes), BANDS), np.uint64)
-    out[:] = mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * STEP)
-    full = np.flatnonzero(sizes)
-    heads = (np.cumsum(sizes) - sizes)[full]
-    for i, m in enumerate(MULTIPLIERS if len(full) else ()):
-        out[full, i // ROWS] = mixed(out[full, i // ROWS] * STEP + np.minimum.reduceat(hashes * m, heads))
+def table_keys(fp: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """(rows, tables): hashes of each table and its bits of a fingerprint."""
+    out = np.zeros((len(fp), len(masks)), np.uint64)
+    for t, mask in enumerate(masks):
+        h = np.full(len(fp), np.uint64(t + 1))
+        for w in range(WIDTH):
+            h = mixed(h * STEP + (fp[:, w] & mask[w]))
+        out[:, t] = h
     return out
 
 
@@ -59,70 +97,197 @@ def node_of(text_col: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def with_bands(nodes: DataFrame) -> DataFrame:
-    """(node, keys) of (node, text)."""
+def with_fingerprints(nodes: DataFrame) -> DataFrame:
+    """(node, fp) of (node, text): fp is the fingerprint's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only()
         for b in batches:
-            keys = np.concatenate([np.zeros((0, BANDS), np.uint64), *(band_keys(h, n) for h, n in shingle_hashes(strings(b.column(1))))])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists], ["node", "keys"])
+            fp = np.concatenate([np.zeros((0, WIDTH), np.uint64), *(wide_fingerprints(h, n) for h, n in shingle_hashes(strings(b.column(1))))])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in fp], pa.binary())], ["node", "fp"])
 
-    return nodes.mapInArrow(run, "node long, keys array<long>")
+    return nodes.mapInArrow(run, "node long, fp binary")
 
 
 def with_shingles(nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of (node, text): the different shingle hashes."""
+    """(node, shingles) of (node, text): the different shingle hashes, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only()
         for b in batches:
             row = 0
             for hashes, sizes in shingle_hashes(strings(b.column(1))):
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                order = np.lexsort((hashes, owner))
-                owner, hashes = owner[order], hashes[order]
-                new = np.ones(len(owner), bool)
-                new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
-                cuts = np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(sizes)))])
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes[new].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(sizes)), lists], ["node", "shingles"])
+                cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(sizes)), pa.array([packed(hashes[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], ["node", "shingles"])
                 row += len(sizes)
 
-    return nodes.mapInArrow(run, "node long, shingles array<long>")
+    return nodes.mapInArrow(run, "node long, shingles binary")
+
+
+def to_shards(prints: DataFrame, masks: np.ndarray, shards: int) -> DataFrame:
+    """(shard, keys, nodes, groups, fps), packed, of (node, group, fp): an entry for each table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                node, group = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                fp = unpacked(part.column(2)).reshape(-1, WIDTH)
+                key = table_keys(fp, masks).ravel()
+                shard = (key % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                row, key, shard = order // len(masks), key[order], shard[order]
+                numbers, first = np.unique(shard, return_index=True)
+                cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(shard)], strict=True))
+                columns = [pa.array([packed(x[i:j]) for i, j in cuts], pa.binary()) for x in (key, node[row], group[row], fp[row])]
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), *columns], ["shard", "keys", "nodes", "groups", "fps"])
+
+    return prints.select("node", "group", "fp").mapInArrow(run, "shard long, keys binary, nodes binary, groups binary, fps binary")
+
+
+def entries(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return unpacked(part.column("keys")), unpacked(part.column("nodes"), np.int64), unpacked(part.column("groups"), np.int64), unpacked(part.column("fps")).reshape(-1, WIDTH)
+
+
+def in_cells(a: np.ndarray, b: np.ndarray, side: int) -> pa.Table:
+    """(cell, a, b), packed: pairs of nodes, each once, by the hashes of the lesser and the greater end."""
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+    cell = part_of(pairs[0], side) * side + part_of(pairs[1], side)
+    order = np.argsort(cell, kind="stable")
+    numbers, first = np.unique(cell[order], return_index=True)
+    cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True))
+    return pa.table([pa.array(numbers, pa.int64()), *(pa.array([packed(x[order[i:j]]) for i, j in cuts], pa.binary()) for x in pairs)], names=["cell", "a", "b"])
+
+
+def part_of(node: np.ndarray, side: int) -> np.ndarray:
+    return (mixed(node.view(np.uint64)) % np.uint64(side)).astype(np.int64)
+
+
+def drawn_pairs(shards: DataFrame, side: int) -> DataFrame:
+    """Pairs, in cells, of each text and the one drawn for its (table, value); `near` has the nodes with any pair within the limit."""
+
+    def run(part: pa.Table) -> pa.Table:
+        key, node, _, fp = entries(part)
+        near = np.zeros(len(key), bool)
+        for x, y in GrayIndex(key, fp, LIMIT).pairs():
+            near[x] = near[y] = True
+        order = np.lexsort((mixed(node.view(np.uint64) ^ key), key))
+        head = np.ones(len(order), bool)
+        head[1:] = key[order[1:]] != key[order[:-1]]
+        drawn = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+        ok = (np.bitwise_count(fp[order] ^ fp[drawn]).sum(1, dtype=np.int64) <= LIMIT) & (order != drawn)
+        out = in_cells(node[order[ok]], node[drawn[ok]], side)
+        near = np.unique(node[near])
+        rows = pa.table([pa.array([-1] * bool(len(near)), pa.int64()), pa.array([packed(near)] * bool(len(near)), pa.binary()), pa.array([b""] * bool(len(near)), pa.binary())], names=["cell", "a", "b"])
+        return pa.concat_tables([out, rows])
 
+    return shards.groupBy("shard").applyInArrow(run, "cell long, a binary, b binary")
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have a similarity of 0.8 or more (both empty: yes)."""
-    a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    j = pairs.join(a, "a").join(b, "b").filter("least(size(sa), size(sb)) * 5 >= greatest(size(sa), size(sb)) * 4")
-    j = j.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("both"), (F.size("sa") + F.size("sb")).alias("all"))
-    return j.filter("both * 5 >= (all - both) * 4").select("a", "b")
+
+def open_pairs(shards: DataFrame, side: int) -> DataFrame:
+    """Pairs, in cells, of texts of different groups within the limit."""
+
+    def run(part: pa.Table) -> pa.Table:
+        key, node, group, fp = entries(part)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y in GrayIndex(key, fp, LIMIT).pairs():
+            ok = group[x] != group[y]
+            a.append(node[x[ok]])
+            b.append(node[y[ok]])
+        return in_cells(np.concatenate(a), np.concatenate(b), side)
+
+    return shards.groupBy("shard").applyInArrow(run, "cell long, a binary, b binary")
+
+
+def named_nodes(packed_nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """(cell, node) rows of packed columns, repeats included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for cell, *parts in zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True):
+                node = np.unique(np.frombuffer(b"".join(parts), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), cell)), pa.array(node)], ["cell", "node"])
+
+    return packed_nodes.select("cell", *columns).mapInArrow(run, "cell long, node long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Links (a, b): of the pairs in cells those whose sets have a similarity of 0.8 or more (both empty: yes).
+
+    Pairs that the cell's own links, or the groups so far, join already are left out.
+    """
+    needed = named_nodes(pairs, ["a", "b"]).distinct().join(sets, "node")
+    needed = needed.withColumn("group", F.col("node")) if groups is None else needed.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+
+    def run(part: pa.Table, here: pa.Table) -> pa.Table:
+        a, b = unpacked(part.column("a"), np.int64), unpacked(part.column("b"), np.int64)
+        a, b = np.unique(np.stack([a, b]), axis=1)
+        node = here.column("node").to_numpy()
+        order = np.argsort(node)
+        node, group = node[order], here.column("group").to_numpy()[order]
+        shingles = [np.frombuffer(x.as_py(), np.uint64) for x in here.column("shingles").take(pa.array(order)).combine_chunks()] if len(order) else []
+        names, root = np.unique(group, return_inverse=True)
+        top = list(range(len(names)))
+
+        def find(x: int) -> int:
+            while top[x] != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        links = []
+        size = np.array([len(x) for x in shingles], np.int64)
+        i, j = np.searchsorted(node, a), np.searchsorted(node, b)
+        ok = 5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j])
+        i, j = i[ok], j[ok]
+        order = np.argsort(i, kind="stable")
+        for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            u, v = find(int(root[x])), find(int(root[y]))
+            if u != v:
+                p, q = shingles[x], shingles[y]
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                if 5 * both >= 4 * (len(p) + len(q) - both):
+                    top[max(u, v)] = min(u, v)
+                    links.append((int(node[x]), int(node[y])))
+        columns = list(zip(*links, strict=True)) or [[], []]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return pairs.groupBy("cell").cogroup(needed.select("cell", "node", "shingles", "group").groupBy("cell")).applyInArrow(run, "a long, b long")
 
 
 def near_copy_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(node, group) of texts that have near copies; group is the smallest node reachable by links of similarity 0.8 or more.
 
     A node is node_of(text). Texts without words are alike; a text of fewer than five words is one shingle. Texts that
-    are like no other have no row; further columns are not read.
+    are like no other have no row; repeated rows are one text; further columns are not read.
     """
     nodes = docs.select(node_of(text_col).alias("node"), F.col(text_col).alias("text"))
-    bands = kept(with_bands(nodes).groupBy("node").agg(F.first("keys").alias("keys")), "near-bands")
-    rows = bands.select("node", F.explode("keys").alias("key"))
-    drawn = F.min_by("node", F.xxhash64("node", "key")).alias("other")
-    leaders = rows.groupBy("key").agg(drawn, F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "other")
-    rows = kept(rows.join(leaders, "key"), "near-buckets")
-    some = rows.select("node").distinct()
-    sets = kept(with_shingles(nodes.join(some, "node", "left_semi")).groupBy("node").agg(F.first("shingles").alias("shingles")), "near-shingles")
-    first = kept(rows.filter("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-pairs")
-    links = kept(verified(first, sets), "near-links")
+    prints = kept(with_fingerprints(nodes).groupBy("node").agg(F.first("fp").alias("fp")), "near-prints")
+    count = prints.count()
+    masks = table_masks(count)
+    entry = len(masks) * (24 + 8 * WIDTH)
+    first = kept(to_shards(prints.withColumn("group", F.col("node")), masks, max(1, count * entry // SHARD_BYTES)), "near-shards")
+    seen = kept(drawn_pairs(first, 1), "near-drawn")
+    near = kept(named_nodes(seen.filter("cell < 0"), ["a"]).select("node").distinct(), "near-nodes")
+    sets = kept(with_shingles(nodes.join(near, "node", "left_semi")).groupBy("node").agg(F.first("shingles").alias("shingles")), "near-shingles")
+    # sides of the cells: as many as the shingles of texts with a pair ask for
+    held = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    side = max(1, -(-held // CELL_BYTES))
+    links = kept(verified(coarser(seen.filter("cell >= 0"), side), sets, None), "near-links")
     groups = linked_groups(links)
-    placed = rows.join(groups, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"))
-    several = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("key")
-    placed = kept(placed.join(several, "key", "left_semi"), "near-open")
-    x, y = (placed.select("key", F.col("node").alias(c), F.col("group").alias(f"g{c}")) for c in "xy")
-    rest = x.join(y, "key").filter("gx < gy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = kept(rest.join(first, ["a", "b"], "left_anti"), "near-rest")
-    links = links.unionByName(kept(verified(rest, sets), "near-links"))
+    grouped = prints.join(near, "node", "left_semi").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    again = kept(to_shards(grouped, masks, max(1, grouped.count() * entry // SHARD_BYTES)), "near-shards")
+    rest = kept(open_pairs(again, side), "near-open")
+    links = links.unionByName(kept(verified(rest, sets, groups), "near-links"))
     return linked_groups(links)
+
+
+def coarser(pairs: DataFrame, side: int) -> DataFrame:
+    """Pairs in the cells of another side."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from in_cells(unpacked(b.column(1), np.int64), unpacked(b.column(2), np.int64), side).to_batches()
+
+    return pairs.mapInArrow(run, "cell long, a binary, b binary")

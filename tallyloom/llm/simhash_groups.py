@@ -2,16 +2,18 @@
 
 Fingerprints are sorted by Gray rank, so neighbours share long bit patterns. Runs of neighbours become leaves, runs of
 leaves become upper nodes; a node keeps the bits that all its members share (a mask and the masked pattern). A search
-adds up differing shared bits on the way down and leaves out whole nodes once the sum passes the limit.
+goes down level by level: a node adds the differences in the bits that it fixes and the node above doesn't, and once the
+sum passes the limit all that stands below it is left out.
 
 The index is spread over tasks by pigeonhole: fingerprints with at most `limit` differing bits agree on at least one of
-limit + 1 bit blocks, so one index for each (block, value) finds every link. Values with many fingerprints are split
-again by the blocks of the other bits, which loses no link either.
+limit + 1 bit blocks, so an index whose first level is (block, value) finds every link. Shards hold many such values
+each. Values with many fingerprints are split again by the blocks of the other bits, which loses no link either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,10 @@ SHINGLE = 4
 #: Fingerprints of one (block, value) from which it is split by further blocks.
 SPLIT_FROM = 3000
 LEAF, FAN = 16, 16
+#: Entries of the index that a task holds at a time, about.
+SHARD_ROWS = 300_000
+#: Pairs of a query and a node that one step looks at.
+PAIRS = 1 << 18
 
 
 def simhash_batch(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -92,19 +98,82 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
     return rank
 
 
-def nodes_above(members: np.ndarray, mask: np.ndarray, fan: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shared pattern and mask of each run of `fan` members."""
-    cuts = np.arange(0, len(members), fan)
-    both = np.bitwise_and.reduceat(members, cuts)
-    either = np.bitwise_or.reduceat(members, cuts)
-    shared = ~(both ^ either) & np.bitwise_and.reduceat(mask, cuts)
-    return both & shared, shared
-
-
-def index_links(fp: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """For distinct fingerprints: the root of each one's group, where links are pairs with at most `limit` differing bits."""
-    fp = fp[np.argsort(gray_rank(fp))]
-    n = len(fp)
+class GrayIndex:
+    """Fingerprints of one or more words, in buckets by key; pairs of a bucket with at most `limit` differing bits."""
+
+    def __init__(self, key: np.ndarray, fp: np.ndarray, limit: int):
+        fp = fp if fp.ndim == 2 else fp[:, None]
+        self.order = np.lexsort((gray_rank(fp[:, 0]), key))
+        self.fp, self.limit, key = fp[self.order], limit, key[self.order]
+        self.looked = 0  # pairs of a query and an entry that no node had left out
+        n = len(key)
+        new = np.ones(n, bool)
+        new[1:] = key[1:] != key[:-1]
+        bucket = np.cumsum(new) - 1
+        # levels from the top: (first child, mask, pattern); a node's children stand together
+        self.levels = []
+        starts, mask = np.arange(n + 1), np.full(self.fp.shape, ~np.uint64(0))
+        pattern, owner = self.fp, bucket
+        for fan in (LEAF, FAN, n + 1):
+            head = np.ones(len(owner), bool)
+            head[1:] = owner[1:] != owner[:-1]
+            heads = np.flatnonzero(head)
+            nth = np.arange(len(owner)) - np.repeat(heads, np.diff(np.append(heads, len(owner))))
+            cuts = np.flatnonzero(nth % fan == 0)
+            if len(cuts):
+                shared = ~(np.bitwise_and.reduceat(pattern, cuts) ^ np.bitwise_or.reduceat(pattern, cuts)) & np.bitwise_and.reduceat(mask, cuts)
+                pattern, mask, owner = pattern[cuts] & shared, shared, owner[cuts]
+            self.levels.insert(0, (np.append(cuts, len(starts) - 1), mask, pattern))
+            starts = np.append(cuts, n)
+        self.bucket = bucket
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places in the arrays that the index was made of, each pair once."""
+        n = len(self.bucket)
+        sizes = np.bincount(self.bucket) if n else np.zeros(0, np.int64)
+        crowded = np.flatnonzero(sizes[self.bucket] > 1)
+        at = 0
+        while at < len(crowded):
+            q = crowded[at : at + 4096]
+            yield from self.below(q, self.bucket[q], np.zeros(len(q), np.int64), 0)
+            at += 4096
+
+    def below(self, q: np.ndarray, node: np.ndarray, differ: np.ndarray, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of queries and nodes with the differences so far: what is within the limit below. An entry is paired with earlier ones."""
+        first, mask, pattern = self.levels[level]
+        last = level == len(self.levels) - 1
+        under = (self.fp, None) if last else (self.levels[level + 1][2], self.levels[level + 1][1])
+        sizes = first[node + 1] - first[node]
+        at = 0
+        ends = np.cumsum(sizes)
+        while at < len(node):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+            size = sizes[at:stop]
+            owner = np.repeat(np.arange(at, stop), size)
+            child = np.repeat(first[node[at:stop]] - np.cumsum(size) + size, size) + np.arange(len(owner))
+            begin = child if last else self.entry(level + 1, child)
+            ok = begin < q[owner]
+            owner, child = owner[ok], child[ok]
+            fixed = ~mask[node[owner]] if under[1] is None else under[1][child] & ~mask[node[owner]]
+            d = differ[owner] + np.bitwise_count((self.fp[q[owner]] ^ under[0][child]) & fixed).sum(1, dtype=np.int64)
+            if last:
+                self.looked += len(d)
+            ok = d <= self.limit
+            if last:
+                yield self.order[q[owner[ok]]], self.order[child[ok]]
+            elif ok.any():
+                yield from self.below(q[owner[ok]], child[ok], d[ok], level + 1)
+            at = stop
+
+    def entry(self, level: int, node: np.ndarray) -> np.ndarray:
+        """The first entry below each node of a level."""
+        for first, _, _ in self.levels[level:]:
+            node = first[node]
+        return node
+
+
+def joined_up(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The root of each of n places, where pairs of places are linked."""
     root = np.arange(n)
 
     def find(x: int) -> int:
@@ -113,39 +182,16 @@ def index_links(fp: np.ndarray, limit: int = LIMIT) -> np.ndarray:
             x = root[x]
         return x
 
-    full = np.full(n, ~np.uint64(0))
-    leaf, leaf_mask = nodes_above(fp, full, LEAF)
-    top, top_mask = nodes_above(leaf, leaf_mask, FAN)
-    block = 2048
-    for at in range(0, n, block):  # queries of these fingerprints against all that stand at or before them
-        q = fp[at : at + block]
-        n_top = min(len(top), (at + block - 1) // (LEAF * FAN) + 1)
-        qi, ti = np.nonzero(np.bitwise_count((q[:, None] ^ top[None, :n_top]) & top_mask[None, :n_top]) <= limit)
-        for part in range(0, len(qi), 1 << 16):
-            a = np.repeat(qi[part : part + (1 << 16)], FAN)
-            b = (ti[part : part + (1 << 16), None] * FAN + np.arange(FAN)).ravel()
-            ok = b < len(leaf)
-            a, b = a[ok], b[ok]
-            ok = np.bitwise_count((q[a] ^ leaf[b]) & leaf_mask[b]) <= limit
-            a, b = a[ok], b[ok]
-            for piece in range(0, len(a), 1 << 17):
-                x = np.repeat(a[piece : piece + (1 << 17)], LEAF) + at
-                y = (b[piece : piece + (1 << 17), None] * LEAF + np.arange(LEAF)).ravel()
-                ok = y < x
-                x, y = x[ok], y[ok]
-                ok = np.bitwise_count(fp[x] ^ fp[y]) <= limit
-                for u, v in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
-                    u, v = find(u), find(v)
-                    if u != v:
-                        root[max(u, v)] = min(u, v)
-    roots = np.array([find(x) for x in range(n)], np.int64) if n else root
-    return np.stack([fp, fp[roots]])
-
-
-def pigeonhole_blocks(limit: int = LIMIT) -> list[tuple[int, int]]:
-    """(shift, width) of limit + 1 blocks of the 64 bits."""
-    cuts = np.linspace(0, 64, limit + 2).round().astype(int)
-    return [(int(a), int(b - a)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    for a, b in pairs:
+        top = np.stack([root[a], root[b]])
+        a, b = np.unique(top[:, top[0] != top[1]], axis=1)
+        for u, v in zip(a.tolist(), b.tolist(), strict=True):
+            u, v = find(u), find(v)
+            if u != v:
+                root[max(u, v)] = min(u, v)
+    while (root[root] != root).any():
+        root = root[root]
+    return root
 
 
 def split_once(rows: DataFrame, limit: int) -> DataFrame:
@@ -172,32 +218,36 @@ def split_once(rows: DataFrame, limit: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, bits long, fp long")
 
 
-def fingerprint_links(fps: DataFrame, limit: int = LIMIT, split_from: int = SPLIT_FROM) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) whose closure has every pair with at most `limit` differing bits."""
+def fingerprint_links(fps: DataFrame, limit: int = LIMIT, split_from: int = SPLIT_FROM, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp) whose closure has every pair with at most `limit` differing bits.
+
+    A value with more than split_from fingerprints is split until none has; each split fixes a part of the free bits,
+    and where no more than `limit` are free there are few fingerprints.
+    """
     rows = split_once(fps.select(F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("bits"), "fp"), limit)
     done: list[DataFrame] = []
-    for _ in range(3):
+    while True:
         rows = kept(rows, "simhash-keys")
-        large = rows.groupBy("key").count().filter(F.col("count") > split_from).select("key")
-        large = kept(large, "simhash-large")
+        large = kept(rows.groupBy("key").count().filter(F.col("count") > split_from).select("key"), "simhash-large")
         if large.isEmpty():
             break
         done.append(rows.join(large, "key", "left_anti"))
         rows = split_once(rows.join(large, "key", "left_semi"), limit)
     done.append(rows)
+    every = reduce(DataFrame.unionByName, done)
+    shards = max(1, every.count() // shard_rows)
 
     def search(part: pa.Table) -> pa.Table:
-        pairs = index_links(np.unique(part.column("fp").to_numpy().view(np.uint64)), limit)
-        pairs = pairs[:, pairs[0] != pairs[1]].view(np.int64)
+        key, fp = (part.column(c).to_numpy() for c in ("key", "fp"))
+        index = GrayIndex(key, fp.view(np.uint64), limit)
+        root = joined_up(len(fp), index.pairs())
+        linked = np.flatnonzero(fp != fp[root])
+        pairs = np.unique(np.stack([fp[linked], fp[root[linked]]]), axis=1) if len(linked) else np.zeros((2, 0), np.int64)
         return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    out = None
-    for part in done:
-        # keys are hashes of (block, value): what two of them share by chance is only compared in vain
-        buckets = part.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-        found = part.join(buckets, "key", "left_semi").groupBy("key").applyInArrow(search, "a long, b long")
-        out = found if out is None else out.unionByName(found)
-    return out
+    # keys are hashes of (block, value): what two of them share by chance is only compared in vain
+    sharded = every.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "fp")
+    return sharded.groupBy("shard").applyInArrow(search, "a long, b long")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:

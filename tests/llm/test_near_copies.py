@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline as p
-from tallyloom.llm.near_copies import BANDS, band_keys, shingle_hashes
+from tallyloom.llm.near_copies import LIMIT, shingle_hashes, table_keys, table_masks, wide_fingerprints
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -80,7 +80,7 @@ def test_documents(spark, sf):
 
 
 def test_candidates_are_complete():
-    """Of 750 pairs with a similarity of just about 0.8, all share a band."""
+    """Nearly all of 750 pairs with a similarity of just about 0.8 share a table's value and are within the limit."""
     rng = random.Random(9)
     pairs = []
     for _ in range(750):
@@ -88,9 +88,14 @@ def test_candidates_are_complete():
         other = words[:187] + [str(rng.randrange(10**6)) for _ in range(23)]
         assert 0.79 < jaccard(shingles(" ".join(words)), shingles(" ".join(other))) < 0.81
         pairs += [" ".join(words), " ".join(other)]
-    keys = np.concatenate([band_keys(h, n) for h, n in shingle_hashes(pa.array(pairs, pa.large_string()))])
-    assert keys.shape == (1500, BANDS) and (keys[::2] == keys[1::2]).any(1).all()
-    assert np.mean(keys[::2] == keys[1::2]) < 0.4  # 0.8 ** 6 is 0.26
+    fp = np.concatenate([wide_fingerprints(h, n) for h, n in shingle_hashes(pa.array(pairs, pa.large_string()))])
+    near = np.bitwise_count(fp[::2] ^ fp[1::2]).sum(1) <= LIMIT
+    for texts in (1500, 1 << 26):
+        keys = table_keys(fp, table_masks(texts))
+        shared = (keys[::2] == keys[1::2]).any(1)
+        assert keys.shape[0] == 1500 and (shared & near).mean() > 0.97, (shared.mean(), near.mean())
+        assert np.mean(keys[::2] == keys[2 * np.arange(-1, 749)]) < 0.001
+    assert len(table_masks(1 << 26)) > len(table_masks(1500))
 
 
 def test_empty(spark):

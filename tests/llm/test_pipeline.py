@@ -1,7 +1,8 @@
 import sys
+import zlib
 
+from test_near_copies import brute as near
 from test_pattern_packing import check_pack
-from test_simhash_groups import brute as near
 from test_substring_dedup import brute as passages
 
 import corpus_pipeline as p
@@ -18,7 +19,7 @@ def test_stages_against_brute_force(spark, sf):
     assert len(clean - set(good)) <= 0.03 * len(clean) and len(junk & set(good)) <= 0.2 * len(junk)
 
     single = p.near_duplicates(spark, quality, sf).cache()
-    assert {r.doc_id for r in single.collect()} == {d for d, _, c in near(list(good.items())) if d == c}
+    assert {r.doc_id for r in single.collect()} == {min(x)[1] for x in near(list(good.items()))}
 
     kept = p.repeated_passages(spark, single, sf).cache()
     want = {d: (t, n) for d, _, n, t in passages([(r.doc_id, r.text) for r in single.collect()])}
@@ -27,7 +28,18 @@ def test_stages_against_brute_force(spark, sf):
         assert r.text == (text if removed else good[r.doc_id]) and r.n_chars == len(r.text)
     assert kept.count() == single.count() and kept.columns == p.COLUMNS
 
-    check_pack(p.packing(spark, kept, sf).collect(), [(r.doc_id, r.text) for r in kept.collect()])
+    pieces = p.packing(spark, kept, sf).collect()
+    check_pack(pieces, [(r.doc_id, r.text) for r in kept.collect()])
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in pieces)
+
+
+def test_rows_of_one_id_are_judged_by_themselves(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(p.COLUMNS)
+    scored = p.classify_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    bad, good = (scored.filter(x).limit(3).join(docs, "doc_id").select(docs["text"], docs["lang"], docs["source"], docs["n_chars"]) for x in ("not keep", "keep"))
+    both = bad.unionByName(good).selectExpr("cast(null as long) doc_id", "*").unionByName(bad.unionByName(good).selectExpr("-5L doc_id", "*")).cache()
+    left = p.quality(spark, docs.unionByName(both), sf).filter("doc_id is null or doc_id = -5")
+    assert sorted(r.text for r in left.collect()) == sorted(2 * [r.text for r in good.collect()])
 
 
 def test_run_and_edges(spark, sf, tmp_path):
