@@ -1,4 +1,10 @@
-"""Main text of web pages: flat text blocks, classified by a decision tree over words, link density and neighbours."""
+"""Main text of web pages: flat text blocks, classified by a decision tree over words, link density and neighbours.
+
+A page becomes a flat list of text blocks. Each has its own and its neighbours' words and link density, whether it is a
+heading or a list item, how the elements around it are marked (as article, or by name, class or role as something else),
+and which share of the page's plain words the marked element holds: a box with most of the text isn't an advert, whatever
+its name. A decision tree grown from a small table of blocks labelled by hand says which blocks are main text.
+"""
 
 from __future__ import annotations
 
@@ -13,107 +19,75 @@ from pyspark.sql import DataFrame
 
 from .shared import only, strings
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "inside")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "item", "mark", "share")
 
-# Blocks labelled by hand. Words and link density (percent) of the block, of the one before and of the one
-# after, whether it is a heading, whether it is a list item or table cell, where it stands (1 in an article or main
-# element, -1 in a menu, header, footer, sidebar, notice, advert, form or comments, 0 neither), and whether it is main text.
+# Pages labelled by hand, one a line. Text stands as numbers of words: +7 is a block of seven words of main text, -7 seven
+# words of something else. What stands in <a> is linked.
 LABELLED = """
-1 100 0 0 1 100 0 1 -1 0
-2 100 1 100 1 100 0 1 -1 0
-1 100 1 100 9 0 0 1 -1 0
-3 100 2 100 4 100 0 1 0 0
-2 100 3 100 2 100 0 1 0 0
-1 100 0 0 2 100 0 0 0 0
-4 75 2 100 3 100 0 1 0 0
-12 0 1 100 10 0 0 0 -1 0
-9 0 1 100 8 0 0 0 -1 0
-15 0 1 100 12 0 0 0 -1 0
-30 0 3 100 7 0 0 0 -1 0
-45 0 60 0 0 0 0 0 -1 0
-60 5 40 0 0 0 0 0 -1 0
-120 0 80 0 30 0 0 0 -1 0
-8 0 70 0 0 0 0 0 -1 0
-5 0 12 0 3 0 1 0 -1 0
-4 0 50 0 25 0 1 0 -1 0
-25 0 4 0 30 0 0 0 -1 0
-3 0 2 0 1 0 0 0 -1 0
-10 20 90 0 0 0 0 0 -1 0
-6 0 0 0 4 100 0 0 -1 0
-10 0 12 0 40 0 1 0 1 1
-7 0 9 0 60 0 1 0 1 1
-3 0 80 0 55 0 1 0 1 1
-1 0 0 0 35 0 1 0 1 1
-60 0 10 0 80 0 0 0 1 1
-95 0 60 0 20 0 0 0 1 1
-7 0 95 0 90 0 0 0 1 1
-2 0 60 0 70 0 0 0 1 1
-1 0 30 0 0 0 0 0 1 1
-1 0 2 0 9 0 0 0 1 1
-28 0 8 0 0 0 0 0 1 1
-150 2 40 0 60 0 0 0 1 1
-40 12 25 0 33 0 0 0 1 1
-20 30 60 0 45 0 0 0 1 1
-9 100 70 0 50 0 0 0 1 1
-14 0 20 0 12 0 0 1 1 1
-6 0 14 0 7 0 0 1 1 1
-5 40 6 0 8 0 0 1 1 1
-1 0 5 0 4 0 0 1 1 1
-2 0 10 0 2 0 1 0 1 1
-2 0 2 0 12 0 0 0 1 1
-1 0 1 0 11 0 0 0 1 1
-3 0 3 0 9 0 0 0 1 1
-1 0 200 0 10 0 0 0 1 1
-4 0 1 100 6 100 0 0 1 1
-2 50 4 100 3 100 1 0 1 1
-5 100 3 100 2 100 0 1 1 1
-8 0 5 100 40 0 0 1 1 1
-12 0 1 0 2 100 0 0 1 1
-80 90 3 100 7 100 0 0 1 1
-6 0 0 0 0 0 1 0 1 1
-2 0 0 0 0 0 0 0 1 1
-70 0 9 0 65 0 0 0 0 1
-85 0 70 0 90 0 0 0 0 1
-33 0 85 0 28 0 0 0 0 1
-25 0 33 0 60 0 0 0 0 1
-18 0 60 0 75 0 0 0 0 1
-45 10 30 0 50 0 0 0 0 1
-120 3 45 0 0 0 0 0 0 1
-11 0 3 100 70 0 1 0 0 1
-6 0 40 0 70 0 1 0 0 1
-8 0 55 0 40 0 1 0 0 1
-12 0 48 0 52 0 0 0 0 1
-16 0 60 0 22 0 0 1 0 1
-22 0 16 0 30 0 0 1 0 1
-65 0 50 0 3 66 0 0 0 1
-42 0 80 0 2 100 0 0 0 1
-90 0 1 100 30 0 0 0 0 1
-55 4 60 0 1 100 0 0 0 1
-5 0 3 100 2 100 1 0 0 0
-3 0 2 100 3 100 1 0 0 0
-7 0 4 100 5 100 0 0 0 0
-6 0 90 0 3 100 0 0 0 0
-8 0 2 100 0 0 0 0 0 0
-10 60 5 80 6 100 0 0 0 0
-20 70 10 90 12 100 0 0 0 0
-35 80 20 100 15 100 0 0 0 0
-4 0 5 0 3 0 0 0 0 0
-2 0 4 0 6 0 0 0 0 0
+<nav><ul><li><a>-1</a><li><a>-2</a><li><a>-1</a><li><a>-3</a></ul></nav><div class=ad>-8</div><article><h1>+8</h1><p>+3<p>+45<p>+60<p>+1<p>+2<p>+90<p>+5</article><footer>-9</footer>
+<nav><ul><li><a>-1</a><li><a>-1</a></ul></nav><div class=ad>-12</div><article><h1>+1</h1><p>+1<p>+1<p>+300</article><footer>-5</footer>
+<nav><a>-1</a><a>-1</a></nav><div class=ad>-3</div><article><h1>+12</h1><p>+250<p>+2</article><footer>-14</footer>
+<header><h1>-2</h1><a>-1</a></header><nav><a>-4</a></nav><article><header><h2>+6</h2><p>+4</header><p>+35<p>+9<aside>-6</aside><p>+50<div class=ad>-20</div><p>+7<ul><li>+4<li>+12<li>+2</ul><p>+22</article><section id=comments><h3>-2</h3><article><p>-30</article><article><p>-8</article></section><footer>-6<a>-4</a></footer>
+<header><a>-1</a>-3</header><main><h1>+9</h1><p>+70<p>+20<a>+10</a><p>+40<blockquote>+18</blockquote><p><a>+8</a><p>+65<table><tr><td>+2<td>+1<tr><td>+3<td>+1</table></main><aside><h3>-2</h3><ul><li><a>-5</a><li><a>-6</a></ul><p>-40</aside><footer>-11</footer>
+<article><h1>+7</h1><ul><li><a>-3</a><li><a>-4</a><li><a>-2</a><li><a>-3</a></ul><p>+55<p>+80<h2>+3</h2><p>+44<a>+2</a></article>
+<article><p>+1</article>
+<nav><a>-2</a></nav><article><h1>+4</h1><p>+40<p>+7</article>
+<nav><a>-1</a></nav><article><h1>+5</h1><p>+14<p>+3</article>
+<article><h1>+3</h1><p>+60<p>+13</article>
+<article><h1>+2</h1><p>+18</article>
+<article><h1>+6</h1><p>+35<p>+4</article><div><a>-5</a></div><div><a>-7</a></div>
+<article><p>+5<p>+2</article><ul><li><a>-3</a><li><a>-4</a></ul>
+<main><p>+22<h2>+1</h2><p><a>+4</a><p>+6</main><div><a>-3</a>-1</div>
+<main><h1>+2</h1><p>+9<a>+1</a></main>
+<article><p>+15<h2>+2</h2><h2>+3</h2><p>+6<ul><li>+1<li>+1<li>+5</ul><p><a>+3</a><p>+33</article>
+<article class=post-share><p>+120<p>+3</article><form><label>-2</label></form>
+<div><ul><li><a>-1</a><li><a>-1</a><li><a>-2</a><li><a>-1</a></ul></div><h1>+9</h1><p>+40<p>+75<p>+12<p>+33<div>-4<a>-3</a></div><div>-6</div>
+<div><ul><li><a>-2</a><li><a>-1</a><li><a>-1</a></ul></div><div><h1>+6</h1><p>+28<p>+60<ul><li>+8<li>+14<li>+6</ul><p>+45</div><ul><li><a>-4</a><li><a>-3</a><li><a>-5</a></ul><p>-7</p>
+<div><a>-2</a></div><div><a>-2</a></div><h1>+8</h1><p>+60<p>+60<div><a>-1</a>-1<a>-1</a></div>
+<p>+37</p><div><a>-6</a></div>
+<p>+42</p><p>+25</p><div><a>-3</a></div><div><a>-4</a></div>
+<div><a>-1</a></div><p>+30</p><div><a>-2</a></div>
+<div><a>-10</a></div><p>+55</p><p>+18</p><div><a>-12</a></div><div>-3</div>
+<div>-2<a>-4</a></div><h2>+5</h2><p>+90</p><p>+4</p><p>+85</p><div>-3<a>-6</a></div><div>-4</div>
+<table><tr><td><a>-1</a><td><a>-1</a><td><a>-2</a></table><p>+100</p><p>+26<a>+3</a></p><p>+50</p><table><tr><td><a>-2</a><td><a>-1</a></table><p>-5</p>
+<h3>-3</h3><ul><li><a>-5</a><li><a>-7</a><li><a>-6</a></ul><h3>-2</h3><ul><li><a>-4</a><li><a>-8</a></ul><div>-5</div>
+<ul><li><a>-5</a>-3<li><a>-7</a>-2<li><a>-6</a>-4</ul><h3>-2</h3><div>-8<a>-12</a></div>
+<div><a>-15</a></div><div><a>-22</a>-3</div><div><a>-18</a>-2</div><div>-4</div>
+<div class=share-story><h1>+6</h1><p>+80<p>+40<p>+7<p>+66</div><div class=ad>-10</div><div>-5</div>
+<div class=sidebar-left-page><p>+35<p>+150<p>+3<p>+20</div><div class=cookie-notice>-16</div>
+<form><h1>+4</h1><p>+60<p>+30<p>+55</form><footer>-8</footer>
+<div class=content-header-wrap><h1>+7</h1><p>+25<p>+90</div><div class=related><a>-6</a></div><div class=related><a>-9</a></div>
+<div class=cookie-notice>-20</div><h1>+5</h1><p>+110<p>+8<p>+60<div class=newsletter>-25</div><div class=share><a>-1</a><a>-1</a></div><div class=comments><p>-40<p>-12<p>-55</div>
+<div class=ad>-45</div><p>+200<p>+150<div class=promo><h3>-4</h3><p>-30</div><footer><p>-35</footer>
+<div class=banner>-60</div><article><p>+180<p>+90</article><div class=sponsored><p>-50<a>-3</a></div>
+<aside><p>-90<p>-60</aside><p>+70<p>+40<footer>-20</footer>
+<nav><p>-40</nav><h1>+3</h1><p>+20<p>+22<p>+35<footer><p>-50<p>-25</footer>
+<section class=comments><p>-120<p>-90<p>-60</section><h1>+6</h1><p>+30<p>+45
+<div class=menu><p>-6</div><div class=login><p>-9<a>-2</a></div><p>+48<p>+5<p>+52<div class=pager><a>-1</a><a>-1</a></div>
+<h1>+7</h1><p>+16<p>+24<p>+19<p>+31<p>+11<p>+27<div>-3</div>
+<p>+21<p>+14<p>+40<h2>+4</h2><p>+38<h2>+2</h2><p>+29<div><a>-2</a></div>
 """
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 HIDDEN = frozenset("script style noscript template iframe object svg math canvas audio video head title textarea select option button datalist".split())
-OUTSIDE = frozenset("nav header footer aside form menu dialog fieldset".split())
+#: Elements that hold no main text, unless an article stands in them: and those that hold none at all.
+MARKED = frozenset("header form fieldset".split())
+NEVER = frozenset("nav footer aside menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ITEMS = frozenset("li td th dt dd".split())
 #: Words in class and id names that tell what is not main text.
 HINTS = re.compile(r"(?<![a-z])(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|notice|alert|popup|modal|nav(?:bar|igation)?|menu|breadcrumbs?|header|masthead|footer|sidebar|widget|related|recommend(?:ed|ations)?|share|sharing|social|newsletter|subscribe|comments?|replies|respond|disqus|login|search|pagination|pager)(?![a-z])", re.I)
+READERS = re.compile(r"(?<![a-z])(?:comments?|replies|respond|disqus)(?![a-z])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|iframe|textarea|svg|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
+#: How elements are marked: hidden, never main text, marked by a name or class, not at all, article.
+HIDES, NOT, NAMED_SO, PLAIN, ARTICLE = -3, -2, -1, 0, 1
+
+
 @dataclass
 class Block:
     text: str
@@ -121,52 +95,56 @@ class Block:
     linked: int
     heading: bool
     item: bool
-    inside: int
+    mark: int
+    box: int  # the outermost marked element around it, 0: none
 
 
-def says_outside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element's name, class, id or role marks what isn't main text. An article's own header is part of it."""
+def mark_of(tag: str, attributes: str, mark: int) -> int:
+    """An element's mark, within one with the mark given. An article's own header is part of it."""
+    if mark <= NOT:
+        return mark
     if tag in HIDDEN:
-        return True
-    if tag in OUTSIDE and not (tag == "header" and in_article):
-        return True
-    if not attributes or tag in ("html", "body"):
-        return False
-    for name, value in NAMED.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if name in ("class", "id") and HINTS.search(value) and not (in_article and re.fullmatch(r".*header.*", value, re.I)):
-            return True
-    return False
+        return HIDES
+    if tag in NEVER:
+        return NOT
+    hinted = tag in MARKED and not (tag == "header" and mark == ARTICLE)
+    article = tag in ("article", "main")
+    if attributes and tag not in ("html", "body"):
+        for name, value in NAMED.findall(attributes):
+            name, value = name.lower(), value.strip("\"'")
+            if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+                return HIDES
+            if name == "role" and value.lower() in ROLES or name in ("class", "id") and READERS.search(value):
+                return NOT
+            if name in ("class", "id") and HINTS.search(value) and not (mark == ARTICLE and re.fullmatch(r".*header.*", value, re.I)):
+                hinted = True
+        article = article or "itemprop" in attributes and "articlebody" in attributes.lower()
+    return ARTICLE if article else NAMED_SO if hinted else mark
 
 
 def page_blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with character references decoded and white space turned into single spaces."""
     blocks: list[Block] = []
     parts: list[str] = []
-    linked = [0]
-    stack: list[tuple[str, int]] = []  # open elements and where text in them stands
+    linked, boxes = 0, 0
+    stack: list[tuple[str, int, int]] = []  # open elements, their marks and boxes
     in_link, block_tag = False, ""
 
     def close() -> None:
-        words = html.unescape("".join(parts)).split() if parts else []
+        nonlocal linked
+        mark, box = stack[-1][1:] if stack else (PLAIN, 0)
+        words = html.unescape("".join(parts)).split() if parts and mark != HIDES else []
         parts.clear()
         if words:
-            blocks.append(Block(" ".join(words), len(words), min(linked[0], len(words)), block_tag in HEADINGS, block_tag in ITEMS, stack[-1][1] if stack else 0))
-        linked[0] = 0
-
-    def text(piece: str) -> None:
-        parts.append(piece)
-        if in_link:
-            linked[0] += len(piece.split())
+            blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), block_tag in HEADINGS, block_tag in ITEMS, mark, box))
+        linked = 0
 
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            text(page[at : m.start()])
+            parts.append(page[at : m.start()])
+            if in_link:
+                linked += len(parts[-1].split())
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag:
@@ -185,23 +163,26 @@ def page_blocks(page: str) -> list[Block]:
         if m[2]:
             in_link = False
             block_tag = ""
-            if any(t == tag for t, _ in stack):
+            if any(x[0] == tag for x in stack):
                 while stack.pop()[0] != tag:
                     pass
         else:
             block_tag = tag
             while stack and (stack[-1][0] == "p" or tag in ITEMS and stack[-1][0] == tag or stack[-1][0] in HEADINGS and tag in HEADINGS):
                 stack.pop()  # these end where the next begins
-            where = stack[-1][1] if stack else 0
-            if where >= 0:
-                if says_outside(tag, m[4], where > 0):
-                    where = -1
-                elif tag in ("article", "main") or "itemprop" in m[4] and "articlebody" in m[4].lower():
-                    where = 1
+            _, above, box = stack[-1] if stack else ("", PLAIN, 0)
+            mark = mark_of(tag, m[4], above)
+            if mark < PLAIN and above >= PLAIN:
+                boxes += 1
+                box = boxes
+            elif mark >= PLAIN:
+                box = 0
             if not m[4].rstrip().endswith("/"):
-                stack.append((tag, where))
+                stack.append((tag, mark, box))
     if at < len(page):
-        text(page[at:])
+        parts.append(page[at:])
+        if in_link:
+            linked += len(parts[-1].split())
     close()
     return blocks
 
@@ -210,8 +191,21 @@ def block_features(blocks: list[Block]) -> np.ndarray:
     n = len(blocks)
     own = np.array([[b.words, 100 * b.linked // b.words] for b in blocks], float).reshape(n, 2)
     none = np.zeros((1, 2))
-    rest = np.array([[b.heading, b.item, b.inside] for b in blocks], float).reshape(n, 3)
-    return np.hstack([own, np.vstack([none, own])[:n], np.vstack([own, none])[1:], rest])
+    box, plain = np.array([b.box for b in blocks], int), np.array([b.words - b.linked for b in blocks], float)
+    held = np.bincount(box, plain) if n else np.zeros(1)
+    share = np.where(box > 0, np.floor(100 * held[box] / max(1.0, plain.sum())), 0.0)
+    rest = np.array([[b.heading, b.item, b.mark] for b in blocks], float).reshape(n, 3)
+    return np.hstack([own, np.vstack([none, own])[:n], np.vstack([own, none])[1:], rest, share[:, None]])
+
+
+def labelled_blocks(pages: str = LABELLED) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the blocks of pages in the labelled table's notation, and whether each is main text."""
+    x, y = [], []
+    for page in pages.strip().splitlines():
+        blocks = page_blocks(re.sub(r"([+-])(\d+)", lambda m: f" {' '.join([m[1]] * int(m[2]))} ", page))
+        x.append(block_features(blocks))
+        y += [b.text[0] == "+" for b in blocks]
+    return np.vstack(x), np.array(y, float)
 
 
 # ---- the tree ----
@@ -239,9 +233,8 @@ def grown(x: np.ndarray, y: np.ndarray, depth: int, least: int = 1) -> tuple:
     return f, cut, grown(x[left], y[left], depth - 1, least), grown(x[~left], y[~left], depth - 1, least)
 
 
-def trained_tree(table: str = LABELLED, depth: int = 6) -> tuple:
-    rows = np.array([[float(v) for v in line.split()] for line in table.strip().splitlines()])
-    return grown(rows[:, :-1], rows[:, -1], depth)
+def trained_tree(pages: str = LABELLED, depth: int = 8) -> tuple:
+    return grown(*labelled_blocks(pages), depth)
 
 
 def classified(tree: tuple, x: np.ndarray) -> np.ndarray:
@@ -267,7 +260,8 @@ def main_text(page: str, tree: tuple) -> str:
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", tree: tuple | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) for each page; null or empty html, or none classified as main text, gives an empty text.
 
-    Repeated rows and null ids are pages like others; an empty table gives an empty result; other columns are not read.
+    Whole pages are read, however long. Repeated rows, null ids and null urls are pages like others; an empty table gives
+    an empty result; other columns are not read.
     """
     tree = tree or trained_tree()
 
