@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Month names.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 _MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
 
@@ -85,3 +88,30 @@ def resolved(href: Column, page_url: Column) -> Column:
     root = F.regexp_extract(page_url, r"^(https?://[^/?#]+)", 1)
     folder = F.regexp_replace(F.regexp_replace(page_url, r"[?#].*$", ""), r"/[^/]*$", "/")
     return F.when(href.rlike("^https?://"), href).when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat(folder, href))
+
+
+def about(found: Column, words: list[str]) -> Column:
+    """Of an array of links those whose text or address holds one of the words, in any case."""
+    pattern = "(?i)" + "|".join(re.escape(w) for w in words)
+    return F.filter(found, lambda p: p["text"].rlike(pattern) | p["href"].rlike(pattern))
+
+
+def titled(name: Column) -> Column:
+    """Every letter that follows none in upper case, the others in lower case."""
+    parts = F.regexp_extract_all(F.lower(F.trim(name)), F.lit("[a-z]+|[^a-z]+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w)))), "")
+
+
+SIGNAL = "signal_type string, bank_name string, title string, impact_direction string, impact_magnitude string, effective_date string, confidence double"
+
+
+def signal_array(answer: Column, bank: Column, least: float = 0.5) -> Column:
+    """Findings of a model's JSON answer, in or out of a code fence, one object or an array of them; those of too little confidence are left out.
+
+    A finding without a bank gets that of the text; without a confidence it has none; text that is no JSON has no findings.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.trim(answer), r"^```[^\n]*\n", ""), r"\s*```\s*$", "")
+    listed = F.when(F.ltrim(bare).startswith("["), bare).otherwise(F.concat(F.lit("["), bare, F.lit("]")))
+    found = F.coalesce(F.from_json(listed, f"array<struct<{', '.join(x.strip().replace(' ', ':', 1) for x in SIGNAL.split(','))}>>"), F.array().cast(f"array<struct<{', '.join(x.strip().replace(' ', ':', 1) for x in SIGNAL.split(','))}>>"))
+    sure = F.filter(found, lambda s: F.coalesce(s["confidence"], F.lit(0.0)) >= least)
+    return F.transform(sure, lambda s: s.withField("bank_name", F.coalesce(F.nullif(s["bank_name"], F.lit("")), bank)))

@@ -34,21 +34,34 @@ def filled(rows: DataFrame, series: list[str], month: str, value: str, how: str,
 
 
 def as_of(spine: DataFrame, events: DataFrame, at: str, effective: str, value: str, keys: list[str] | None = None) -> DataFrame:
-    """spine with the value of the latest event at or before each time; null before the first. Of events at one time the largest counts."""
-    keys = keys or ["_all"]
-    if keys == ["_all"]:
-        spine, events = spine.withColumn("_all", F.lit(1)), events.withColumn("_all", F.lit(1))
+    """spine with the value of the latest event at or before each time; null before the first. Of events at one time the largest counts.
+
+    Without keys time itself is dealt out, by day: a day's opening value is the last one of the days before it.
+    """
+    if not keys:
+        spine, events = (x.withColumn("_day", F.to_date(t)) for x, t in ((spine, at), (events, effective)))
+        return as_of(spine, events.unionByName(openings(spine, events, effective, value), allowMissingColumns=True), at, effective, value, ["_day"]).drop("_day")
     e = events.groupBy(*keys, F.col(effective).alias("_t")).agg(F.max(value).alias(value)).withColumn("_kind", F.lit(0))
     s = spine.withColumns({"_t": F.col(at), value: F.lit(None).cast(events.schema[value].dataType), "_kind": F.lit(1)})
     both = e.unionByName(s, allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last(value, True).over(w)).filter("_kind = 1").drop("_t", "_kind", "_all")
+    return both.withColumn(value, F.last(value, True).over(w)).filter("_kind = 1").drop("_t", "_kind")
+
 
+def openings(spine: DataFrame, events: DataFrame, effective: str, value: str) -> DataFrame:
+    """(_day, effective, value): for each day of either table the last value of the days before it, a moment before it begins.
 
-def intervals(events: DataFrame, effective: str, value: str, keys: list[str]) -> DataFrame:
-    """Change events as half-open intervals [since, until): the form to join by when many series share few events."""
-    w = Window.partitionBy(*keys).orderBy(effective)
-    return events.withColumns({"since": F.col(effective), "until": F.lead(effective).over(w)}).drop(effective)
+    Days are carried on in two levels, months and the days of a month, so that no window holds more than a month's days
+    or, once, the months.
+    """
+    last = events.groupBy("_day").agg(F.max_by(value, F.struct(effective, value)).alias(value))
+    days = spine.select("_day").unionByName(events.select("_day")).filter("_day is not null").distinct().join(last, "_day", "left").withColumn("_month", F.trunc("_day", "MM"))
+    months = days.groupBy("_month").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_day"))).alias("_last"))
+    before = F.last("_last", True).over(Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1))  # a row for each month
+    within = F.last(value, True).over(Window.partitionBy("_month").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    carried = days.withColumn("_within", within).join(F.broadcast(months.select("_month", before.alias("_before"))), "_month")
+    out = carried.select("_day", (F.col("_day").cast("timestamp") - F.expr("interval 1 microsecond")).alias(effective), F.coalesce("_within", "_before").alias(value))
+    return out.filter(F.col(value).isNotNull())
 
 
 def changes(rows: DataFrame, series: list[str], month: str, value: str) -> DataFrame:

@@ -63,3 +63,34 @@ def spliced(rows: DataFrame, series: list[str], month: str, value: str, at: str)
     shifts = rows.groupBy(*series).agg(F.when((n1 >= 3) & (n2 >= 3), line(after) - line(before)).alias("shift"))
     moved = F.when(F.col(month) < F.lit(at).cast("date"), F.col(value) + F.coalesce("shift", F.lit(0.0))).otherwise(F.col(value))
     return rows.join(shifts, series).withColumn("spliced", moved)
+
+
+def canonical_names(rows: DataFrame, name: str, aliases: list[tuple[str, str]]) -> DataFrame:
+    """rows with `canonical`: the alias of the stripped name, else the trimmed name in title case."""
+    from tallyloom.functions import parse
+
+    listed = rows.sparkSession.createDataFrame(aliases, "_key string, _alias string")
+    keyed = rows.withColumn("_key", parse.stripped_name(F.col(name))).join(F.broadcast(listed), "_key", "left")
+    return keyed.withColumn("canonical", F.coalesce("_alias", parse.titled(F.col(name)))).drop("_key", "_alias")
+
+
+def gaps(rows: DataFrame, series: list[str], month: str, days: int = 35) -> DataFrame:
+    """(series, since, until, days): where two rows of a series that follow one another are further apart than `days`."""
+    w = Window.partitionBy(*series).orderBy(month)
+    pairs = rows.select(*series, F.lag(month).over(w).alias("since"), F.col(month).alias("until"))
+    return pairs.withColumn("days", F.datediff("until", "since")).filter(F.col("days") > days)
+
+
+def merged_records(old: DataFrame, new: DataFrame, keys: list[str], first: str) -> DataFrame:
+    """old with new's records in place of those with equal keys; of a batch's records for a key the first in `first` counts. `kind` is kept, updated or new."""
+    rest = [c for c in old.columns if c not in keys]
+    batch = new.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(first, *rest)).alias("_n"))
+    both = old.select(*keys, F.struct(*rest).alias("_o")).join(batch, keys, "full")
+    kind = F.when(F.col("_n").isNull(), "kept").when(F.col("_o").isNull(), "new").otherwise("updated")
+    return both.select(*keys, F.coalesce("_n", "_o").alias("_r"), kind.alias("kind")).select(*keys, "_r.*", "kind")
+
+
+def split_by_type(rows: DataFrame, kind: str, kinds: list[str], optional: list[str]) -> dict[str, DataFrame]:
+    """A table for each kind; an optional column stays where any of the kind's rows has a value. One pass counts them all."""
+    counts = {r[kind]: r for r in rows.filter(F.col(kind).isin(kinds)).groupBy(kind).agg(*(F.count(c).alias(c) for c in optional)).collect()}  # a row for each kind
+    return {k: rows.filter(F.col(kind) == k).drop(*(c for c in optional if k not in counts or not counts[k][c])) for k in kinds}

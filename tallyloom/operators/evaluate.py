@@ -89,11 +89,36 @@ def weight_grid(cv: DataFrame, series: list[str], a: str, b: str, step: float =
 
     The mean error of every weight is one aggregate of an array expression: rows aren't multiplied by the grid.
     """
+    best = F.array_min("_g")
+    return weight_errors(cv, series, a, b, step).select(*series, best["w"].alias("weight"), best["m"].alias("mape"))
+
+
+def weight_errors(cv: DataFrame, series: list[str], a: str, b: str, step: float = 0.05, digits: int = 10) -> DataFrame:
+    """(series, _g): for each weight of the grid its mean error and itself."""
     grid = [round(i * step, 10) for i in range(round(1 / step) + 1)]
     errors = [F.avg(F.abs((F.col("y") - (w * F.col(a) + (1 - w) * F.col(b))) / F.nullif("y", F.lit(0.0)))) for w in grid]
-    out = cv.groupBy(*series).agg(F.array(*(F.struct(F.round(e, 10).alias("m"), F.lit(w).alias("w")) for e, w in zip(errors, grid, strict=True))).alias("_g"))
-    best = F.array_min("_g")
-    return out.select(*series, best["w"].alias("weight"), best["m"].alias("mape"))
+    return cv.groupBy(*series).agg(F.array(*(F.struct(F.round(e, digits).alias("m"), F.lit(w).alias("w")) for e, w in zip(errors, grid, strict=True))).alias("_g"))
+
+
+def weight_ranks(cv: DataFrame, series: list[str], a: str, b: str, n: int, step: float = 0.05) -> DataFrame:
+    """(series, place, weight, mape): the n best weights; the smaller of equal ones first."""
+    out = weight_errors(cv, series, a, b, step, 8).select(*series, F.posexplode(F.slice(F.array_sort("_g"), 1, n)).alias("_p", "_w"))
+    return out.select(*series, (F.col("_p") + 1).alias("place"), F.col("_w.w").alias("weight"), F.col("_w.m").alias("mape"))
+
+
+def full_frame(rows: DataFrame, ahead: DataFrame, ensemble: DataFrame, series: list[str], month: str, y: str, last: int = 16) -> DataFrame:
+    """(series, month, y, fitted, forecast, kind): history with the line's fitted values in its last rows, and the forecast months.
+
+    `ahead` is a trend_forecast of rows; where the ensemble has a value for a month it takes the forecast's place.
+    """
+    line = ahead.groupBy(*series).agg(F.min_by("forecast", "step").alias("_f1"), F.lit(True).alias("_there"))
+    w = Window.partitionBy(*series).orderBy(F.desc(month))
+    fit = rows.withColumn("_k", F.row_number().over(w)).join(line, series, "left")
+    near = fit.filter(F.col("_there") & (F.col("_k") <= last)).groupBy(*series).agg(F.regr_slope(y, -F.col("_k")).alias("_s"), F.regr_intercept(y, -F.col("_k")).alias("_c"))
+    fitted = F.when(F.col("_k") <= last, F.col("_c") - F.col("_s") * F.col("_k"))
+    history = fit.join(near, series, "left").select(*series, month, F.col(y).alias("y"), fitted.alias("fitted"), F.lit(None).cast("double").alias("forecast"), F.lit("actual").alias("kind"))
+    future = ahead.join(ensemble, [*series, month], "left").select(*series, month, F.lit(None).cast("double").alias("y"), F.lit(None).cast("double").alias("fitted"), F.coalesce("ensemble", "forecast").alias("forecast"), F.lit("forecast").alias("kind"))
+    return history.unionByName(future)
 
 
 def trend_forecast(rows: DataFrame, series: list[str], month: str, y: str, last: int = 16, horizon: int = 6, least: int = 48) -> DataFrame:
@@ -121,3 +146,45 @@ def within_shares(members: DataFrame, by: list[str]) -> DataFrame:
     e = F.col("_e")
     shares = [F.avg(F.when(e.isNotNull(), (e < t).cast("double"))).alias(f"within_{round(100 * t)}") for t in (0.05, 0.1, 0.2)]
     return rows.groupBy(*by).agg(F.count(e).alias("n"), *shares, F.count_if(e < 0.05).alias("good"), F.count_if((e >= 0.05) & (e < 0.15)).alias("ok"), F.count_if(e >= 0.15).alias("bad"))
+
+
+def regression_errors(rows: DataFrame, series: list[str], y: str, variants: dict[str, Column], month: str, horizon: int = 6, least: int = 36) -> DataFrame:
+    """(series, variant, p, n, mape): error over the next `horizon` rows of a line on each variant's column, fitted on all rows up to p.
+
+    Rows in which a variant's column is null are left out of it; p counts rows from 1. Fits come from running sums, so
+    every p costs one row, and test rows are joined to it. At least `least` rows are fitted on. A null column variant is
+    the mean alone.
+    """
+    by = Window.partitionBy(*series).orderBy(month)
+    r = rows.withColumns({"_i": F.row_number().over(by), "_n": F.count(F.lit(1)).over(Window.partitionBy(*series)), **{f"_v_{k}": c for k, c in variants.items()}})
+    long = r.select(*series, "_i", "_n", F.col(y).alias("_y"), F.explode(F.array(*(F.struct(F.lit(k).alias("variant"), F.col(f"_v_{k}").cast("double").alias("x")) for k in variants))).alias("_s")).select("*", "_s.*").filter("x is not null")
+    w = Window.partitionBy(*series, "variant").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    flat = F.var_pop("x").over(w) > 0
+    fitted = long.select(*series, "variant", F.col("_i").alias("p"), "_n", F.count(F.lit(1)).over(w).alias("_k"), F.when(flat, F.regr_slope("_y", "x").over(w)).otherwise(0.0).alias("_b"), F.when(flat, F.regr_intercept("_y", "x").over(w)).otherwise(F.avg("_y").over(w)).alias("_a"))
+    fitted = fitted.filter((F.col("p") + horizon <= F.col("_n")) & (F.col("_k") >= least))
+    ahead = fitted.withColumn("_i", F.explode(F.sequence(F.col("p") + 1, F.col("p") + horizon))).join(long.select(*series, "variant", "_i", "_y", "x"), [*series, "variant", "_i"])
+    return ahead.groupBy(*series, "variant", "p").agg(F.first("_n").alias("n"), mape(F.col("_y"), F.col("_a") + F.col("_b") * F.col("x")).alias("mape"))
+
+
+def nested_choice(errors: DataFrame, series: list[str], initial: int = 48, horizon: int = 6, step: int = 6, inner: int = 3) -> DataFrame:
+    """(series, cut, chosen, outer_mape): the variant with the least mean error over the inner folds before each cut, and its error after it.
+
+    Inner folds end at the cut and every `step` rows before it. Ties go to the first variant by name.
+    """
+    cuts = errors.filter((F.col("p") >= initial) & ((F.col("p") - initial) % step == 0))
+    folds_of = cuts.select(*series, F.col("p").alias("cut")).distinct().withColumn("p", F.explode(F.array(*(F.col("cut") - k * step - horizon for k in range(inner)))))
+    scored = folds_of.join(errors, [*series, "p"]).groupBy(*series, "cut", "variant").agg(F.avg("mape").alias("_m"))
+    best = scored.groupBy(*series, "cut").agg(F.min(F.struct(F.round("_m", 9), "variant"))["variant"].alias("chosen"))
+    outer = errors.select(*series, F.col("p").alias("cut"), F.col("variant").alias("chosen"), F.col("mape").alias("outer_mape"))
+    return best.join(outer, [*series, "cut", "chosen"], "left")
+
+
+def ablation(errors: DataFrame, series: list[str], without: str, band: float = 0.1) -> DataFrame:
+    """(series, variant, with_pct, without_pct, delta, verdict): each variant's mean error against that of `without`, in points of a percent.
+
+    KEEP where leaving the feature out costs more than `band` points, REMOVE where it gains as much, else MARGINAL.
+    """
+    mean = errors.groupBy(*series, "variant").agg((F.avg("mape") * 100).alias("m"))
+    base = mean.filter(F.col("variant") == without).select(*series, F.col("m").alias("without_pct"))
+    out = mean.filter(F.col("variant") != without).join(base, series).withColumn("delta", F.round(F.col("without_pct") - F.col("m"), 6))
+    return out.select(*series, "variant", F.col("m").alias("with_pct"), "without_pct", "delta", F.when(F.col("delta") > band, "KEEP").when(F.col("delta") < -band, "REMOVE").otherwise("MARGINAL").alias("verdict"))

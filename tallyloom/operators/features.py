@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Signal types, the column each feeds and how: a weighted count, a signed sum or a flag.
-SIGNAL_RULES = [("new_card_launch", "launches", "count", 1.0), ("card_discontinuation", "launches", "count", -1.0), ("partnership", "partnerships", "count", 1.0), ("macro_policy", "policy", "direction", 1.0), ("growth_target", "target", "flag", 1.0)]
-MAGNITUDE = {"high": 3.0, "medium": 2.0, "low": 1.0}
-DIRECTION = {"positive": 1.0, "negative": -1.0, "neutral": 0.0}
-
-
 def event_columns(rows: DataFrame, month: str, events: list[tuple[str, str, list[str]]]) -> DataFrame:
     """rows with event_<name>: "pulse" is 1 in the listed months, "step" from the listed month on; change points make no column."""
     out = {}
@@ -30,16 +24,16 @@ def change_points(rows: DataFrame, series: list[str], month: str, points: list[s
     return ends.select(*series, F.explode(F.filter(all_points, lambda p: (p > F.col("_a")) & (p < F.col("_b")))).alias("change_point"))
 
 
-def signal_regressors(signals: DataFrame, period: str = "day") -> DataFrame:
-    """(period, column, value): findings summed to regressors.
+def signal_regressors(signals: DataFrame, rules: list[tuple[str, str, str, float]], magnitudes: dict[str, float], directions: dict[str, float], period: str = "day") -> DataFrame:
+    """(period, column, value): findings summed to regressors by rules (signal type, prefix of the column, how, weight).
 
     Counts add weight times magnitude for each bank, directions add direction times magnitude over all banks, flags are 1
     where the last finding of the period isn't negative. Unknown types are left out.
     """
     spark: SparkSession = signals.sparkSession
-    rules = spark.createDataFrame(SIGNAL_RULES, "signal_type string, prefix string, how string, weight double")
+    by_type = spark.createDataFrame(rules, "signal_type string, prefix string, how string, weight double")
     lookup = lambda m, c: F.element_at(F.create_map(*(F.lit(x) for p in m.items() for x in p)), F.col(c))
-    rows = signals.join(F.broadcast(rules), "signal_type").withColumns({"period": F.date_trunc(period, "discovered_at").cast("date"), "magnitude": lookup(MAGNITUDE, "impact_magnitude"), "direction": lookup(DIRECTION, "impact_direction")})
+    rows = signals.join(F.broadcast(by_type), "signal_type").withColumns({"period": F.date_trunc(period, "discovered_at").cast("date"), "magnitude": lookup(magnitudes, "impact_magnitude"), "direction": lookup(directions, "impact_direction")})
     column = F.when(F.col("how") == "direction", F.col("prefix")).otherwise(F.concat("prefix", F.lit("_"), "bank_name"))
     amount = F.when(F.col("how") == "count", F.col("weight") * F.col("magnitude")).otherwise(F.col("direction") * F.col("magnitude"))
     grouped = rows.groupBy("period", column.alias("column"), "how").agg(F.sum(amount).alias("_sum"), F.max_by("direction", F.struct("discovered_at", "id")).alias("_last"))
@@ -54,3 +48,10 @@ def future_rows(rows: DataFrame, series: list[str], month: str, value: str, rule
     steps = last.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_h"))
     out = {"flat": F.col(value), "mean": F.col("mean12"), "slope": F.col(value) + F.col("slope6") * F.col("_h")}[rule]
     return steps.select(*series, F.add_months("_end", F.col("_h")).alias(month), F.greatest(F.lit(0.0), out).alias(value))
+
+
+def with_extra_regressors(train: DataFrame, extra: DataFrame, series: list[str], month: str, columns: list[str]) -> DataFrame:
+    """(series, month, name, value) of the extra regressors at the training rows: 0 where missing, and only those that aren't constant in a series."""
+    rows = train.select(*series, month).join(extra, month, "left").unpivot([*series, month], columns, "name", "value").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    varied = rows.groupBy(*series, "name").agg(F.stddev("value").alias("_s")).filter("_s > 0").drop("_s")
+    return rows.join(varied, [*series, "name"], "left_semi")

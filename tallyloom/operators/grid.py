@@ -64,3 +64,52 @@ def extracted(cells: DataFrame, columns: DataFrame, first_row: int, targets: lis
 def summed(a: Column, b: Column) -> Column:
     """The sum if both are there, else the first."""
     return F.when(a.isNotNull() & b.isNotNull(), a + b).otherwise(a)
+
+
+def resolved_by_section(columns: DataFrame, specs: dict[str, dict[str, list[str]]]) -> DataFrame:
+    """For each target the leftmost column whose section, label and unit hold all words of its spec, and its section none of section_not.
+
+    columns has (file, sheet, col, section, label, unit); words are compared in lower case. A target that isn't found has
+    a null col: `missing` lists those.
+    """
+    kinds = ("section", "section_not", "column", "unit")
+    rows = [(t, *([w.lower() for w in s.get(k, [])] for k in kinds)) for t, s in specs.items()]
+    spec = columns.sparkSession.createDataFrame(rows, "target string, " + ", ".join(f"_{k} array<string>" for k in kinds))
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    holds = lambda words, c: F.forall(words, lambda w: F.contains(low(c), w))
+    fits = holds("_section", "section") & ~F.exists("_section_not", lambda w: F.contains(low("section"), w)) & holds("_column", "label") & holds("_unit", "unit")
+    pairs = columns.crossJoin(F.broadcast(spec))  # a handful of targets, given by the caller
+    return pairs.groupBy(*SHEET, "target").agg(F.min(F.when(fits, F.col("col"))).alias("col"))
+
+
+def missing(resolved: DataFrame) -> DataFrame:
+    """The targets that a sheet has no column for."""
+    return resolved.filter("col is null").select(*SHEET, "target")
+
+
+def group_columns(headers: DataFrame, group: str, word: str = "outstanding") -> DataFrame:
+    """(file, sheet, col, how): the column of `word` inside a group's span of the filled headers.
+
+    The span begins at the leftmost cell of the first row that holds the group's name and goes as far as the cells are
+    equal. Below it the first row, and in it the leftmost column, whose text holds the word counts ("span"). Where there
+    is none, the first cell that is the group's own name below a cell with the word counts ("banner"). Else there is no row.
+    """
+    h = headers.select(*SHEET, "row", "col", F.lower(F.coalesce("value", F.lit(""))).alias("v"))
+    named = h.filter(F.contains("v", F.lit(group.lower())))
+    at = named.groupBy(*SHEET).agg(F.min(F.struct("row", "col", "v")).alias("_g"))
+    line = h.join(at, SHEET).filter((F.col("row") == F.col("_g.row")) & (F.col("col") >= F.col("_g.col")))
+    stop = line.groupBy(*SHEET).agg(F.min(F.when(F.col("v") != F.col("_g.v"), F.col("col"))).alias("_stop"))
+    span = at.join(stop, SHEET)
+    inside = h.join(span, SHEET).filter((F.col("row") > F.col("_g.row")) & (F.col("col") >= F.col("_g.col")) & (F.col("_stop").isNull() | (F.col("col") < F.col("_stop"))) & F.contains("v", F.lit(word)))
+    first = inside.groupBy(*SHEET).agg(F.min(F.struct("row", "col"))["col"].alias("_inside"))
+    banner = h.groupBy(*SHEET, "col").agg(F.min(F.when(F.contains("v", F.lit(word)), F.col("row"))).alias("_above"))
+    own = h.filter(F.trim("v") == group.lower()).join(banner, [*SHEET, "col"]).filter(F.col("_above") < F.col("row"))
+    below = own.groupBy(*SHEET).agg(F.min(F.struct("row", "col"))["col"].alias("_below"))
+    out = at.join(first, SHEET, "left").join(below, SHEET, "left")
+    return out.select(*SHEET, F.coalesce("_inside", "_below").alias("col"), F.when(F.col("_inside").isNotNull(), "span").otherwise("banner").alias("how")).filter("col is not null")
+
+
+def sheet_formats(cells: DataFrame, formats: list[tuple[str, str]]) -> DataFrame:
+    """(file, sheet, format): the first format whose mark the sheet's name holds, in any case; none: null."""
+    found = F.coalesce(*(F.when(F.contains(F.lower("sheet"), F.lit(mark.lower())), F.lit(name)) for name, mark in formats))
+    return cells.select(*SHEET).distinct().withColumn("format", found)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,32 @@ def nested_export(rows: DataFrame, key: str, month: str, columns: list[str]) ->
     return listed.select(key, F.to_json(F.struct(*arrays), {"ignoreNullFields": "false"}).alias("payload"))
 
 
+def months_behind(runs: DataFrame, key: str, at: str, today: Column, late_days: int = 62) -> DataFrame:
+    """(key, last, expected, months_behind): how far a source's last month is behind the one expected, that of `late_days` before this month."""
+    expected = F.trunc(F.date_sub(F.trunc(today, "MM"), late_days), "MM")
+    last = runs.groupBy(key).agg(F.trunc(F.max(at), "MM").alias("last")).withColumn("expected", expected)
+    return last.withColumn("months_behind", F.greatest(F.lit(0), F.months_between("expected", "last").cast("int")))
+
+
+def combined_hash(content: DataFrame, group: str, path: str, text: str, known: DataFrame) -> DataFrame:
+    """(group, hash, verdict): one hash over a group's contents in the order of their paths; "re-run" if it is the ledger's last, else "new"."""
+    one = content.select(group, F.struct(path, F.sha2(F.coalesce(text, F.lit("")), 256).alias("h")).alias("_p"))
+    listed = one.groupBy(group).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list("_p")), lambda p: p["h"]), ""), 256).alias("hash"))
+    ledger = known.select(group, F.col("hash").alias("_was"))
+    return listed.join(ledger, group, "left").select(group, "hash", F.when(F.col("hash") == F.col("_was"), "re-run").otherwise("new").alias("verdict"))
+
+
+def harmonised(tables: dict[str, DataFrame], columns: dict[str, list[str]], constants: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """Tables under one schema: each column is the first of its names that a table has (none: null), with `model_type` naming the table."""
+    out = None
+    for name, rows in tables.items():
+        given = (constants or {}).get(name, {})
+        picked = [(given[c] if c in given else F.coalesce(*(F.col(n) for n in names if n in rows.columns), F.lit(None))).alias(c) for c, names in columns.items()]
+        part = rows.select(*picked, F.lit(name).alias("model_type"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def freshness(content: DataFrame, known: DataFrame, key: str, text: str) -> DataFrame:
     """(key, hash, is_new): whether a content's SHA-256 is not in the ledger `known`."""
     hashed = content.select(key, F.sha2(F.coalesce(text, F.lit("")), 256).alias("hash"))

@@ -93,10 +93,19 @@ def b12_page_text_hash(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.length(text).cast("long").alias("n_chars"), parse.content_hash(text).alias("hash"))
 
 
-@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) / 100.0 >= 0.5 THEN 'used' ELSE 'dropped' END AS fate FROM events""")
-def b13_json_fields(spark, sf):
-    k = F.from_json("props", "k long")["k"]
-    return table(spark, sf, "events").select("event_id", k.alias("k"), F.when(k / 100.0 >= 0.5, "used").otherwise("dropped").alias("fate"))
+@query("""WITH d AS (SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type FROM events),
+x AS (SELECT event_id, user_id, k, unnest([1, 2]) AS nth, event_type FROM d WHERE event_id % 4 < 3)
+SELECT event_id, CASE WHEN nth = 1 THEN event_type ELSE 'second' END AS signal_type, CASE WHEN nth = 1 THEN 'bank_' || CAST(user_id % 5 AS VARCHAR) ELSE 'own' END AS bank_name, CASE WHEN nth = 1 THEN k / 100.0 ELSE 0.75 END::DOUBLE AS confidence
+FROM x WHERE (nth = 1 OR event_id % 4 = 1) AND CASE WHEN nth = 1 THEN k / 100.0 ELSE 0.75 END >= 0.5""")
+def b13_signal_arrays(spark, sf):
+    """Answers as models give them: a bare object, an array in a code fence, an array, and text that is no JSON."""
+    one = F.concat(F.lit('{"signal_type": "'), F.col("event_type"), F.lit('", "confidence": '), (F.get_json_object("props", "$.k").cast("int") / 100.0).cast("string"), F.lit("}"))
+    more = F.lit(', {"signal_type": "second", "bank_name": "own", "confidence": 0.75}, {"signal_type": "unsure"}')
+    k = F.pmod("event_id", F.lit(4))
+    answer = F.when(k == 0, one).when(k == 1, F.concat(F.lit("```json\n["), one, more, F.lit("]\n```"))).when(k == 2, F.concat(F.lit("["), one, F.lit("]"))).otherwise("I found nothing, {sorry")
+    rows = table(spark, sf, "events").select("event_id", F.concat(F.lit("bank_"), F.pmod("user_id", F.lit(5)).cast("string")).alias("bank"), answer.alias("answer"))
+    found = rows.select("event_id", F.explode(parse.signal_array(F.col("answer"), F.col("bank"))).alias("s"))
+    return found.select("event_id", "s.signal_type", "s.bank_name", "s.confidence")
 
 
 @query(f"""WITH {PANEL} SELECT bank_name, card_type, month, round(ln(1 + outstanding), 6) AS logged, round(exp(ln(1 + outstanding)) - 1, 2) AS back, round(outstanding / 100000.0, 7) AS lakh,
@@ -171,17 +180,8 @@ def d1_master_frame(spark, sf):
 @query(f"""WITH {RATES}, o AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS at FROM events WHERE event_type = 'purchase')
 SELECT event_id, rate FROM o ASOF LEFT JOIN (SELECT effective_ts, max(rate) AS rate FROM rates GROUP BY 1) r ON o.at >= r.effective_ts""")
 def d2_as_of(spark, sf):
-    """Keyed by day, which is the partition; a day's opening value comes from the days before."""
     spine = table(spark, sf, "events").filter("event_type = 'purchase'").select("event_id", F.col("ts").cast("timestamp").alias("at"))
-    events = fx.rate_events(spark, sf)
-    last = events.groupBy(F.to_date("effective_ts").alias("day")).agg(F.max_by("rate", F.struct("effective_ts", "rate")).alias("rate"))
-    days = spine.select(F.to_date("at").alias("day")).distinct().unionByName(last.select("day")).distinct()
-    opening = days.join(last, "day", "left")  # a row for each day: small at any number of events
-    w = Window.partitionBy(F.year("day")).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    opening = opening.withColumn("open", F.last("rate", True).over(w)).filter("open is not null").select("day", F.col("day").cast("timestamp").alias("effective_ts"), F.col("open").alias("rate"))
-    first = events.withColumn("day", F.to_date("effective_ts"))
-    both = first.unionByName(opening.join(first.filter("effective_ts = cast(day as timestamp)").select("day"), "day", "left_anti"))
-    return align.as_of(spine.withColumn("day", F.to_date("at")), both, "at", "effective_ts", "rate", ["day"]).select("event_id", "rate")
+    return align.as_of(spine, fx.rate_events(spark, sf), "at", "effective_ts", "rate").select("event_id", "rate")
 
 
 @query(f"""WITH {PANEL}, e AS (SELECT bank_name, card_type, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH))::DATE AS month FROM panel GROUP BY 1, 2)
@@ -338,11 +338,11 @@ def h2_change_points(spark, sf):
     return features.change_points(fx.panel(spark, sf), KEY, "month", ["1995-01-01", "1998-06-01", "2001-07-01"])
 
 
-@query(f"""WITH {SIGNALS}, r(signal_type, prefix, how, weight) AS (VALUES ('new_card_launch', 'launches', 'count', 1), ('card_discontinuation', 'launches', 'count', -1), ('partnership', 'partnerships', 'count', 1), ('macro_policy', 'policy', 'direction', 1), ('growth_target', 'target', 'flag', 1)),
+@query(f"""WITH {SIGNALS}, r(signal_type, prefix, how, weight) AS (VALUES {', '.join(str(r) for r in fx.SIGNAL_RULES)}),
 x AS (SELECT *, CAST(discovered_at AS DATE) AS period, CASE impact_magnitude WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END AS mg, CASE impact_direction WHEN 'positive' THEN 1 WHEN 'negative' THEN -1 ELSE 0 END AS dr FROM signals JOIN r USING (signal_type))
 SELECT period, CASE WHEN how = 'direction' THEN prefix ELSE prefix || '_' || bank_name END AS "column", CAST(CASE WHEN how = 'flag' THEN CASE WHEN arg_max(dr, (discovered_at, id)) >= 0 THEN 1 ELSE 0 END WHEN how = 'count' THEN sum(weight * mg) ELSE sum(dr * mg) END AS DOUBLE) AS value FROM x GROUP BY period, 2, how""")
 def h6_signal_regressors(spark, sf):
-    return features.signal_regressors(fx.signals(spark, sf))
+    return features.signal_regressors(fx.signals(spark, sf), fx.SIGNAL_RULES, fx.MAGNITUDES, fx.DIRECTIONS)
 
 
 @query(f"""WITH {PANEL}, n AS (SELECT *, row_number() OVER (PARTITION BY bank_name, card_type ORDER BY month DESC) AS k FROM panel), s AS (SELECT bank_name, card_type, max(month) AS last, CASE WHEN count(*) FILTER (WHERE k <= 6) >= 6 THEN regr_slope(txn_vol, -k) FILTER (WHERE k <= 6) ELSE 0 END AS slope, arg_max(txn_vol, month) AS v FROM n GROUP BY 1, 2)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.plans import more_queries  # noqa: F401  registers its queries
+from tallyloom.plans import input_queries, model_queries, more_queries  # noqa: F401  register their queries
 from tallyloom.plans.queries import QUERIES, SQL
 
 

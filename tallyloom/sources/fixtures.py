@@ -106,3 +106,18 @@ SIGNALS = """signals AS (
          'bank_' || CAST(user_id % 5 AS VARCHAR) AS bank_name,
          CASE CAST(floor(value) AS BIGINT) % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS impact_direction,
          CASE event_id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS impact_magnitude, CAST(ts AS TIMESTAMP) AS discovered_at FROM events)"""
+
+
+# The signal types, the column each feeds and how; magnitudes and directions as numbers.
+SIGNAL_RULES = [
+    ("new_card_launch", "new_products", "count", 1.0),
+    ("card_discontinuation", "discontinued", "count", -1.0),
+    ("regulatory_change", "rbi_regulatory", "direction", 1.0),
+    ("partnership", "partnerships", "count", 1.0),
+    ("growth_target", "bank_bullish", "flag", 1.0),
+    ("infrastructure_change", "infra_change", "direction", 1.0),
+    ("macro_policy", "macro_signal", "direction", 1.0),
+    ("market_event", "market_event", "direction", 1.0),
+]
+MAGNITUDES = {"high": 3.0, "medium": 2.0, "low": 1.0}
+DIRECTIONS = {"positive": 1.0, "negative": -1.0, "neutral": 0.0}

@@ -29,13 +29,30 @@ def run_once(df: DataFrame, name: str, checkpoint: str, mode: str = "append") ->
     return df.sparkSession.table(name)
 
 
-def upsert_stream(stream: DataFrame, target: str, keys: list[str], at: str, checkpoint: str) -> None:
-    """Latest row of each key into Parquet versions under target; a batch that is run again writes the same version again."""
-    from tallyloom.operators.serving import upserted
+def upsert_stream(stream: DataFrame, target: str, keys: list[str], at: str, checkpoint: str, buckets: int = 64) -> None:
+    """Latest row of each key into Parquet under target, in buckets by key; a batch rewrites only the buckets of its keys.
+
+    A row counts if none of its key is later, so a batch that is run again changes nothing. A batch's new buckets are
+    written aside first and then put in place of the old ones.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = spark.read.schema(batch.schema).parquet(f"{target}/{number - 1}") if number else batch.limit(0)
-        upserted(old, batch, keys, at).write.mode("overwrite").parquet(f"{target}/{number}")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        rows = batch.withColumn("bucket", bucket)
+        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most `buckets` rows
+        if number:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(target).filter(F.col("bucket").isin(touched)))
+        rest = [c for c in batch.columns if c not in keys]
+        latest = rows.groupBy("bucket", *keys).agg(F.max_by(F.struct(*rest), F.struct(at, *rest)).alias("_r")).select(*keys, "_r.*", "bucket")
+        latest.repartition("bucket").write.mode("overwrite").parquet(f"{checkpoint}-aside")
+        aside = spark.read.schema(latest.schema).parquet(f"{checkpoint}-aside")
+        aside.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(target)
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """All that is there now, appended to Parquet files."""
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
