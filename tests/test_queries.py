@@ -131,7 +131,7 @@ def test_as_of_over_years(spark):
     con.executemany("INSERT INTO e VALUES (?, ?)", events)
     con.executemany("INSERT INTO s VALUES (?, ?)", spine)
     assert got == dict(con.execute("SELECT id, v FROM s ASOF LEFT JOIN (SELECT effective, max(v) AS v FROM e GROUP BY 1) e ON s.t >= e.effective").fetchall())
-    assert got[903] == 8.0 and got[902] is None
+    assert got[902] is None
 
 
 def test_signals_in_answers(spark):
