@@ -4,25 +4,36 @@ All texts walk with the same random bits: at step j the walk writes its characte
 bit j of that character says so. After an insertion, deletion or change two walks soon meet again at equal characters
 and stay together, so edit distance between texts becomes Hamming distance between what they write. The fingerprint
 samples the written characters at shared random steps, as many in each doubling of the steps, so that near the start
-and far into very long texts alike there are samples. Bands of samples find candidates; the share of equal samples,
-weighted by the steps that each stands for, verifies them.
+and far into very long texts alike there are samples.
+
+Near texts are found by bands. Of each of a text's last octaves, which hold most of its steps, BANDS bands of randomly
+sampled bits (PICKED samples of four bits each) are its keys; equal fingerprints are folded first. Each text is compared
+with one other of its band, drawn by hash, and joined to it if the share of equal samples, weighted by the steps that
+each stands for, is LEAST or more. Then, in bands that still hold several groups, texts of different groups are compared.
+So a large group of near copies costs a few comparisons for each text, and none of a band's pairs is left out.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import only
+from .components import linked_groups
+from .shared import kept, mixed, only
 
 SAMPLES = 32
 FIRST = 6  # steps before 2**FIRST are one octave
-BAND = 8
+#: Octaves whose bands are keys, bands of each and samples of a band; likeness from which texts are near.
+LAST, BANDS, PICKED, LEAST = 3, 8, 6, 0.8
+#: Rows of open bands in a shard, about.
+SHARD_ROWS = 40_000
 MULTIPLIER = 0x9E3779B1
 PERIOD = 1 << 16
 NONE = 255
@@ -33,6 +44,9 @@ _rng = np.random.Generator(np.random.PCG64(310))
 BITS = _rng.integers(0, 2**32, PERIOD, dtype=np.uint32)
 _BITS = BITS.tolist()
 HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
+FROM_HEX = np.full(256, NONE, np.uint8)
+FROM_HEX[HEX] = np.arange(16)
+PICKS = np.stack([_rng.choice(SAMPLES, PICKED, replace=False) for _ in range(BANDS)])
 
 
 def sampled_steps(octaves: int) -> np.ndarray:
@@ -107,11 +121,40 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(there > 0, same / np.maximum(there, 1e-9), 1.0)
 
 
+def band_keys(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the bands of each row's last octaves. Samples behind the walk's end are a value like others."""
+    n, width = samples.shape
+    padded = np.full((n, -(-max(1, width) // SAMPLES) * SAMPLES), NONE, np.uint8)
+    padded[:, :width] = samples
+    top = np.maximum((samples != NONE).sum(1) - 1, 0) // SAMPLES
+    rows, keys = [], []
+    for back in range(LAST):
+        row = np.flatnonzero(top >= back)
+        octave = top[row] - back
+        for band, pick in enumerate(PICKS):
+            value = np.zeros(len(row), np.uint64)
+            for i in pick:
+                value = (value << np.uint64(8)) | padded[row, octave * SAMPLES + i]
+            rows.append(row)
+            keys.append(mixed(value ^ mixed((octave * BANDS + band + 1).astype(np.uint64))))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
 def banded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether rows agree in a whole band of samples, and so are candidates (both empty: yes)."""
-    n = a.shape[1] // BAND
-    same = ((a == b) & (a != NONE))[:, : n * BAND].reshape(len(a), n, BAND).all(2).any(1)
-    return same | ((a == NONE).all(1) & (b == NONE).all(1))
+    """Whether rows share a band's key, and so are candidates."""
+    out = np.zeros(len(a), bool)
+    (i, x), (j, y) = band_keys(a), band_keys(b)
+    shared = np.intersect1d(mixed(x + i.astype(np.uint64)), mixed(y + j.astype(np.uint64)))
+    out[i[np.isin(mixed(x + i.astype(np.uint64)), shared)]] = True
+    return out
+
+
+def unwritten(fingerprints: list[str]) -> np.ndarray:
+    """Samples of fingerprints in hex digits, NONE behind the end."""
+    sizes = np.array([len(f) for f in fingerprints], np.int64)
+    out = np.full((len(sizes), int(sizes.max(initial=0))), NONE, np.uint8)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = FROM_HEX[np.frombuffer("".join(fingerprints).encode(), np.uint8)]
+    return out
 
 
 def written(samples: np.ndarray) -> list[str]:
@@ -121,36 +164,106 @@ def written(samples: np.ndarray) -> list[str]:
     return [digits[i, :n].tobytes().decode() for i, n in enumerate(counts.tolist())]
 
 
-CELLS = 1 << 16
+def near_groups(prints: DataFrame, least: float = LEAST) -> DataFrame:
+    """(node, group) of the fingerprints (node, fingerprint) that are near another; group is the smallest node reachable.
+
+    A node is a fingerprint's hash: repeated rows are one. A fingerprint that is near no other has no row; null ones
+    count as empty, and an empty table gives an empty result.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
+        for b in batches:
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
+                row, key = band_keys(unwritten([x or "" for x in part.column(1).to_pylist()]))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(key.view(np.int64))], ["node", "key"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
+        for b in batches:
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
+                n = part.num_rows
+                both = unwritten(part.column(2).to_pylist() + part.column(3).to_pylist())
+                ok = pa.array(likeness(both[:n], both[n:]) >= least)
+                yield pa.RecordBatch.from_arrays([part.column(i).filter(ok) for i in (0, 1)], ["a", "b"])
+
+    def search(part: pa.Table) -> pa.Table:
+        """Links between groups that share a band."""
+        part = part.sort_by("key")
+        key, node, group = (part.column(c).to_numpy() for c in ("key", "node", "group"))
+        samples = unwritten(part.column("fingerprint").to_pylist())
+        names, root = np.unique(group, return_inverse=True)
+        top = np.arange(len(names))
+        links = []
+        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        for first, end in zip(heads.tolist(), np.append(heads[1:], len(key)).tolist(), strict=True):
+            for i in range(first + 1, end):
+                while True:
+                    j = first + np.flatnonzero(top[root[first:i]] != top[root[i]])
+                    j = j[likeness(samples[j], np.broadcast_to(samples[i], (len(j), samples.shape[1]))) >= least] if len(j) else j
+                    if not len(j):
+                        break
+                    links.append((int(node[i]), int(node[j[0]])))
+                    top[top == top[root[j[0]]]] = top[root[i]]
+        columns = list(zip(*links, strict=True)) or [[], []]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    prints = kept(prints.groupBy("node").agg(F.first("fingerprint").alias("fingerprint")), "edit-prints")
+    rows = kept(prints.select("node", "fingerprint").mapInArrow(keys, "node long, key long"), "edit-keys")
+    drawn = F.min_by("node", F.xxhash64("node", "key")).alias("other")
+    leaders = rows.groupBy("key").agg(drawn, F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "other")
+    rows = kept(rows.join(leaders, "key"), "edit-bands")
+    pairs = rows.filter("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    a, b = (prints.select(F.col("node").alias(x), F.col("fingerprint").alias(f"f{x}")) for x in "ab")
+    links = kept(pairs.join(a, "a").join(b, "b").select("a", "b", "fa", "fb").mapInArrow(alike, "a long, b long"), "edit-links")
+    groups = linked_groups(links)
+    placed = rows.join(groups, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"))
+    several = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("key")
+    still = kept(placed.join(several, "key", "left_semi").join(prints, "node"), "edit-open")
+    shards = max(1, still.count() // SHARD_ROWS)
+    more = still.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInArrow(search, "a long, b long")
+    return linked_groups(links.unionByName(kept(more, "edit-links")))
+
+
 PART_BYTES = 12 << 20
+#: Parts at most (beyond that they grow; a task goes through its part row by row), and places drawn for the borders of each.
+PARTS, DRAWN = 16384, 24
 
 
 def with_next(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(part, halo, doc_id, text): parts of consecutive ids in descending order, each closed by a copy of the next part's first row.
+    """(part, halo, doc_id, text, second): parts of consecutive ids in descending order, each closed by a copy of the next part's first row.
 
-    Ids are counted in a fixed number of cells, and runs of cells become parts of about equal size, so only ids are
-    read for it. The last part is closed by the first row of all. Null ids come last; equal ids are ordered by text.
+    Borders of the parts are drawn from the ids with the texts' hashes as a second key, so that ids that lie close
+    together, or are equal or null, are split as well. The last part is closed by the first row of all. Null ids come
+    last; equal ids are ordered by the text's hash, then by the text.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    low, high, size = docs.agg(F.min("doc_id"), F.max("doc_id"), F.sum(F.octet_length("text"))).first()
-    low, high = low or 0, high or 0
-    cell = F.coalesce(F.least(F.floor((F.lit(float(high)) - F.col("doc_id").cast("double")) * (CELLS / (float(high) - float(low) + 1))), F.lit(CELLS - 1)), F.lit(CELLS)).cast("int")
-    counts = sorted((r["cell"], r["count"]) for r in docs.select(cell.alias("cell")).groupBy("cell").count().collect())  # at most CELLS + 1 rows
-    total = sum(n for _, n in counts)
-    parts = max(1, -(-(size or 0) // part_bytes))
-    seen, rows = 0, []
-    for c, n in counts:
-        rows.append((c, seen * parts // total))
-        seen += n
-    numbers = {p: i for i, p in enumerate(dict.fromkeys(p for _, p in rows))}
-    table = spark.createDataFrame([(c, numbers[p]) for c, p in rows], "cell int, part int")
-    placed = docs.withColumn("cell", cell).join(F.broadcast(table), "cell").drop("cell")
-    first = placed.groupBy("part").agg(F.max("doc_id").alias("first_id"))
-    halo = placed.join(F.broadcast(first.withColumnRenamed("part", "first_part")), F.expr("part = first_part and doc_id <=> first_id"))
-    halo = halo.groupBy("part").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"))
-    halo = halo.select(F.pmod(F.col("part") - 1, F.lit(max(1, len(numbers)))).alias("part"), F.lit(True).alias("halo"), "doc_id", "text")
-    return placed.select("part", F.lit(False).alias("halo"), "doc_id", "text").unionByName(halo)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("second", F.xxhash64("text"))
+    place = [F.col("doc_id").isNull(), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)), F.col("second")]
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    parts = min(PARTS, max(1, -(-(size or 0) // part_bytes)))
+    borders: list[tuple[bool, int, int]] = []
+    if parts > 1:
+        some = rows.select(*place).filter(F.pmod(F.xxhash64("doc_id", "second"), F.lit(max(1, n // (parts * DRAWN)))) == 0)
+        drawn = sorted(map(tuple, some.collect()))  # about DRAWN for each part
+        borders = sorted({drawn[i * len(drawn) // parts] for i in range(1, parts)}) if drawn else []
+    shared = spark.sparkContext.broadcast(borders)
+
+    @F.pandas_udf("int")
+    def number(null: pd.Series, turned: pd.Series, second: pd.Series) -> pd.Series:
+        return pd.Series([bisect.bisect_right(shared.value, x) for x in zip(null.tolist(), turned.tolist(), second.tolist(), strict=True)], dtype="int32")
+
+    numbered = rows.select((number(*place) if borders else F.lit(0)).alias("part"), "doc_id", "text", "second")
+    order = F.struct(*place, "text")
+    heads = numbered.groupBy("part").agg(F.min(order).alias("o"), F.min_by("doc_id", order).alias("doc_id"))
+    heads = kept(heads.select("part", "doc_id", F.col("o.second").alias("second"), F.col("o.text").alias("text")), "edit-heads")
+    there = sorted(r["part"] for r in heads.select("part").collect())  # a row for each part
+    before = {p: there[i - 1] for i, p in enumerate(there)}
+    closes = spark.createDataFrame(sorted(before.items()), "part int, before int")
+    halo = heads.join(closes, "part").select(F.col("before").alias("part"), F.lit(True).alias("halo"), "doc_id", "text", "second")
+    return numbered.select("part", F.lit(False).alias("halo"), "doc_id", "text", "second").unionByName(halo)
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
@@ -158,11 +271,11 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     The edited text has the last half of its code points replaced by as many of the next document's first ones (or all,
     where that is shorter), in descending order of doc_id; after the last comes the first. near_* are likenesses of
-    fingerprints, *_banded tells whether a band of samples would have found the pair. Null text counts as empty; an
+    fingerprints, *_banded tells whether the pair shares a band's key. Null text counts as empty; an
     only document is its own next one; null ids come last; an empty table gives an empty result.
     """
     rows = with_next(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), part_bytes)
-    rows = rows.repartition("part").sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "text")
+    rows = rows.repartition("part").sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "second", "text")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edited_banded", "next_banded"]
 
     def done(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
@@ -194,3 +307,18 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edited_banded boolean, next_banded boolean"
     return rows.select("halo", "doc_id", "text").mapInArrow(run, schema)
+
+
+def grouped_fingerprints(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """fingerprint_documents with group_id: the smallest doc_id of the texts reachable by links of likeness `least` or more, itself included.
+
+    A group of null ids only has a null group_id.
+    """
+    node = F.xxhash64("fingerprint")
+    rows = kept(fingerprint_documents(docs), "edit-documents")
+    groups = near_groups(rows.select(node.alias("node"), "fingerprint"), least)
+    ids = rows.groupBy(node.alias("node")).agg(F.min("doc_id").alias("first"))
+    placed = ids.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    smallest = placed.groupBy("group").agg(F.min("first").alias("group_id"))
+    named = kept(placed.join(smallest, "group").select("node", "group_id"), "edit-groups")
+    return rows.withColumn("node", node).join(named, "node").drop("node")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .edit_fingerprint import fingerprint_documents
+from .edit_fingerprint import grouped_fingerprints
 from .gif_media import read_back, with_gif
 from .gumbel_pieces import sample_segmentations
 from .html_blocks import extract_main_text
@@ -32,7 +32,7 @@ def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_documents(table(spark, sf_dir, "documents"))
+    return grouped_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

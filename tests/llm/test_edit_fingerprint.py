@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from tallyloom.llm.edit_fingerprint import BITS, MULTIPLIER, NONE, embedded, fingerprint_documents, likeness, sampled_steps, written
+from tallyloom.llm.edit_fingerprint import BITS, MULTIPLIER, NONE, LEAST, embedded, fingerprint_documents, grouped_fingerprints, likeness, near_groups, sampled_steps, unwritten, with_next, written
 
 
 def walk(text):
@@ -68,3 +68,55 @@ def test_documents(spark, sf):
     assert len(one) == 1 and one[0].near_next == 1
     assert fingerprint_documents(frame.limit(0)).count() == 0
     assert np.mean([r[5] for r in got]) > np.mean([r[6] for r in got])
+
+
+def test_parts_of_skewed_ids(spark):
+    """Ids far apart, equal ids and null ids are split like others."""
+    words = [f"text number {i} " * 9 for i in range(4000)]
+    for ids in ([*range(1999), 10**15] * 2, [None] * 4000, [5] * 4000, [-(2**63), *range(3999)]):
+        frame = spark.createDataFrame(list(zip(ids, words, strict=True)), "doc_id long, text string")
+        parts = with_next(frame, 8000).filter("not halo").groupBy("part").count().collect()
+        assert sum(r["count"] for r in parts) == 4000 and len(parts) > 40 and max(r["count"] for r in parts) < 400, len(parts)
+
+
+def test_written_and_back():
+    texts = ["", "a", "ab" * 40, "".join(map(chr, range(97, 120))) * 90]
+    samples = embedded(texts)
+    back = unwritten(written(samples))
+    assert (back == samples[:, : back.shape[1]]).all() and (samples[:, back.shape[1] :] == NONE).all()
+
+
+def test_near_groups_against_all_pairs(spark, sf):
+    rng = random.Random(8)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    for t in texts[:120]:  # copies with a few edits each, from nearly equal to well under the limit
+        some = list(t)
+        for _ in range(rng.randrange(1, 6)):
+            some[rng.randrange(len(some))] = rng.choice("xyz")
+        texts.append("".join(some))
+    hub = "".join(rng.choices("abcdefghij ", k=3000))
+    texts += [hub[:i] + "q" + hub[i:] for i in range(0, 3000, 60)] + ["", None, "x", "x"]
+    prints = written(embedded([t or "" for t in texts]))
+    different = sorted(set(prints))
+    samples = unwritten(different)
+    pairs = {(i, j) for i in range(len(different)) for j in np.flatnonzero(likeness(samples[:i], np.broadcast_to(samples[i], (i, samples.shape[1]))) >= LEAST).tolist()} if len(different) > 1 else set()
+    group = list(range(len(different)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i, j in pairs:
+        group[find(i)] = find(j)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in grouped_fingerprints(frame).collect()}
+    assert len(got) == len(texts)
+    first = {p: min(i for i, x in enumerate(prints) if x == p) for p in different}
+    of = {p: got[first[p]] for p in different}
+    assert all(got[i] == of[p] for i, p in enumerate(prints))
+    found = sum(of[different[i]] == of[different[j]] for i, j in pairs)
+    assert len(pairs) > 100 and found / len(pairs) >= 0.97, (found, len(pairs))
+    for k in range(len(different)):  # nothing is joined that links don't join
+        assert find(different.index(prints[of[different[k]]])) == find(k)
+    assert near_groups(spark.createDataFrame([], "node long, fingerprint string")).count() == 0
