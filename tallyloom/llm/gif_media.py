@@ -160,13 +160,14 @@ class Gif:
     loops: int | None
 
 
-GREY = bytes(np.repeat(np.arange(256, dtype=np.uint8), 3))
+#: Colours of stored samples: three bits of red, three of green and two of blue, so that all 256 differ.
+COLOURS = bytes(x for i in range(256) for x in ((i >> 5) * 36, (i >> 2 & 7) * 36, (i & 3) * 85))
 
 
 def encode_payload(payload: bytes) -> bytes:
-    """8-bit samples as a GIF of frames of 64 samples a row, with a grey palette. The payload's length is a multiple of 64."""
+    """8-bit samples as a GIF of frames of 64 samples a row, each sample a colour of the palette. The payload's length is a multiple of 64."""
     rows = len(payload) // WIDTH
-    out = [b"GIF89a", struct.pack("<HHBBB", WIDTH, min(rows, ROWS), 0xF7, 0, 0), GREY, b"\x21\xff\x0bNETSCAPE2.0\x03\x01\0\0\0"]
+    out = [b"GIF89a", struct.pack("<HHBBB", WIDTH, min(rows, ROWS), 0xF7, 0, 0), COLOURS, b"\x21\xff\x0bNETSCAPE2.0\x03\x01\0\0\0"]
     for top in range(0, rows, ROWS):
         part = payload[top * WIDTH : (top + ROWS) * WIDTH]
         out += [b"\x21\xf9\x04", struct.pack("<BHBB", 1 << 2, DELAY, 0, 0), b"\x2c", struct.pack("<HHHHB", 0, 0, WIDTH, len(part) // WIDTH, 0), b"\x08"]
@@ -264,7 +265,11 @@ def histogram(image: np.ndarray, bins: int = BINS) -> np.ndarray:
 
 
 def with_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, media): each text's UTF-8 bytes, filled with 0 to a positive multiple of 64, as a GIF (null text: empty)."""
+    """(doc_id, n_bytes, media): each text's UTF-8 bytes, filled with 0 to a positive multiple of 64, as a GIF (null text: empty).
+
+    Equal texts have equal files. A very long text is one file of many frames; null ids and repeated rows are rows like
+    others; an empty table gives an empty result; further columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -300,22 +305,33 @@ def gif_frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """From (doc_id, n_bytes, media): payload_bytes, payload_sha256, tail_crc32 (of the last 64 bytes), media_bytes, media_sha256, feature.
+    """From (doc_id, n_bytes, media): payload_bytes, payload_sha256, tail_crc32 (of the last 64 bytes), media_bytes, media_sha256, feature, frames.
 
-    All are computed from the decoded file. feature has the number of frames, the time they take, and the grey
-    histogram of what the frames show, in hundredths of a percent.
+    All are computed from the decoded file. frames has, for each frame, start_ms, delay_ms and the counts of red, green
+    and blue in 8 bins each of what is shown; feature has the number of frames, the time they take and the bins' shares
+    over all frames in hundredths of a percent. Null media and files that are no GIF have nulls in all of these but
+    media_bytes and media_sha256; other rows' nulls stay; an empty table gives an empty result.
     """
 
-    def row(doc_id: int, n_bytes: int, data: bytes) -> tuple:
+    def row(doc_id: int | None, n_bytes: int | None, data: bytes | None) -> tuple:
+        stored = (len(data), hashlib.sha256(data).hexdigest()) if data is not None else (None, None)
         gif = decode_gif(data)
-        payload = b"".join(f.samples for f in gif.frames)
-        counts = sum((histogram(image)[1] for image in shown_frames(gif)), np.zeros(BINS, np.int64))
-        shares = (counts * 10000 // max(1, counts.sum())).tolist()
-        feature = f"frames={len(gif.frames)};ms={sum(f.delay_ms for f in gif.frames)};grey={','.join(map(str, shares))}"
-        return doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature
-
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        if gif is None:
+            return doc_id, n_bytes, None, None, None, *stored, None, None
+        payload, start, frames, counts = b"".join(f.samples for f in gif.frames), 0, [], np.zeros((3, BINS), np.int64)
+        for f, image in zip(gif.frames, shown_frames(gif), strict=True):
+            bins = histogram(image)
+            counts += bins
+            frames.append({"start_ms": start, "delay_ms": f.delay_ms, **{c: b.tolist() for c, b in zip(("red", "green", "blue"), bins, strict=True)}})
+            start += f.delay_ms
+        shares = counts * 10000 // np.maximum(1, counts.sum(1, keepdims=True))
+        feature = f"frames={len(gif.frames)};ms={start};" + ";".join(f"{c}={','.join(map(str, x.tolist()))}" for c, x in zip(("red", "green", "blue"), shares, strict=True))
+        return doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *stored, feature, frames
+
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames"]
+    bins = pa.list_(pa.int64())
+    frame = pa.struct([("start_ms", pa.int64()), ("delay_ms", pa.int32()), ("red", bins), ("green", bins), ("blue", bins)])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(frame)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -323,5 +339,6 @@ def read_back(media: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+    channels = "red:array<long>,green:array<long>,blue:array<long>"
+    schema = f"doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames array<struct<start_ms:long,delay_ms:int,{channels}>>"
+    return media.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n_bytes").cast("long").alias("n_bytes"), "media").mapInArrow(run, schema)

@@ -81,3 +81,22 @@ def test_columns(spark, sf):
     assert {r.doc_id for r in frames} == {d for d, _ in docs}
     assert all(np.sum(r.histogram) % 3 == 0 and len(r.histogram) == 24 for r in frames)
     assert read_back(with_gif(frame.limit(0))).count() == 0
+
+
+def test_read_back_of_other_media(spark):
+    rows = [(1, 3, None), (2, None, b"no GIF"), (None, 5, b""), (4, 0, b"GIF89a")]
+    got = {r.doc_id: r for r in read_back(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    assert len(got) == 4 and all(r.payload_bytes is None and r.feature is None and r.frames is None for r in got.values())
+    assert got[1].media_bytes is None and got[2].media_bytes == 6 and got[None].media_bytes == 0
+
+
+def test_frames_of_stored_texts(spark):
+    text = "abc" * 40_000
+    got = read_back(with_gif(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"))).collect()
+    r = next(x for x in got if x.doc_id == 1)
+    payload = text.encode() + bytes(-len(text) % 64)
+    assert len(r.frames) == 2 and [f.start_ms for f in r.frames] == [0, 100]
+    for i, f in enumerate(r.frames):
+        part = payload[65536 * i : 65536 * (i + 1)]
+        part += payload[len(part) : 65536]  # what a shorter frame leaves uncovered
+        assert f.red == [sum(1 for x in part if (x >> 5) * 36 // 32 == k) for k in range(8)] and f.blue == [sum(1 for x in part if (x & 3) * 85 // 32 == k) for k in range(8)]
