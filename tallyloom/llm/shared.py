@@ -21,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode one of our own where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -191,11 +193,21 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def in_blocks(docs: DataFrame, columns: list[str], block_bytes: int) -> tuple[DataFrame, int, int]:
     """docs with a column `block` of about block_bytes text bytes each, the number of blocks and of text bytes.
 
-    The block hangs on doc_id and text alone, so each pass over the table forms the same blocks.
+    The block hangs on doc_id and text alone, so each pass over the table forms the same blocks. Rows that share both
+    are counted first and then dealt out one by one, so that they aren't all in one block.
     """
     _, size = text_weight(docs)
     blocks = max(1, -(-size // block_bytes))
-    return docs.select(*columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")), blocks, size
+    key = F.xxhash64("doc_id", "text")
+    repeats = kept(docs.groupBy(key.alias("key")).count().filter("count > 1").select("key"), "repeats")
+    if repeats.isEmpty():
+        return docs.select(*columns, F.pmod(key, F.lit(blocks)).alias("block")), blocks, size
+    named, nth, n = spare(columns, "key"), spare(columns, "nth"), spare(columns, "n")
+    rows, repeats = docs.select(*columns, key.alias(named)), repeats.select(F.col("key").alias(named))
+    once = rows.join(repeats, named, "left_anti").withColumn(nth, F.lit(0))
+    more = rows.join(repeats, named, "left_semi").groupBy(*columns, named).agg(F.count(F.lit(1)).cast("int").alias(n))
+    more = more.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*columns, named, nth)
+    return once.unionByName(more).select(*columns, F.pmod(F.xxhash64(named, nth), F.lit(blocks)).alias("block")), blocks, size
 
 
 def sorted_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:

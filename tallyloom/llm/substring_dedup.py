@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Hasher, by_shard, in_blocks, inside, joined_words, kept, only, packed, sorted_in, steps, strings, unpacked, word_spans
+from .shared import Hasher, by_shard, in_blocks, inside, joined_words, kept, only, packed, sorted_in, spare, steps, strings, unpacked, word_spans
 
 LENGTH = 35
 BLOCK_BYTES = 8 << 20
@@ -132,11 +132,18 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, length: int
     Returns the columns of `carry` (doc_id by default), n_words, n_removed and kept_text: the other words, joined by one
     space. Words are runs without ASCII white space. All windows are judged on the input. Null and empty texts have no
     words; a row that is repeated counts as another document, so its windows are repeated; null doc_ids are rows like
-    others; an empty table gives an empty result. Columns outside `carry` are not read, except doc_id and text.
+    others; an empty table gives an empty result. Columns outside `carry` are not read, except doc_id and text; columns of
+    `carry` named n_words, n_removed or kept_text are replaced.
     """
     carry = carry or ["doc_id"]
+    taken = [c for c in carry if c in ("block", "n_words", "n_removed", "kept_text")]
+    if taken:
+        # under other names meanwhile; n_words, n_removed and kept_text of the result take the place of such columns
+        names = {c: spare([*docs.columns, *carry], c) for c in taken}
+        done = remove_repeats(docs.withColumnsRenamed(names), [names.get(c, c) for c in carry], length, block_bytes)
+        return done.drop(*(names[c] for c in taken if c != "block")).withColumnsRenamed({names[c]: c for c in taken if c == "block"})
     columns = list(dict.fromkeys(["doc_id", "text", *carry]))
-    blocked, blocks, size = in_blocks(docs, columns, block_bytes)
+    blocked, blocks, size = in_blocks(docs.select(*columns), columns, block_bytes)
     text = blocked.select("block", "text")
     shards = max(64, size // SHARD_BYTES)
     sent_schema = "block long, shard long, hashes binary, again binary"

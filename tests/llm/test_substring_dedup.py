@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+from tallyloom.llm.shared import in_blocks
 from tallyloom.llm.substring_dedup import remove_repeats, sliding
 
 SCHEMA = "doc_id long, text string, n_words long, block long"
@@ -54,3 +55,13 @@ def test_sliding():
     x = np.random.default_rng(1).integers(0, 99, 50).astype(np.uint64)
     for w in range(1, 30):
         assert (sliding(np.minimum, x, w) == [x[i : i + w].min() for i in range(51 - w)]).all()
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    frame = spark.createDataFrame([(i, f"{text} {i}", 7, 8, "b") for i in range(3)] + [(9, "same words " * 30, 1, 1, "b")] * 3000, "doc_id long, text string, n_words int, n_removed int, block string")
+    got = remove_repeats(frame, ["doc_id", "block", "n_words", "n_removed"], block_bytes=20_000)
+    assert got.columns == ["doc_id", "block", "n_words", "n_removed", "kept_text"] and {r.block for r in got.collect()} == {"b"}
+    assert sorted({(r.doc_id, r.n_words, r.n_removed) for r in got.collect()}) == [(0, 51, 50), (1, 51, 50), (2, 51, 50), (9, 60, 60)] and got.count() == 3003
+    blocked, blocks, _ = in_blocks(frame, ["doc_id", "text"], 20_000)
+    assert blocks > 40 and max(r["count"] for r in blocked.groupBy("block").count().collect()) < 400
