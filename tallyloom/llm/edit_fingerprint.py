@@ -31,9 +31,11 @@ from .shared import kept, mixed, only
 SAMPLES = 32
 FIRST = 6  # steps before 2**FIRST are one octave
 #: Octaves whose bands are keys, bands of each and samples of a band; likeness from which texts are near.
-LAST, BANDS, PICKED, LEAST = 3, 8, 6, 0.8
+LAST, BANDS, PICKED, LEAST = 2, 12, 10, 0.8
 #: Rows of open bands in a shard, about.
-SHARD_ROWS = 40_000
+SHARD_ROWS = 20_000
+#: Rows of a band up to which its pairs are looked at together with other bands'.
+FEW_ROWS = 100
 MULTIPLIER = 0x9E3779B1
 PERIOD = 1 << 16
 NONE = 255
@@ -46,6 +48,7 @@ _BITS = BITS.tolist()
 HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 FROM_HEX = np.full(256, NONE, np.uint8)
 FROM_HEX[HEX] = np.arange(16)
+MANY = np.uint64(0x9E3779B97F4A7C15)
 PICKS = np.stack([_rng.choice(SAMPLES, PICKED, replace=False) for _ in range(BANDS)])
 
 
@@ -122,11 +125,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the bands of each row's last octaves. Samples behind the walk's end are a value like others."""
+    """(row, key) of the bands of each row's last whole octaves, or of the first one; there a missing sample is a value like others."""
     n, width = samples.shape
     padded = np.full((n, -(-max(1, width) // SAMPLES) * SAMPLES), NONE, np.uint8)
     padded[:, :width] = samples
-    top = np.maximum((samples != NONE).sum(1) - 1, 0) // SAMPLES
+    top = np.maximum((samples != NONE).sum(1) // SAMPLES - 1, 0)
     rows, keys = [], []
     for back in range(LAST):
         row = np.flatnonzero(top >= back)
@@ -134,7 +137,7 @@ def band_keys(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for band, pick in enumerate(PICKS):
             value = np.zeros(len(row), np.uint64)
             for i in pick:
-                value = (value << np.uint64(8)) | padded[row, octave * SAMPLES + i]
+                value = value * MANY + padded[row, octave * SAMPLES + i]
             rows.append(row)
             keys.append(mixed(value ^ mixed((octave * BANDS + band + 1).astype(np.uint64))))
     return np.concatenate(rows), np.concatenate(keys)
@@ -198,15 +201,28 @@ def near_groups(prints: DataFrame, least: float = LEAST) -> DataFrame:
         top = np.arange(len(names))
         links = []
         heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        for first, end in zip(heads.tolist(), np.append(heads[1:], len(key)).tolist(), strict=True):
-            for i in range(first + 1, end):
-                while True:
-                    j = first + np.flatnonzero(top[root[first:i]] != top[root[i]])
-                    j = j[likeness(samples[j], np.broadcast_to(samples[i], (len(j), samples.shape[1]))) >= least] if len(j) else j
-                    if not len(j):
-                        break
-                    links.append((int(node[i]), int(node[j[0]])))
-                    top[top == top[root[j[0]]]] = top[root[i]]
+        sizes = np.diff(np.append(heads, len(key)))
+        few = np.repeat(sizes <= FEW_ROWS, sizes)
+
+        def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            cuts = range(0, len(i), 4096)
+            return np.concatenate([np.zeros(0, bool), *(likeness(samples[i[c : c + 4096]], samples[j[c : c + 4096]]) >= least for c in cuts)])
+
+        def join(i: int, j: int) -> None:
+            if top[root[i]] != top[root[j]]:
+                links.append((int(node[i]), int(node[j])))
+                top[top == top[root[j]]] = top[root[i]]
+
+        for apart in range(1, int(sizes[sizes <= FEW_ROWS].max(initial=1))):  # small bands: all pairs at once
+            i = np.flatnonzero((key[apart:] == key[:-apart]) & few[apart:] & (top[root[apart:]] != top[root[:-apart]]))
+            i = i[near(i, i + apart)]
+            for x in i.tolist():
+                join(x, x + apart)
+        for first, size in zip(heads[sizes > FEW_ROWS].tolist(), sizes[sizes > FEW_ROWS].tolist(), strict=True):
+            for i in range(first + 1, first + size):
+                j = first + np.flatnonzero(top[root[first:i]] != top[root[i]])
+                for x in j[near(np.full(len(j), i), j)].tolist():
+                    join(i, x)
         columns = list(zip(*links, strict=True)) or [[], []]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
