@@ -1,5 +1,4 @@
 import sys
-import zlib
 
 from test_near_copies import brute as near
 from test_pattern_packing import check_pack
@@ -30,7 +29,6 @@ def test_stages_against_brute_force(spark, sf):
 
     pieces = p.packing(spark, kept, sf).collect()
     check_pack(pieces, [(r.doc_id, r.text) for r in kept.collect()])
-    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in pieces)
 
 
 def test_rows_of_one_id_are_judged_by_themselves(spark, sf):
