@@ -36,7 +36,7 @@ EQUAL_BITS = 0.8486
 #: Differing bits of 256 up to which a pair is verified.
 LIMIT = 54
 #: Bytes of entries in a shard, and of shingles that a cell holds of each side, about.
-SHARD_BYTES, CELL_BYTES = 16 << 20, 32 << 20
+SHARD_BYTES, CELL_BYTES = 8 << 20, 16 << 20
 WORDS = Hasher(515)
 SEEDS = np.random.Generator(np.random.PCG64(82)).integers(1, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -168,6 +168,7 @@ def drawn_pairs(shards: DataFrame, side: int) -> DataFrame:
     """Pairs, in cells, of each text and the one drawn for its (table, value); `near` has the nodes with any pair within the limit."""
 
     def run(part: pa.Table) -> pa.Table:
+        only()
         key, node, _, fp = entries(part)
         near = np.zeros(len(key), bool)
         for x, y in GrayIndex(key, fp, LIMIT).pairs():
@@ -189,6 +190,7 @@ def open_pairs(shards: DataFrame, side: int) -> DataFrame:
     """Pairs, in cells, of texts of different groups within the limit."""
 
     def run(part: pa.Table) -> pa.Table:
+        only()
         key, node, group, fp = entries(part)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for x, y in GrayIndex(key, fp, LIMIT).pairs():
@@ -221,6 +223,7 @@ def verified(pairs: DataFrame, sets: DataFrame, groups: DataFrame | None) -> Dat
     needed = needed.withColumn("group", F.col("node")) if groups is None else needed.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
     def run(part: pa.Table, here: pa.Table) -> pa.Table:
+        only()
         a, b = unpacked(part.column("a"), np.int64), unpacked(part.column("b"), np.int64)
         a, b = np.unique(np.stack([a, b]), axis=1)
         node = here.column("node").to_numpy()

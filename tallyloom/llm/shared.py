@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -83,10 +84,17 @@ HELD: dict[str, Callable[[], None]] = {}
 
 
 def only(name: str = "") -> None:
-    """Called at a task's start: lets go of what other operators' tasks have left in this worker."""
+    """Called at a task's start: lets go of what other operators' tasks have left in this worker, and gives free memory back."""
     for other, clear in HELD.items():
         if other != name:
             clear()
+    pa.default_memory_pool().release_unused()
+    if TRIM is not None:
+        TRIM(0)
+
+
+#: The C library's call that returns free memory to the system, where there is one.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 LOWER = np.arange(256, dtype=np.uint8)

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWER, Hasher, by_shard, in_blocks, kept, mixed, packed, sorted_in, steps, strings, unpacked, word_spans
+from .shared import LOWER, Hasher, by_shard, in_blocks, kept, mixed, only, packed, sorted_in, steps, strings, unpacked, word_spans
 
 DEPTH = 2
 #: Share of all training tokens that a context has at least.
@@ -39,6 +39,7 @@ class Tokens:
     """Word hashes of a block's documents, each document closed by END."""
 
     def __init__(self, texts: pa.Array):
+        only()
         parts, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for _, _, data, offsets in steps(texts):
             data = LOWER[data]
