@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step handles; a longer document is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
+
+
+#: Row groups of kept tables: what a task that writes one holds in memory.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +47,7 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     finally:
         spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
