@@ -156,7 +156,7 @@ def in_cells(a: np.ndarray, b: np.ndarray, side: int) -> pa.Table:
     cell = part_of(pairs[0], side) * side + part_of(pairs[1], side)
     order = np.argsort(cell, kind="stable")
     numbers, first = np.unique(cell[order], return_index=True)
-    cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True))
+    cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(order)][: len(first)], strict=True))
     return pa.table([pa.array(numbers, pa.int64()), *(pa.array([packed(x[order[i:j]]) for i, j in cuts], pa.binary()) for x in pairs)], names=["cell", "a", "b"])
 
 

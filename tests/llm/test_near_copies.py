@@ -98,5 +98,10 @@ def test_candidates_are_complete():
     assert len(table_masks(1 << 26)) > len(table_masks(1500))
 
 
+def test_nothing_alike(spark):
+    rows = [(1, "one text"), (2, "quite another one"), (3, None)]
+    assert len(stays(spark, rows)) == 3
+
+
 def test_empty(spark):
     assert p.near_duplicates(spark, spark.createDataFrame([], SCHEMA), "").count() == 0
