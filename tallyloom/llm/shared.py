@@ -53,6 +53,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(df: DataFrame) -> None:
+    """Deletes a kept table that no later job reads, so that the shared folder holds only what is still of use."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def spare(taken: list[str], name: str) -> str:
     """A column name like `name` that none of the taken ones clashes with."""
     low = {c.lower() for c in taken}

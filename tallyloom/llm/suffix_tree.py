@@ -1,39 +1,51 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The root holds add-one word probabilities. Deeper nodes are contexts, one or more preceding words, that are frequent
-enough (a share of all training tokens, so there are at most 1 / share of them at each depth). A context stays in the
-tree if its next-word distribution diverges from that of its longest shorter context by more than a threshold, measured
-with each occurrence left out of its own estimate. Distributions are smoothed with the shorter context's. A text is
-scored from the longest context of the tree at each word.
-
-Counts are exact and cover all training documents. Documents form blocks; a block sends each of its words and pairs once,
-with its count, to the shard of the word's hash, and gets back the corpus counts of just these. So what a task holds
-grows with its block or shard, not with the corpus, and a frequent word costs one entry for each block.
+The root holds add-one word probabilities. Deeper nodes are contexts, one or more preceding words, that occur at least
+LEAST times in the training documents, so the tree grows with the corpus. A context stays in the tree if its next-word
+distribution diverges from that of its longest shorter context by more than a threshold, measured with each occurrence
+left out of its own estimate. Distributions are smoothed with the shorter context's. A text is scored from the longest
+context of the tree at each word.
+
+Counts are exact and cover all training documents. The tree is built level by level and never gathered: documents form
+blocks; a block sends each of its different (context, word) pairs once, with count and the shorter context's probability,
+to the context's shard, which sums them, decides on its contexts and answers with the corpus counts. A pair's count is
+the number of occurrences of the context that is one word longer, so a block knows which contexts to ask for at the next
+level. A context with over SPLIT occurrences is dealt over several shards by its next words, and its divergence summed
+over these. So what a task holds grows with its block or shard, not with the corpus, and nothing of the tree is on the
+driver.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWER, Hasher, by_shard, in_blocks, kept, mixed, only, packed, sorted_in, steps, strings, unpacked, word_spans
+from .shared import LOWER, Hasher, in_blocks, kept, let_go, mixed, only, packed, steps, strings, unpacked, word_spans
 
-DEPTH = 2
-#: Share of all training tokens that a context has at least.
-LEAST_SHARE = 2e-4
+#: Longest contexts, in words.
+DEPTH = 3
+#: Occurrences that a context has at least.
+LEAST = 50
 #: Weight of the shorter context's distribution, in occurrences.
 PRIOR = 100.0
 #: Divergence, in log10 units for each occurrence, from which a context stays.
 DIVERGENCE = 0.01
+#: Occurrences of a context for each of its shards.
+SPLIT = 1 << 17
 BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 2 << 20
 WORDS = Hasher(404)
 END = np.uint64(0x1F3D5B79A2C4E687)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
+SENT = "block long, shard long, keys binary, counts binary, contexts binary, runs binary, totals binary, priors binary, train long"
+ANSWERS = "block long, shard long, level int, counts binary, new long"
+
 
 class Tokens:
     """Word hashes of a block's documents, each document closed by END."""
@@ -53,206 +65,214 @@ class Tokens:
         self.first = np.cumsum(self.sizes) - self.sizes
         self.place = np.arange(len(self.token)) - np.repeat(self.first, self.sizes)
 
-    def contexts(self, depth: int) -> np.ndarray:
-        """Hash of the `depth` tokens before each token (0 where there are fewer)."""
-        out = np.zeros(len(self.token), np.uint64)
-        if depth and len(out) > depth:
-            h = np.zeros(len(out) - depth, np.uint64)
-            for k in range(depth, 0, -1):
-                h = context_step(h, self.token[depth - k : len(out) - k])
-            out[depth:] = np.where(self.place[depth:] >= depth, h, np.uint64(0))
-        return out
-
-
-def context_step(longer: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Hash of a context with one more token at its end."""
-    return mixed(longer * STEP + token)
-
-
-def summed(context: np.ndarray, token: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of n for each different (context, token), sorted by token and context."""
-    order = np.lexsort((context, token))
-    context, token, n = context[order], token[order], n[order]
-    new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (context[1:] != context[:-1])
-    heads = np.flatnonzero(new)
-    return context[heads], token[heads], np.add.reduceat(n, heads) if len(heads) else n[:0]
-
-
-class Node:
-    """Contexts of one depth that stay in the tree, sorted by hash, with their occurrences."""
-
-    def __init__(self, hashes: np.ndarray, n: np.ndarray):
-        order = np.argsort(hashes)
-        self.hashes, self.n = hashes[order], n[order]
-
-    def of(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether contexts are among them, and the occurrences (0 if not)."""
-        there = sorted_in(contexts, self.hashes)
-        n = np.zeros(len(contexts))
-        if len(self.hashes):
-            n[there] = self.n[np.searchsorted(self.hashes, contexts[there])]
-        return there, n
-
-
-def score_documents(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, prior: float = PRIOR, divergence: float = DIVERGENCE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    def contexts(self, depth: int, at: np.ndarray) -> np.ndarray:
+        """Hash of the `depth` tokens before each of the given places."""
+        h = np.zeros(len(at), np.uint64)
+        for k in range(depth, 0, -1):
+            h = mixed(h * STEP + self.token[at - k])
+        return h
+
+
+@dataclass(frozen=True)
+class Rules:
+    shards: int
+    least: int
+    prior: float
+    divergence: float
+    split: int
+    n_train: int = 0
+    n_words: int = 0
+
+
+class Asked:
+    """The different (context, token) pairs at the given places of a block, ordered by shard and context."""
+
+    def __init__(self, t: Tokens, level: int, at: np.ndarray, total: np.ndarray, rules: Rules):
+        context, token = t.contexts(level, at), t.token[at]
+        key = mixed(context * STEP + token) if level else token
+        self.key, one, inverse = np.unique(key, return_index=True, return_inverse=True)
+        self.context, self.total, self.one = context[one], total[one], at[one]
+        shards = np.uint64(rules.shards)
+        if level:
+            parts = (self.total // rules.split + 1).astype(np.uint64)
+            self.shard = (mixed(self.context) % shards + mixed(self.key) % parts) % shards
+            self.shard[parts > 1] += shards  # contexts dealt over several have shards of their own
+            order = np.argsort((self.shard << np.uint64(36)) | (self.context >> np.uint64(28)), kind="stable")
+        else:
+            self.shard = self.key % shards
+            order = np.argsort(self.shard, kind="stable")
+        self.key, self.context, self.total, self.one, self.shard = (x[order] for x in (self.key, self.context, self.total, self.one, self.shard))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.inverse = rank[inverse]
+
+
+class Walk:
+    """A block's tokens, level by level: probability of each token, and occurrences of the next longer context before it."""
+
+    def __init__(self, part: pa.Table, rules: Rules):
+        self.t, self.rules = Tokens(strings(part.column("text"))), rules
+        self.train = np.repeat(~part.column("held").to_numpy(zero_copy_only=False), self.t.sizes)
+        n = len(self.t.token)
+        self.p, self.deep, self.level = np.zeros(n), np.zeros(n, bool), 0
+        self.at, self.total = np.arange(n), np.zeros(n, np.int64)
+
+    def ask(self) -> Asked:
+        return Asked(self.t, self.level, self.at, self.total, self.rules)
+
+    def take(self, answers: pa.Table) -> None:
+        """Goes one level on with the shards' answers to what was asked."""
+        here = answers.filter(pc.equal(answers.column("level"), self.level)).sort_by("shard")
+        said = unpacked(here.column("counts"), np.int64)[self.ask().inverse]
+        if self.level:
+            c, stays = said >> 1, (said & 1).astype(bool)
+            at, total = self.at[stays], self.total[stays]
+            self.p[at] = (c[stays] + self.rules.prior * self.p[at]) / (total + self.rules.prior)
+            self.deep[at] = True
+        else:
+            c = said
+            self.p = (c + 1) / (self.rules.n_train + self.rules.n_words + 1)
+            self.base, self.known = self.p.copy(), c > 0
+        self.level += 1
+        # a counted pair is the context, one word longer, of the token behind it
+        behind = np.minimum(self.at + 1, max(0, len(self.t.place) - 1))
+        use = (c >= self.rules.least) & (self.t.place[behind] >= self.level) & (behind > self.at)
+        self.at, self.total = behind[use], c[use]
+
+
+def told(walk: Walk, block: int) -> pa.Table:
+    """What a block sends at its level: one row for each shard."""
+    asked, level = walk.ask(), walk.level
+    count = np.bincount(asked.inverse, walk.train[walk.at], len(asked.key)).astype(np.int64)
+    prior = walk.p[asked.one]
+    numbers, first = np.unique(asked.shard, return_index=True)
+    cuts, rows = np.append(first, len(asked.key)), []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        new = np.ones(b - a, bool)
+        new[1:] = asked.context[a + 1 : b] != asked.context[a : b - 1]
+        heads = np.flatnonzero(new)
+        runs = np.diff(np.append(heads, b - a)).astype(np.uint32)
+        rows.append((packed(asked.key[a:b]), packed(count[a:b]), *((packed(asked.context[a:b][heads]), packed(runs), packed(asked.total[a:b][heads]), packed(prior[a:b])) if level else (b"",) * 4), int(count[a:b].sum())))
+    columns = list(zip(*rows, strict=True)) or [()] * 7
+    kinds = [pa.binary()] * 6 + [pa.int64()]
+    names = [c.split()[0] for c in SENT.split(", ")]
+    return pa.table([pa.array([block] * len(rows), pa.int64()), pa.array(numbers.astype(np.int64)), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)
+
+
+class Shard:
+    """The pairs that blocks have sent to one shard, summed."""
+
+    def __init__(self, part: pa.Table, level: int, rules: Rules):
+        self.sizes = [len(x) // 8 for x in part.column("keys").to_pylist()]
+        _, one, self.inverse = np.unique(unpacked(part.column("keys")), return_index=True, return_inverse=True)
+        self.c = np.zeros(len(one), np.int64)
+        np.add.at(self.c, self.inverse, unpacked(part.column("counts"), np.int64))
+        if not level:
+            return
+        runs = unpacked(part.column("runs"), np.uint32)
+        context = np.repeat(unpacked(part.column("contexts")), runs)[one]
+        total, p = np.repeat(unpacked(part.column("totals"), np.int64), runs)[one], unpacked(part.column("priors"), np.float64)[one]
+        left_out = (self.c - 1 + rules.prior * p) / (total - 1 + rules.prior)
+        gain = np.zeros(len(p))
+        seen = self.c > 0
+        gain[seen] = self.c[seen] * np.log10(left_out[seen] / p[seen])
+        self.contexts, first, self.node = np.unique(context, return_index=True, return_inverse=True)
+        self.totals, self.gains = total[first], np.bincount(self.node, gain, len(self.contexts))
+
+    def answers(self, part: pa.Table, level: int, said: np.ndarray) -> pa.Table:
+        cuts = np.append(0, np.cumsum(self.sizes))
+        said = said[self.inverse]
+        counts = [packed(said[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        new = [0 if level else int((self.c > 0).sum())] + [0] * (len(counts) - 1)
+        return pa.table([part.column("block"), part.column("shard"), pa.array([level] * len(counts), pa.int32()), pa.array(counts, pa.binary()), pa.array(new, pa.int64())], names=["block", "shard", "level", "counts", "new"])
+
+
+def score_documents(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, prior: float = PRIOR, divergence: float = DIVERGENCE, block_bytes: int = BLOCK_BYTES, split: int = SPLIT) -> DataFrame:
     """One row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_deep.
 
     The model learns from documents whose crc32(doc_id as text) modulo 7 is not 2 (null ids: learned from). Null text
     counts as empty, which is the end token alone. n_deep counts tokens scored from a context, not from the root.
-    Repeated rows are documents like others; without training documents all probabilities are those of an unknown word;
-    an empty table gives an empty result; further columns are not read.
+    Repeated rows are documents like others; a very long text is one block's, as it is; without training documents all
+    probabilities are those of an unknown word; an empty table gives an empty result; further columns are not read.
     """
-    spark = docs.sparkSession
-    rows, blocks, size = in_blocks(docs, ["doc_id", "text"], block_bytes)
+    rows, _, size = in_blocks(docs, ["doc_id", "text"], block_bytes)
     rows = rows.withColumn("held", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)))
     text = rows.select("block", "text", "held")
-    shards = max(64, size // SHARD_BYTES)
-    sent_schema = "block long, shard long, contexts binary, tokens binary, counts binary, total long"
+    rules = Rules(max(64, size // SHARD_BYTES), least, prior, divergence, split)
+
+    def walked(part: pa.Table, back: pa.Table, levels: int, rules: Rules) -> Walk:
+        walk = Walk(part, rules)
+        for _ in range(levels):
+            walk.take(back)
+        return walk
+
+    def sender(level: int, rules: Rules):
+        if not level:
+            return lambda part: told(Walk(part, rules), part.column("block")[0].as_py())
+        return lambda part, back: told(walked(part, back, level, rules), part.column("block")[0].as_py())
+
+    def counter(level: int, rules: Rules):
+        """Answers of a shard; of contexts dealt over several shards, those that stay come from `staying`."""
+
+        def run(part: pa.Table, staying: pa.Table) -> pa.Table:
+            only()
+            if not len(part):
+                return pa.table([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())], names=["block", "shard", "level", "counts", "new"])
+            shard = Shard(part, level, rules)
+            said = shard.c
+            if level:
+                if part.column("shard")[0].as_py() < rules.shards:
+                    stays = shard.gains > rules.divergence * shard.totals
+                else:
+                    stays = np.isin(shard.contexts, staying.column("context").to_numpy().astype(np.int64).view(np.uint64))
+                stays = stays[shard.node]
+                said = np.where(stays | (shard.c >= rules.least), shard.c * 2 + stays, 0)
+            return shard.answers(part, level, said)
 
-    def sender(level: int, frequent: np.ndarray | None):
+        return run
+
+    def gains(level: int, rules: Rules):
         def run(part: pa.Table) -> pa.Table:
-            t = Tokens(strings(part.column("text")))
-            train = np.repeat(~part.column("held").to_numpy(zero_copy_only=False), t.sizes).astype(np.int64)
-            context, token = t.contexts(level), t.token
-            if level:
-                use = sorted_in(context, frequent)
-                context, token, train = context[use], token[use], train[use]
-            context, token, train = summed(context, token, train)
-            order, numbers, first = by_shard(token, shards)
-            context, token, train = context[order], token[order], train[order]
-            cuts = list(zip(first[:-1], first[1:], strict=True))
-            columns = [pa.array([packed(x[a:b]) for a, b in cuts], pa.binary()) for x in (context if level else context[:0], token, train.astype(np.uint32))]
-            return pa.table([pa.array([part.column("block")[0].as_py()] * len(cuts), pa.int64()), pa.array(numbers, pa.int64()), *columns, pa.array([int(train[a:b].sum()) for a, b in cuts], pa.int64())], names=["block", "shard", "contexts", "tokens", "counts", "total"])
+            only()
+            shard = Shard(part, level, rules)
+            n = len(shard.contexts)
+            return pa.table([pa.array([part.column("shard")[0].as_py()] * n, pa.int64()), pa.array(shard.contexts.view(np.int64)), pa.array(shard.totals), pa.array(shard.gains)], names=["shard", "context", "total", "gain"])
 
         return run
 
-    def sent(level: int, frequent: np.ndarray | None = None) -> DataFrame:
-        return kept(text.groupBy("block").applyInArrow(sender(level, frequent), sent_schema).withColumn("level", F.lit(level)), f"suffix-{level}")
-
-    def columns_of(part: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        here = part.filter(pc.equal(part.column("level"), level))
-        token = unpacked(here.column("tokens"))
-        context = unpacked(here.column("contexts")) if level else np.zeros(len(token), np.uint64)
-        return context, token, unpacked(here.column("counts"), np.uint32).astype(np.int64)
-
-    counts = [sent(0)]
-    n_train = int(counts[0].agg(F.sum("total")).first()[0] or 0)
-    least = max(2, int(np.ceil(least_share * n_train)))
-
-    def vocabulary(part: pa.Table) -> pa.Table:
-        _, token, n = summed(*columns_of(part, 0))
-        often = n >= least
-        return pa.table([pa.array([int((n > 0).sum())], pa.int64()), pa.array([packed(context_step(np.zeros(1, np.uint64), token[often]))], pa.binary()), pa.array([packed(n[often])], pa.binary())], names=["distinct", "contexts", "counts"])
-
-    said = kept(counts[0].groupBy("shard").applyInArrow(vocabulary, "distinct long, contexts binary, counts binary"), "suffix-words").collect()  # at most 1 / least_share contexts
-    n_words = sum(r["distinct"] for r in said)
-    candidates = Node(np.frombuffer(b"".join(r["contexts"] for r in said), np.uint64), np.frombuffer(b"".join(r["counts"] for r in said), np.int64))
-    tree: list[Node] = []
-    suffixes: tuple = (None,)
-
-    def root(token: np.ndarray, words: np.ndarray, n: np.ndarray) -> np.ndarray:
-        c = np.zeros(len(token))
-        if len(words):
-            there = sorted_in(token, words)
-            c[there] = n[np.searchsorted(words, token[there])]
-        return c
-
-    def refined(p: np.ndarray, context: np.ndarray, token: np.ndarray, node: Node, entries: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-        """p, or where a context is in the tree, its own estimate smoothed with p."""
-        there, n = node.of(context)
-        c = found_pairs(context, token, entries)
-        return np.where(there, (c + prior * p) / (n + prior), p)
-
-    def gains_at(level: int, candidates: Node, known: tuple[Node, ...], suffixes: tuple):
-        def gains(part: pa.Table) -> pa.Table:
-            _, words, n = summed(*columns_of(part, 0))
-            context, token, c = summed(*columns_of(part, level))
-            here = c > 0
-            context, token, c = context[here], token[here], c[here]
-            p = (root(token, words, n) + 1) / (n_train + n_words + 1)
-            for k, node in enumerate(known, 1):
-                p = refined(p, suffixes[k][np.searchsorted(candidates.hashes, context)], token, node, summed(*columns_of(part, k)))
-            _, total = candidates.of(context)
-            left_out = (c - 1 + prior * p) / (total - 1 + prior)
-            gain = c * np.log10(left_out / p)
-            names, inverse = np.unique(context, return_inverse=True)
-            deep = (c >= least) & (token != END)
-            at = np.searchsorted(candidates.hashes, context[deep])
-            # of each longer context: its suffixes, from the last word to all but the first
-            short = [context_step(np.zeros(1, np.uint64) if k == 0 else suffixes[k][at], token[deep]) for k in range(level)]
-            return pa.table([pa.array([packed(x)], pa.binary()) for x in (names, np.bincount(inverse, gain, len(names)), context_step(context[deep], token[deep]), c[deep], np.stack(short, 1))], names=["contexts", "gains", "longer", "counts", "suffixes"])
-
-        return gains
-
-    for level in range(1, depth + 1):
-        if not len(candidates.hashes):
+    back, level = None, 0
+    while level <= depth:
+        if level:
+            sent = text.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(sender(level, rules), SENT)
+        else:
+            sent = text.groupBy("block").applyInArrow(sender(level, rules), SENT)
+        sent = kept(sent, f"suffix-{level}")
+        if sent.isEmpty():
+            let_go(sent)
             break
-        counts.append(sent(level, candidates.hashes))
-        source = counts[0]
-        for c in counts[1:]:
-            source = source.unionByName(c)
-        said = kept(source.groupBy("shard").applyInArrow(gains_at(level, candidates, tuple(tree), suffixes), "contexts binary, gains binary, longer binary, counts binary, suffixes binary"), "suffix-gains").collect()  # at most 1 / least_share contexts for each shard
-        names, inverse = np.unique(np.frombuffer(b"".join(r["contexts"] for r in said), np.uint64), return_inverse=True)
-        gain = np.bincount(inverse, np.frombuffer(b"".join(r["gains"] for r in said), np.float64), len(names))
-        _, total = candidates.of(names)
-        stay = gain > divergence * total
-        tree.append(Node(names[stay], total[stay]))
-        longer = np.frombuffer(b"".join(r["longer"] for r in said), np.uint64)
-        short = np.frombuffer(b"".join(r["suffixes"] for r in said), np.uint64).reshape(-1, level)[np.argsort(longer)]
-        suffixes = (None, *short.T)
-        candidates = Node(longer, np.frombuffer(b"".join(r["counts"] for r in said), np.int64))
-
-    stays = spark.sparkContext.broadcast(tree)
-
-    def answers(part: pa.Table) -> pa.Table:
-        """Corpus counts of what each block has sent, where they are of use."""
-        out = []
-        for level in range(len(stays.value) + 1):
-            total = summed(*columns_of(part, level))
-            here = part.filter(pc.equal(part.column("level"), level))
-            for block, tokens, contexts in zip(here.column("block").to_pylist(), here.column("tokens").to_pylist(), here.column("contexts").to_pylist(), strict=True):
-                token = np.frombuffer(tokens, np.uint64)
-                context = np.frombuffer(contexts, np.uint64) if level else np.zeros(len(token), np.uint64)
-                if level:
-                    use = stays.value[level - 1].of(context)[0]
-                    context, token = context[use], token[use]
-                n = found_pairs(context, token, total)
-                context, token, n = context[n > 0], token[n > 0], n[n > 0]
-                if len(n):
-                    out.append((block, level, packed(context) if level else b"", packed(token), packed(n.astype(np.uint32))))
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["block", "level", "contexts", "tokens", "counts"])
-
-    source = counts[0]
-    for c in counts[1 : len(tree) + 1]:
-        source = source.unionByName(c)
-    back = kept(source.groupBy("shard").applyInArrow(answers, "block long, level int, contexts binary, tokens binary, counts binary"), "suffix-answers")
+        parts = kept(sent.filter(F.col("shard") >= rules.shards).groupBy("shard").applyInArrow(gains(level, rules), "shard long, context long, total long, gain double"), "suffix-gains") if level else None
+        if level:
+            stay = parts.groupBy("context").agg(F.sum("gain").alias("gain"), F.max("total").alias("total")).filter(F.col("gain") > divergence * F.col("total"))
+            staying = parts.join(stay.select("context"), "context", "left_semi").select("shard", "context")
+        else:
+            staying = sent.sparkSession.createDataFrame([], "shard long, context long")
+        answers = kept(sent.groupBy("shard").cogroup(staying.groupBy("shard")).applyInArrow(counter(level, rules), ANSWERS), "suffix-answers")
+        if not level:
+            rules = Rules(rules.shards, least, prior, divergence, split, int(sent.agg(F.sum("train")).first()[0] or 0), int(answers.agg(F.sum("new")).first()[0] or 0))
+        else:
+            let_go(parts)
+        let_go(sent)
+        back = answers if back is None else back.unionByName(answers)
+        level += 1
+    levels = level
 
     def score(part: pa.Table, back: pa.Table) -> pa.Table:
-        t = Tokens(strings(part.column("text")))
-        _, words, n = summed(*columns_of(back, 0))
-        c = root(t.token, words, n)
-        p = (c + 1) / (n_train + n_words + 1)
-        base, deep = np.log10(p), np.zeros(len(p), bool)
-        for level, node in enumerate(stays.value, 1):
-            context = t.contexts(level)
-            deep |= node.of(context)[0]
-            p = refined(p, context, t.token, node, summed(*columns_of(back, level)))
+        walk = walked(part, back, levels, rules)
+        t = walk.t
         add = lambda x, kind: pa.array(np.add.reduceat(x, t.first) if len(t.first) else x, kind)
-        return pa.table([part.column("doc_id").cast(pa.int64()), part.column("held"), pa.array(t.sizes, pa.int64()), add((c > 0).astype(np.int64), pa.int64()), pa.array([n_train] * len(t.sizes), pa.int64()), add(base, pa.float64()), add(np.log10(p), pa.float64()), add(deep.astype(np.int64), pa.int64())], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_deep"])
+        return pa.table([part.column("doc_id").cast(pa.int64()), part.column("held"), pa.array(t.sizes, pa.int64()), add(walk.known.astype(np.int64), pa.int64()), pa.array([rules.n_train] * len(t.sizes), pa.int64()), add(np.log10(walk.base), pa.float64()), add(np.log10(walk.p), pa.float64()), add(walk.deep.astype(np.int64), pa.int64())], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_deep"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_deep long"
+    if back is None:
+        return docs.sparkSession.createDataFrame([], schema)
     return rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, schema)
-
-
-def found_pairs(context: np.ndarray, token: np.ndarray, entries: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """Counts of (context, token) pairs in entries that are sorted by token and context (0 where there is none)."""
-    contexts, tokens, n = entries
-    key, keys = mixed(context * STEP + token), mixed(contexts * STEP + tokens)
-    order = np.argsort(keys)
-    keys = keys[order]
-    out = np.zeros(len(key))
-    there = sorted_in(key, keys)
-    out[there] = n[order][np.searchsorted(keys, key[there])]
-    return out

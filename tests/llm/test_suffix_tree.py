@@ -14,7 +14,7 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", low), None]
 
 
-def brute(rows, depth, share, prior, divergence):
+def brute(rows, depth, least, prior, divergence):
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows]
     all_tokens = [tokens(t) for _, t in rows]
     counts = [defaultdict(Counter) for _ in range(depth + 1)]
@@ -24,7 +24,7 @@ def brute(rows, depth, share, prior, divergence):
                 counts[k][tuple(t[i - k : i])][w] += 1
     c0 = counts[0][()]
     n, v = sum(c0.values()), len(c0)
-    least, tree = max(2, math.ceil(share * n)), {}
+    tree = {}
 
     def p(context, w):
         if not context:
@@ -51,10 +51,10 @@ def brute(rows, depth, share, prior, divergence):
     return out, tree
 
 
-def same(spark, rows, depth=2, least_share=2e-4, prior=100.0, divergence=0.01, **more):
+def same(spark, rows, depth=3, least=50, prior=100.0, divergence=0.01, **more):
     frame = spark.createDataFrame([(d, t, 1, True) for d, t in rows], SCHEMA)
-    got = score_documents(frame, depth, least_share, prior, divergence, **more).collect()
-    want, tree = brute(rows, depth, least_share, prior, divergence)
+    got = score_documents(frame, depth, least, prior, divergence, **more).collect()
+    want, tree = brute(rows, depth, least, prior, divergence)
     key = lambda r: (str(r[0]), r[2], round(r[5], 3))
     for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
         assert a[:5] == b[:5] and a[7] == b[7]
@@ -72,15 +72,18 @@ def test_against_definition(spark):
             t.append(rng.choice(follow.get(t[-1], ["a", "b"])) if rng.random() < 0.7 else (t[-2] if len(t) > 1 and rng.random() < 0.5 else rng.choice("abcdefghijklm")))
         rows.append((i, " ".join(t)))
     rows += [(500, None), (501, ""), (None, "a b\tc"), (None, "A  B c"), (502, "new words é É"), (3, "a b"), (503, "a b c d " * 3000)]
-    got, tree = same(spark, rows, 3, 0.004, 5.0, 0.01, block_bytes=1500)
-    assert {len(c) for c in tree} == {1, 2, 3}
+    got, tree = same(spark, rows, 4, 12, 5.0, 0.01, block_bytes=1500)
+    assert {len(c) for c in tree} == {1, 2, 3, 4}
+    # contexts dealt over several shards
+    same(spark, rows, 4, 12, 5.0, 0.01, block_bytes=1500, split=40)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
 def test_documents(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    same(spark, rows, block_bytes=200_000)
+    _, tree = same(spark, rows, block_bytes=200_000)
+    assert {len(c) for c in tree} == {1, 2, 3}
 
 
 def test_empty(spark):
