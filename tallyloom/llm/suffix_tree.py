@@ -144,7 +144,7 @@ def told(walk: Walk, block: int) -> pa.Table:
     """What a block sends at its level: one row for each shard."""
     asked, level = walk.ask(), walk.level
     count = np.bincount(asked.inverse, walk.train[walk.at], len(asked.key)).astype(np.int64)
-    prior = walk.p[asked.one]
+    prior = walk.p[asked.one].astype(np.float32)  # for the decision alone: scores take the block's own
     numbers, first = np.unique(asked.shard, return_index=True)
     cuts, rows = np.append(first, len(asked.key)), []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -152,26 +152,44 @@ def told(walk: Walk, block: int) -> pa.Table:
         new[1:] = asked.context[a + 1 : b] != asked.context[a : b - 1]
         heads = np.flatnonzero(new)
         runs = np.diff(np.append(heads, b - a)).astype(np.uint32)
-        rows.append((packed(asked.key[a:b]), packed(count[a:b]), *((packed(asked.context[a:b][heads]), packed(runs), packed(asked.total[a:b][heads]), packed(prior[a:b])) if level else (b"",) * 4), int(count[a:b].sum())))
+        rows.append((packed(short(walk.t.token[asked.one[a:b]])) if level else packed(asked.key[a:b]), packed(count[a:b].astype(np.uint32)), *((packed(asked.context[a:b][heads]), packed(runs), packed(asked.total[a:b][heads]), packed(prior[a:b])) if level else (b"",) * 4), int(count[a:b].sum())))
     columns = list(zip(*rows, strict=True)) or [()] * 7
     kinds = [pa.binary()] * 6 + [pa.int64()]
     names = [c.split()[0] for c in SENT.split(", ")]
     return pa.table([pa.array([block] * len(rows), pa.int64()), pa.array(numbers.astype(np.int64)), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)
 
 
+def short(token: np.ndarray) -> np.ndarray:
+    """The low six bytes of word hashes, which tell the next words of one context apart."""
+    return token.view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def long(column: pa.ChunkedArray) -> np.ndarray:
+    """Six-byte hashes as integers."""
+    six = unpacked(column, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, :6] = six
+    return out.reshape(-1).view(np.uint64)
+
+
 class Shard:
     """The pairs that blocks have sent to one shard, summed."""
 
     def __init__(self, part: pa.Table, level: int, rules: Rules):
-        self.sizes = [len(x) // 8 for x in part.column("keys").to_pylist()]
-        _, one, self.inverse = np.unique(unpacked(part.column("keys")), return_index=True, return_inverse=True)
+        self.sizes = [len(x) // 4 for x in part.column("counts").to_pylist()]
+        if level:
+            context = np.repeat(unpacked(part.column("contexts")), unpacked(part.column("runs"), np.uint32))
+            key = mixed(context * STEP + long(part.column("keys")))
+        else:
+            key = unpacked(part.column("keys"))
+        _, one, self.inverse = np.unique(key, return_index=True, return_inverse=True)
         self.c = np.zeros(len(one), np.int64)
-        np.add.at(self.c, self.inverse, unpacked(part.column("counts"), np.int64))
+        np.add.at(self.c, self.inverse, unpacked(part.column("counts"), np.uint32))
         if not level:
             return
-        runs = unpacked(part.column("runs"), np.uint32)
-        context = np.repeat(unpacked(part.column("contexts")), runs)[one]
-        total, p = np.repeat(unpacked(part.column("totals"), np.int64), runs)[one], unpacked(part.column("priors"), np.float64)[one]
+        context = context[one]
+        total = np.repeat(unpacked(part.column("totals"), np.int64), unpacked(part.column("runs"), np.uint32))[one]
+        p = unpacked(part.column("priors"), np.float32)[one].astype(np.float64)
         left_out = (self.c - 1 + rules.prior * p) / (total - 1 + rules.prior)
         gain = np.zeros(len(p))
         seen = self.c > 0
