@@ -73,6 +73,17 @@ class Tokens:
         return h
 
 
+def different(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values in order, a place of each, and the number of each entry's value."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(key), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], inverse
+
+
 @dataclass(frozen=True)
 class Rules:
     shards: int
@@ -90,7 +101,7 @@ class Asked:
     def __init__(self, t: Tokens, level: int, at: np.ndarray, total: np.ndarray, rules: Rules):
         context, token = t.contexts(level, at), t.token[at]
         key = mixed(context * STEP + token) if level else token
-        self.key, one, inverse = np.unique(key, return_index=True, return_inverse=True)
+        self.key, one, inverse = different(key)
         self.context, self.total, self.one = context[one], total[one], at[one]
         shards = np.uint64(rules.shards)
         if level:
@@ -182,7 +193,7 @@ class Shard:
             key = mixed(context * STEP + long(part.column("keys")))
         else:
             key = unpacked(part.column("keys"))
-        _, one, self.inverse = np.unique(key, return_index=True, return_inverse=True)
+        _, one, self.inverse = different(key)
         self.c = np.zeros(len(one), np.int64)
         np.add.at(self.c, self.inverse, unpacked(part.column("counts"), np.uint32))
         if not level:
