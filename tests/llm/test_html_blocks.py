@@ -53,10 +53,6 @@ def used(tree):
     return set() if len(tree) == 1 else {FEATURES[tree[0]]} | used(tree[2]) | used(tree[3])
 
 
-def used(tree):
-    return set() if len(tree) == 1 else {FEATURES[tree[0]]} | used(tree[2]) | used(tree[3])
-
-
 def test_tree_fits_its_table():
     x, y = labelled_blocks()
     assert len(y) > 250 and (classified(TREE, x) == (y > 0.5)).mean() >= 0.99
