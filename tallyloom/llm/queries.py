@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import decode_documents, encode_documents
 from .edit_fingerprint import grouped_fingerprints
 from .gif_media import read_back, with_gif
 from .gumbel_pieces import sample_segmentations
@@ -64,6 +65,14 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(with_gif(table(spark, sf_dir, "documents")))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = encode_documents(table(spark, sf_dir, "documents"), path)
+    done = ids.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("ids_sha256", F.sha2(F.array_join("ids", ","), 256))
+    out = decode_documents(done, path, columns=("doc_id", "n_tokens", "ids_sha256"))
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 OP7_SQL = """
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS words FROM documents
@@ -83,7 +92,7 @@ FROM w LEFT JOIN gone USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media)}
+    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media, op12_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
