@@ -18,6 +18,7 @@ from .license_rules import scan_licenses
 from .pattern_packing import packed_documents
 from .shared import table
 from .simhash_groups import simhash_groups
+from .spelling_variants import spelling_variants
 from .substring_dedup import remove_repeats
 from .suffix_tree import score_documents
 
@@ -65,6 +66,10 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(with_gif(table(spark, sf_dir, "documents")))
 
 
+def op11_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = encode_documents(table(spark, sf_dir, "documents"), path)
@@ -90,10 +95,46 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT A
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
+# crc32 by its table; near words by what is left of both without one letter, at the same place.
+OP11_SQL = """
+WITH RECURSIVE steps AS (
+  SELECT range AS i, range AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00c0-\u00ff]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), keyed AS (
+  SELECT id, run, count(*) AS times, list_transform(string_split(id || ':' || run, ''), lambda x: unicode(x)) AS points FROM runs GROUP BY id, run
+), bytes AS (
+  SELECT run, times, flatten(list_transform(points, lambda x: CASE WHEN x < 128 THEN [x::BIGINT] ELSE [(192 + x // 64)::BIGINT, (128 + x % 64)::BIGINT] END)) AS b FROM keyed
+), hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) AS h FROM bytes, crc
+), spelt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), less AS (
+  SELECT DISTINCT word, n, place, substr(word, 1, place) || substr(word, place + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS place FROM words)
+), pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, first(near_n ORDER BY near_n DESC, encode(near)) AS near_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.next = f.word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN chain USING (word) WHERE next IS NULL
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media, op12_byte_bpe)}
+    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media, op11_trie_variants, op12_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_substring_doubling": OP7_SQL}
+    return {"op7_substring_doubling": OP7_SQL, "op11_trie_variants": OP11_SQL}
