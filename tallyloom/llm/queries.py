@@ -21,6 +21,7 @@ from .simhash_groups import simhash_groups
 from .spelling_variants import spelling_variants
 from .substring_dedup import remove_repeats
 from .suffix_tree import score_documents
+from .token_alignment import align_tokens
 
 
 def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,12 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b, ranks = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
+    out = align_tokens(table(spark, sf_dir, "documents"), a, b, ranks_path=ranks)
+    return out.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+
+
 OP7_SQL = """
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS words FROM documents
@@ -133,7 +140,7 @@ SELECT word, form, root, n, n_near, form_n FROM forms JOIN chain USING (word) WH
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media, op11_trie_variants, op12_byte_bpe)}
+    return {f.__name__: f for f in (op1_gumbel_pieces, op2_pattern_packing, op3_edit_fingerprint, op4_suffix_tree, op5_kneser_ney, op6_license_rules, op7_substring_doubling, op8_simhash_gray, op9_html_blocks, op10_gif_media, op11_trie_variants, op12_byte_bpe, op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
