@@ -208,7 +208,18 @@ def distinct_pairs(units: list[np.ndarray], unit: np.ndarray, pair: np.ndarray)
     return names[count > 0], count[count > 0]
 
 
-ALIGNED = "block long, doc_id long, units binary, a binary, a_first binary, b binary, b_first binary, pairs array<long>, docs array<int>"
+def small(values: np.ndarray) -> bytes:
+    """An array of numbers in as few bytes each as its largest needs, after a byte that tells how many."""
+    most = int(values.max()) if len(values) else 0
+    kind = np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + packed(values.astype(kind))
+
+
+def large(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+ALIGNED = "block long, doc_id long, units binary, a binary, a_n binary, b binary, b_n binary, pairs array<long>, docs array<int>"
 
 
 def aligned_blocks(docs: DataFrame, paths: tuple[str, str, str | None], block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -226,9 +237,9 @@ def aligned_blocks(docs: DataFrame, paths: tuple[str, str, str | None], block_by
         units = [np.array([code[u] for u in own], np.uint32) for own in of]
         units = [own if whole[own].all() else own[:0] for own in units]
         pairs, count = distinct_pairs(units, *unit_links(grouped(*tokens, pair.a_size, pair.b_size))[:2])
-        rows = [pa.array([number] * len(of)), pa.concat_arrays([x for x, _ in held]), pa.array([packed(x) for x in units], pa.binary())]
+        rows = [pa.array([number] * len(of)), pa.concat_arrays([x for x, _ in held]), pa.array([small(x) for x in units], pa.binary())]
         yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(len(of), kind) for kind in kinds[3:])], schema=schema)
-        row = [number, None, None, *(packed(x.astype(np.uint32)) for x in tokens), pairs, count]
+        row = [number, None, None, *(small(x) for x in (tokens[0], np.diff(tokens[1]), tokens[2], np.diff(tokens[3]))), pairs, count]
         yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, kinds, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +290,8 @@ def align_tokens(docs: DataFrame, tokenizer_path: str, pieces_path: str, id_col:
         pair = pair_of(*paths)
         is_doc = pc.is_valid(left["units"])
         rows, own = left.filter(is_doc), left.filter(pc.invert(is_doc)).to_pylist()[0]
-        g = grouped(*(np.frombuffer(own[c], np.uint32).astype(np.int64) for c in ("a", "a_first", "b", "b_first")), pair.a_size, pair.b_size)
+        a, a_n, b, b_n = (large(own[c]) for c in ("a", "a_n", "b", "b_n"))
+        g = grouped(a, np.append(0, np.cumsum(a_n)), b, np.append(0, np.cumsum(b_n)), pair.a_size, pair.b_size)
         unit, codes, times = unit_links(g)
         order = np.argsort(right["pair"].to_numpy())
         known = right["pair"].to_numpy()[order]
@@ -295,7 +307,7 @@ def align_tokens(docs: DataFrame, tokenizer_path: str, pieces_path: str, id_col:
         words = group_texts(g, pair.names, len(pair.a_size), len(pair.b_size))
         sums, texts = np.zeros((6, rows.num_rows), np.int64), []
         for i, raw in enumerate(rows["units"].to_pylist()):
-            own = np.frombuffer(raw, np.uint32)
+            own = large(raw)
             sums[:, i] = by_unit[:, own].sum(1)
             texts.append(";".join([words[u] for u in own.tolist()]))
         return pa.table([rows["doc_id"], *(pa.array(x) for x in sums), pa.array(texts, pa.string())], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
