@@ -135,6 +135,11 @@ def trend_label(pct: Column) -> Column:
     return F.when(pct > 50, "strong growth").when(pct > 10, "growth").when(pct > -10, "flat").when(pct > -50, "declining").when(pct.isNotNull(), "strong decline")
 
 
+def usefulness(p: Column, n: Column) -> Column:
+    """What a regressor's least p-value and its number of values make of it; null p: drop."""
+    return F.when((p < 0.01) & (n >= 36), "USE").when((p < 0.05) & (n >= 24), "CONSIDER").when((p < 0.1) & (n >= 24), "WEAK").otherwise("drop")
+
+
 def stars(p: Column) -> Column:
     """Three, two and one for p-values under 0.001, 0.01 and 0.05; none for others, null and NaN."""
     return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions import tails
+
 
 def extremes(rows: DataFrame, series: list[str], month: str, value: str) -> DataFrame:
     """First, last, peak and trough of each series; the earliest month of equal peaks."""
@@ -25,13 +27,18 @@ def concentration(rows: DataFrame, within: list[str], entity: str, value: str) -
     return rows.withColumns({"place": F.row_number().over(w), "share": F.col(value) / total, "cumulative": F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)) / total})
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's r as an aggregate; null where a side is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))))
+
+
 def lag_correlation(rows: DataFrame, series: list[str], month: str, a: str, b: str, lags: list[int], least: int = 10) -> DataFrame:
     """Pearson correlation of a with b some rows earlier, for each lag (fewer than `least` pairs: null)."""
     w = Window.partitionBy(*series).orderBy(month)
     wide = rows.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     wide = wide.withColumn("_l", F.array(*(F.struct(F.lit(k).alias("lag"), F.lag(b, k).over(w).alias("x")) for k in lags)))
     pairs = wide.select(*series, a, F.explode("_l").alias("_p")).select(*series, F.col("_p.lag").alias("lag"), F.col(a).alias("y"), F.col("_p.x").alias("x")).filter("x is not null")
-    return pairs.groupBy(*series, "lag").agg(F.count(F.lit(1)).alias("n"), F.when(F.count(F.lit(1)) >= least, F.corr("y", "x")).alias("r"))
+    return pairs.groupBy(*series, "lag").agg(F.count(F.lit(1)).alias("n"), F.when(F.count(F.lit(1)) >= least, correlation("y", "x")).alias("r"))
 
 
 def spearman(rows: DataFrame, series: list[str], a: str, b: str) -> DataFrame:
@@ -41,7 +48,32 @@ def spearman(rows: DataFrame, series: list[str], a: str, b: str) -> DataFrame:
         return F.rank().over(Window.partitionBy(*series).orderBy(c)) + (F.count(F.lit(1)).over(same) - 1) / 2
 
     ranked = rows.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumns({"_a": rank(a), "_b": rank(b)})
-    return ranked.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.corr("_a", "_b").alias("rho"))
+    return ranked.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), correlation("_a", "_b").alias("rho"))
+
+
+def lagged_spearman(rows: DataFrame, series: list[str], month: str, target: str, variables: list[str], lags: list[int], least: int = 10) -> DataFrame:
+    """(series, variable, lag, n, rho, p): rank correlation of each variable some rows earlier with the target, and its p-value by the t distribution.
+
+    Pairs of which fewer than `least` rows have both values are left out; a constant side gives nulls.
+    """
+    w = Window.partitionBy(*series).orderBy(month)
+    wide = rows.withColumn("_l", F.array(*(F.struct(F.lit(v).alias("variable"), F.lit(k).alias("lag"), F.lag(F.col(v).cast("double"), k).over(w).alias("x")) for v in variables for k in lags)))
+    long = wide.select(*series, F.col(target).alias("_y"), F.explode("_l").alias("_p")).select(*series, "_p.variable", "_p.lag", "_y", F.col("_p.x").alias("_x"))
+    found = spearman(long, [*series, "variable", "lag"], "_y", "_x").filter(F.col("n") >= least)
+    t = F.col("rho") * F.sqrt((F.col("n") - 2) / F.nullif(1 - F.col("rho") * F.col("rho"), F.lit(0.0)))
+    return found.withColumn("p", F.when(F.abs("rho") >= 1, 0.0).otherwise(tails.t_tail(t, F.col("n") - 2)))
+
+
+def spearman_summary(found: DataFrame, by: list[str], alpha: float = 0.05) -> DataFrame:
+    """(by, n_series, median_rho, min_rho, max_rho, least_p, n_significant) over the series of each group."""
+    return found.groupBy(*by).agg(
+        F.count("rho").alias("n_series"),
+        F.median("rho").alias("median_rho"),
+        F.min("rho").alias("min_rho"),
+        F.max("rho").alias("max_rho"),
+        F.min("p").alias("least_p"),
+        F.count_if(F.col("p") < alpha).alias("n_significant"),
+    )
 
 
 def residual_shape(rows: DataFrame, series: list[str], month: str, e: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import parse
-from tallyloom.operators import align, cleaning, evaluate, features, grid, profile, series_models, serving
+from tallyloom.operators import align, cleaning, evaluate, features, grid, profile, serving
 from tallyloom.sources import fixtures as fx
 from tallyloom.sources.fixtures import MACRO, PANEL, RATES, SIGNALS, SOURCES, TOTALS, table
 
@@ -513,26 +513,3 @@ def g7_extracted_rows(spark, sf):
     cells = _cells(spark, sf)
     columns = grid.resolved_targets(grid.signatures(grid.filled_headers(cells, 3)), {"amount": [["amount"]], "volume": [["volume"]]})
     return grid.extracted(cells, columns, 3, ["amount", "volume"], parse.number(F.col("value")))
-
-
-# ---- models and tests (rows only; pytest holds the helpers against independent computations) ----
-
-
-@query()
-def i3_i4_i5_forecasts(spark, sf):
-    return series_models.forecasts(fx.panel(spark, sf), KEY, "month", "outstanding")
-
-
-@query()
-def i10_model_cv(spark, sf):
-    return evaluate.cv_scores(series_models.cross_validated(fx.panel(spark, sf), KEY, "month", "outstanding"), KEY)
-
-
-@query()
-def j1_stationarity(spark, sf):
-    return series_models.stationarity(fx.panel(spark, sf), KEY, "month", "outstanding")
-
-
-@query()
-def j3_granger(spark, sf):
-    return series_models.relations(fx.panel(spark, sf), KEY, "month", "outstanding", "txn_vol")

