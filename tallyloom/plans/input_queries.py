@@ -188,6 +188,13 @@ def _stream(spark, sf):
     return ingest.event_stream(spark, f"{sf}/events.parque[t]", events.schema, 4)
 
 
+def _batches(spark, sf):
+    """The events as several files, read one a micro-batch, in no order of time."""
+    events, path = table(spark, sf, "events"), readers.scratch(spark, "events")
+    events.repartition(5, "event_id").write.parquet(path)
+    return ingest.event_stream(spark, path, events.schema, 1)
+
+
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def s1_stream_first_of_key(spark, sf):
     """De-duplicated as files come in; equals the batch, as nothing is later than the watermark allows."""
@@ -205,9 +212,18 @@ def s2_stream_daily_rollup(spark, sf):
 
 @query("SELECT user_id, arg_max(value, (ts, value)) AS value, max(ts)::TIMESTAMP AS ts FROM events GROUP BY 1")
 def s3_stream_upsert(spark, sf):
+    """The latest event of each user, merged over several micro-batches."""
     path = readers.scratch(spark, "latest")
-    ingest.upsert_stream(_stream(spark, sf).select("user_id", "value", "ts"), path, ["user_id"], "ts", f"{path}-state")
-    return spark.read.parquet(path).select("user_id", "value", "ts")
+    return ingest.upsert_stream(_batches(spark, sf).select("user_id", "value", "ts"), path, ["user_id"], "ts", f"{path}-state", bucket_rows=1000)
+
+
+@query("SELECT CAST(date_trunc('month', ts) AS DATE) AS month, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2")
+def s2_stream_monthly_rollup(spark, sf):
+    """Calendar months that grow over several micro-batches; the greatest count of a month is its latest state."""
+    path = readers.scratch(spark, "monthly")
+    rolled = ingest.monthly_rollup(_batches(spark, sf), "ts", "event_type", "value", "400 days")
+    out = ingest.upsert_stream(rolled, path, ["month", "event_type"], "n", f"{path}-state", mode="update")
+    return out.select(F.col("month").cast("date").alias("month"), "event_type", "n", F.col("total").cast("double").alias("total"))
 
 
 @query(f"WITH {PANEL}, b AS (SELECT bank_name, card_type, month, lag(month) OVER (PARTITION BY bank_name, card_type ORDER BY month) AS since FROM panel) SELECT card_type, count(*) AS n, count(*) FILTER (WHERE since IS NULL) AS n_first FROM b GROUP BY 1")

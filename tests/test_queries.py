@@ -113,12 +113,53 @@ def test_streams_equal_batches(spark, sf, tmp_path):
     assert got == {k: v for k, v in batch.items() if datetime.combine(k[0], datetime.min.time()) + timedelta(days=1) <= closed}
     unique = ingest.run_once(ingest.first_of_each(stream, ["event_id"], "ts", "40 days"), "unique", f"{tmp_path}/c2")
     assert unique.count() == events.count()
-    ingest.upsert_stream(stream.select("user_id", "value", "ts"), f"{tmp_path}/out", ["user_id"], "ts", f"{tmp_path}/c3")
-    last = {r.user_id: r.value for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    out = ingest.upsert_stream(stream.select("user_id", "value", "ts"), f"{tmp_path}/out", ["user_id"], "ts", f"{tmp_path}/c3")
+    last = {r.user_id: r.value for r in out.collect()}
     want = {r.user_id: r.v for r in events.groupBy("user_id").agg(F.max_by("value", "ts").alias("v")).collect()}
     assert last == want
 
 
+def test_upserts_over_batches(spark, sf, tmp_path):
+    """One file a micro-batch, more rows than a bucket holds, a restart with a new checkpoint, and a batch that fails halfway."""
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).select("user_id", "value", "ts")
+    events.repartition(4, "value").write.parquet(f"{tmp_path}/in")
+    want = {r.user_id: tuple(r.v) for r in events.groupBy("user_id").agg(F.max_by(F.struct("value", "ts"), F.struct("ts", "value")).alias("v")).collect()}
+    read = lambda df: {r.user_id: (r.value, r.ts) for r in df.collect()}
+    target = f"{tmp_path}/out"
+    stream = lambda: ingest.event_stream(spark, f"{tmp_path}/in", events.schema, 1)
+    assert read(ingest.upsert_stream(stream(), target, ["user_id"], "ts", f"{tmp_path}/c1", bucket_rows=20)) == want
+    table = ingest.Upserted(spark, target, 20)
+    assert table.versions() and len(table.versions()) <= 2 and table.manifest().agg(F.max("buckets")).first()[0] * 20 >= len(want)
+    # nothing new under the same checkpoint; all again under another
+    version = table.versions()[-1]
+    assert read(ingest.upsert_stream(stream(), target, ["user_id"], "ts", f"{tmp_path}/c1", bucket_rows=20)) == want and table.versions()[-1] == version
+    assert read(ingest.upsert_stream(stream(), target, ["user_id"], "ts", f"{tmp_path}/c2", bucket_rows=20)) == want
+    # an older row of one key and a new key
+    user = min(want)
+    more = spark.createDataFrame([(user, -1.0, datetime(1990, 1, 1)), (10**9, 5.0, datetime(2030, 1, 1)), (None, 6.0, datetime(2030, 1, 1))], events.schema)
+    table.merge(more, ["user_id"], "ts")
+    assert read(table.rows(events.schema)) == want | {10**9: (5.0, datetime(2030, 1, 1)), None: (6.0, datetime(2030, 1, 1))}
+    # files of a version without its manifest don't count
+    more.withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{target}/data/version={table.versions()[-1] + 1}")
+    assert read(table.rows(events.schema))[user] == want[user]
+    table.merge(more.limit(0), ["user_id"], "ts")
+    table.merge(more, ["user_id"], "ts")
+    assert read(table.rows(events.schema))[user] == want[user] and table.rows(events.schema).count() == len(want) + 2
+    assert ingest.Upserted(spark, f"{tmp_path}/none").rows(events.schema).count() == 0
+
+
+def test_months_with_late_rows(spark, tmp_path):
+    """Late rows of an open month count, those of a month behind the watermark don't."""
+    rows = [[("a", 1.0, datetime(2024, 1, 5)), ("a", 2.0, datetime(2024, 2, 3))], [("a", 4.0, datetime(2024, 1, 20)), ("b", 1.0, datetime(2024, 2, 28))], [("a", 1.0, datetime(2024, 6, 1))], [("a", 9.0, datetime(2024, 1, 1))], [("b", 9.0, datetime(2024, 5, 2))]]
+    schema = "k string, v double, at timestamp"
+    for i, part in enumerate(rows):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={i}")
+        stream = ingest.event_stream(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema, 1)
+        out = ingest.upsert_stream(ingest.monthly_rollup(stream, "at", "k", "v", "62 days"), f"{tmp_path}/out", ["month", "k"], "n", f"{tmp_path}/c", mode="update")
+    got = {(str(r.month)[:7], r.k): (r.n, float(r.total)) for r in out.collect()}
+    assert got == {("2024-01", "a"): (2, 5.0), ("2024-02", "a"): (1, 2.0), ("2024-02", "b"): (1, 1.0), ("2024-06", "a"): (1, 1.0), ("2024-05", "b"): (1, 9.0)}
+
+
 def test_as_of_over_years(spark):
     rng = random.Random(5)
     day = lambda: datetime(2021, 11, 1) + timedelta(days=rng.randrange(900), seconds=rng.randrange(86400))
