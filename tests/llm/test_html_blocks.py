@@ -85,6 +85,14 @@ def test_pages_that_name_nothing():
     assert main_text(f'<body><p>{long} {long}</p><div class="advert"><p>{long[:60]}</p></div></body>', TREE) == f"{long} {long}"
 
 
+def test_articles_that_end_in_a_short_paragraph():
+    words = lambda n: " ".join(f"w{i}" for i in range(n))
+    for mark in ("article", "main"):
+        assert main_text(f"<{mark}><h1>A title</h1><p>{words(60)}</p><p>{words(10)} END</p></{mark}>", TREE) == f"A title {words(60)} {words(10)} END"
+        assert main_text(f"<{mark}><p>{words(60)}</p><p>The end is here now.</p></{mark}>", TREE) == f"{words(60)} The end is here now."
+    assert main_text("<article><p>a&nbsp;&nbsp;b &lt;c&gt;</p></article>", TREE) == "a b <c>"
+
+
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
 <header><h1>Site</h1><a href="/">Home</a></header><nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>
 <div class="cookie-notice">We use cookies on this site to make it work well for everybody here.</div>
