@@ -11,7 +11,7 @@ from tallyloom.plans.queries import _CELLS, KEY, _cells, query
 from tallyloom.sources import fixtures as fx
 from tallyloom.sources import readers
 from tallyloom.sources.fixtures import MACRO, PANEL, table
-from tallyloom.streaming import ingest
+from tallyloom.streaming import ingest, status
 
 
 @query("""SELECT 'orders' AS name, count(*) AS n, count(o_orderdate) AS n_dates FROM orders UNION ALL SELECT 'events', count(*), count(ts) FROM events""")
@@ -210,6 +210,20 @@ def s2_stream_daily_rollup(spark, sf):
     return rolled.withColumn("total", F.col("total").cast("double"))
 
 
+@query("""SELECT user_id, max(ts)::TIMESTAMP AS last, count(*) AS n, CASE WHEN max(ts) < (SELECT max(ts) FROM events) - INTERVAL 1 DAY THEN 'late' ELSE 'ok' END AS status FROM events GROUP BY 1""")
+def s4_stream_status(spark, sf):
+    """The latest event of each user and whether none has come for a day, kept as state over micro-batches in order of time."""
+    events, path = table(spark, sf, "events"), readers.scratch(spark, "ordered")
+    cuts = events.agg(F.percentile_approx(F.col("ts").cast("timestamp").cast("long"), [0.25, 0.5, 0.75])).first()[0]
+    seconds = F.col("ts").cast("timestamp").cast("long")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):  # a file set for each quarter, one after another
+        part = events.filter(F.lit(True) if low is None else seconds > low).filter(F.lit(True) if high is None else seconds <= high)
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = ingest.event_stream(spark, path, events.schema, 1)
+    out = ingest.upsert_stream(status.status_stream(stream, "user_id", "ts", 1), f"{path}-out", ["user_id"], "change", f"{path}-state", mode="update")
+    return out.select("user_id", "last", "n", "status")
+
+
 @query("SELECT user_id, arg_max(value, (ts, value)) AS value, max(ts)::TIMESTAMP AS ts FROM events GROUP BY 1")
 def s3_stream_upsert(spark, sf):
     """The latest event of each user, merged over several micro-batches."""

@@ -13,7 +13,7 @@ from tallyloom import registry
 from tallyloom.functions import parse
 from tallyloom.operators import align, cleaning, evaluate, serving
 from tallyloom.sources import readers
-from tallyloom.streaming import ingest
+from tallyloom.streaming import ingest, status
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -160,6 +160,18 @@ def test_months_with_late_rows(spark, tmp_path):
     assert got == {("2024-01", "a"): (2, 5.0), ("2024-02", "a"): (1, 2.0), ("2024-02", "b"): (1, 1.0), ("2024-06", "a"): (1, 1.0), ("2024-05", "b"): (1, 9.0)}
 
 
+def test_status_over_batches(spark, tmp_path):
+    """Sources that go on, stop, and come back; each step is a micro-batch under the same checkpoint."""
+    parts = [[("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 2)), (None, datetime(2024, 1, 2))], [("a", datetime(2024, 1, 20)), ("a", None)], [("a", datetime(2024, 2, 9)), ("a", datetime(2024, 2, 5))], [("b", datetime(2024, 2, 10))]]
+    want = [{"a": (1, "ok"), "b": (1, "ok"), None: (1, "ok")}, {"a": (2, "ok"), "b": (1, "late"), None: (1, "late")}, {"a": (4, "ok"), "b": (1, "late"), None: (1, "late")}, {"a": (4, "ok"), "b": (2, "ok"), None: (1, "late")}]
+    schema = "k string, at timestamp"
+    for i, (part, expected) in enumerate(zip(parts, want, strict=True)):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={i}")
+        stream = ingest.event_stream(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema, 1)
+        out = ingest.upsert_stream(status.status_stream(stream, "k", "at", 10), f"{tmp_path}/out", ["k"], "change", f"{tmp_path}/c", mode="update")
+        assert {r.k: (r.n, r.status) for r in out.collect()} == expected, i
+
+
 def test_as_of_over_years(spark):
     rng = random.Random(5)
     day = lambda: datetime(2021, 11, 1) + timedelta(days=rng.randrange(900), seconds=rng.randrange(86400))
