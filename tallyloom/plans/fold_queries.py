@@ -48,7 +48,7 @@ structural AS (SELECT {_K}, step, list_sum(list_transform(range(1, 14), lambda i
 
 @query(f"""WITH RECURSIVE {PANEL}, {_VALUES}, {_ETS}, {_ARIMA}, {_STRUCTURAL},
 f AS (SELECT *, 'ets' AS model FROM ets UNION ALL SELECT *, 'arima' FROM arima UNION ALL SELECT *, 'structural' FROM structural)
-SELECT bank_name, card_type, model, CAST(step AS INTEGER) AS step, round(greatest(exp(yhat) - 1, 0), 3) AS yhat
+SELECT bank_name, card_type, model, CAST(step AS INTEGER) AS step, CASE WHEN yhat IS NOT NULL THEN round(greatest(exp(yhat) - 1, 0), 3) END AS yhat
 FROM (SELECT DISTINCT {_K} FROM panel) CROSS JOIN (VALUES ('ets'), ('arima'), ('structural')) m(model) CROSS JOIN (SELECT unnest(range(1, 7)) AS step) LEFT JOIN f USING (bank_name, card_type, model, step)""")
 def i3_i4_i5_forecasts(spark, sf):
     """Six months ahead by Holt-Winters, ARIMA(1,1,1) and structural regression."""
