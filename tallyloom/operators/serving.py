@@ -48,6 +48,18 @@ def combined_hash(content: DataFrame, group: str, path: str, text: str, known: D
     return listed.join(ledger, group, "left").select(group, "hash", F.when(F.col("hash") == F.col("_was"), "re-run").otherwise("new").alias("verdict"))
 
 
+def tree_hash(content: DataFrame, group: str, path: str, text: str) -> DataFrame:
+    """(group, n, hash): one hash over a group's contents, as a tree: over the paths of each of 4096 parts, then over the parts.
+
+    A path's part is the first three digits of its own hash, so it hangs on the path alone; no row holds more than a part's
+    hashes or 4096 of them. Null text counts as empty, a null path as the path "", and repeated rows count again.
+    """
+    named = content.select(group, F.coalesce(F.col(path).cast("string"), F.lit("")).alias("_path"), F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256).alias("_h"))
+    joined = lambda c: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x["h"]), ""), 256)
+    parts = named.groupBy(group, F.substring(F.sha2("_path", 256), 1, 3).alias("_part")).agg(F.count(F.lit(1)).alias("_n"), joined(F.struct("_path", F.col("_h").alias("h"))).alias("_h"))
+    return parts.groupBy(group).agg(F.sum("_n").alias("n"), joined(F.struct("_part", F.col("_h").alias("h"))).alias("hash"))
+
+
 def harmonised(tables: dict[str, DataFrame], columns: dict[str, list[str]], constants: dict[str, dict[str, Column]] | None = None) -> DataFrame:
     """Tables under one schema: each column is the first of its names that a table has (none: null), with `model_type` naming the table."""
     out = None

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import parse
-from tallyloom.operators import cleaning, features, grid, serving
+from tallyloom.operators import cleaning, features, grid, serving, sketches
 from tallyloom.plans.queries import _CELLS, KEY, _cells, query
 from tallyloom.sources import fixtures as fx
 from tallyloom.sources import readers
@@ -83,6 +83,25 @@ def a9_combined_hash(spark, sf):
     return serving.combined_hash(docs, "source", "doc_id", "text", ledger)
 
 
+@query("""WITH l AS (SELECT source, CAST(doc_id AS VARCHAR) AS path, sha256(coalesce(text, '')) AS h FROM documents), p AS (SELECT source, substr(sha256(path), 1, 3) AS part, count(*) AS n, sha256(string_agg(h, '' ORDER BY path, h)) AS h FROM l GROUP BY 1, 2)
+SELECT source, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(h, '' ORDER BY part)) AS hash FROM p GROUP BY 1""")
+def a9_tree_hash(spark, sf):
+    """One hash of each source's texts, as a tree over parts of their ids."""
+    return serving.tree_hash(table(spark, sf, "documents"), "source", "doc_id", "text")
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, TRUE AS count_is_near, TRUE AS quantiles_are_near FROM events GROUP BY 1")
+def e14_e5_daily_sketches(spark, sf):
+    """Users and quantiles of each event type from sketches kept by day: within 3 % of the exact count, and of the wanted ranks."""
+    events, path, shares = table(spark, sf, "events"), readers.scratch(spark, "sketches"), [0.1, 0.5, 0.9]
+    sketches.daily_sketches(events, ["event_type"], F.to_date("ts"), "user_id", "value").write.parquet(path)
+    found = sketches.merged(spark.read.parquet(path), ["event_type"], shares)
+    rank = [F.avg((F.col("value") <= F.get("quantiles", F.lit(i))).cast("double")) - s for i, s in enumerate(shares)]
+    exact = events.join(F.broadcast(found.drop("n")), "event_type").groupBy("event_type", "n_distinct").agg(F.countDistinct("user_id").alias("n_users"), *(r.alias(f"_r{i}") for i, r in enumerate(rank)))  # one row an event type
+    near = (F.abs("_r0") < 0.03) & (F.abs("_r1") < 0.03) & (F.abs("_r2") < 0.03)
+    return exact.join(found.select("event_type", "n"), "event_type").select("event_type", "n", "n_users", (F.abs(F.col("n_distinct") - F.col("n_users")) <= 0.03 * F.col("n_users")).alias("count_is_near"), near.alias("quantiles_are_near"))
+
+
 @query("""WITH n AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' LTD.' WHEN 1 THEN upper(p_name) WHEN 2 THEN ' ' || p_name || '-o''neil 3RD Co' ELSE p_name END AS raw FROM part),
 k AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(upper(trim(raw)), '\\b(LIMITED|LTD|PVT|PRIVATE|CORPORATION|CORP|CO)\\b\\.?', ' ', 'g'), '\\s+', ' ', 'g'), '^[\\s.,\\-]+|[\\s.,\\-]+$', '', 'g') AS key FROM n)
 SELECT p_partkey, CASE key WHEN 'SMALL RING' THEN 'The Ring' WHEN 'BLUE BOLT' THEN 'Bolt & Sons' ELSE array_to_string(list_transform(regexp_extract_all(lower(trim(raw)), '[a-z]+|[^a-z]+'), lambda w: upper(w[1]) || substr(w, 2)), '') END AS canonical FROM k""")

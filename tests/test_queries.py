@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import registry
 from tallyloom.functions import parse
-from tallyloom.operators import align, cleaning, evaluate, serving
+from tallyloom.operators import align, cleaning, evaluate, serving, sketches
 from tallyloom.sources import readers
 from tallyloom.streaming import ingest, status
 
@@ -172,6 +172,25 @@ def test_status_over_batches(spark, tmp_path):
         assert {r.k: (r.n, r.status) for r in out.collect()} == expected, i
 
 
+def test_tree_of_hashes(spark):
+    rows = [("g", f"p{i}", f"text {i}") for i in range(300)] + [("g", "p1", "text 1"), ("g", None, None), (None, "x", "y")]
+    frame = spark.createDataFrame(rows, "g string, path string, text string")
+    found = lambda df: {r.g: (r.n, r.hash) for r in serving.tree_hash(df, "g", "path", "text").collect()}
+    whole = found(frame)
+    assert whole["g"][0] == 302 and whole[None][0] == 1 and found(frame.repartition(7)) == whole
+    assert found(frame.filter("path <> 'p7' or path is null"))["g"] != whole["g"][1] and found(frame.withColumn("text", F.when(F.col("path") == "p9", "other").otherwise(F.col("text"))))["g"][1] != whole["g"][1]
+    assert found(frame.limit(0)) == {}
+
+
+def test_sketches_merge_over_days(spark):
+    rows = spark.range(60000).select((F.col("id") % 2).cast("string").alias("k"), F.expr("date_add(date'2024-01-01', int(id % 30))").alias("day"), (F.col("id") % 10000).alias("u"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
+    daily = sketches.daily_sketches(rows, ["k"], F.col("day"), "u", "v")
+    assert daily.count() == 30 and daily.agg(F.sum("n")).first()[0] == 60000
+    for r in sketches.merged(daily, ["k"], [0.25, 0.5]).collect():
+        assert r.n == 30000 and abs(r.n_distinct - 5000) < 150 and abs(r.quantiles[0] - 15000) < 1500 and abs(r.quantiles[1] - 30000) < 1500
+    assert sketches.merged(daily.limit(0), ["k"], [0.5]).count() == 0
+
+
 def test_as_of_over_years(spark):
     rng = random.Random(5)
     day = lambda: datetime(2021, 11, 1) + timedelta(days=rng.randrange(900), seconds=rng.randrange(86400))
