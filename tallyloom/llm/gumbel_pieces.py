@@ -8,7 +8,7 @@ Sampling without replacement is a best-first search. Every set of segmentations
 the root's is drawn freely, and when a set is split, the parts' values are drawn so that their largest is the whole's.
 Following the largest child from a set gives its best segmentation, and all that branches off on the way stays in the
 frontier as "the rest of the edges at this place". The next segmentation is the best of the frontier. Values are exact
-bounds and every branch has one, so the search takes out segmentations in falling order, all distinct, and the best value
+bounds and every branch has one (those with under a millionth of their path's mass are left out), so the search takes out segmentations in falling order, all distinct, and the best value
 left over gives each one's inclusion score. Random numbers are hashes of (row key, round, place), so a row's samples don't hang on others.
 """
 

@@ -9,8 +9,8 @@ of them is verified by its exact similarity, so no false link is made.
 
 Equal texts are folded first. Pairs are looked at in two passes. The first compares each text with one text of its value,
 drawn by hash, and joins those that are alike. The second compares texts of different groups only, and drops a pair as
-soon as others have joined its groups. So a large group of near copies costs a few comparisons for each copy, not all of
-its pairs. Pairs to verify are dealt into cells by the hashes of both ends, and a cell gets each text's shingles once.
+soon as others have joined its groups: exact comparisons are few for each copy. But the pairs that share a value are still
+listed before they are filtered, so a very large group of different near copies is quadratic there. Pairs to verify are dealt into cells by the hashes of both ends, and a cell gets each text's shingles once.
 """
 
 from __future__ import annotations
