@@ -115,3 +115,18 @@ def signal_array(answer: Column, bank: Column, least: float = 0.5) -> Column:
     found = F.coalesce(F.from_json(listed, f"array<struct<{', '.join(x.strip().replace(' ', ':', 1) for x in SIGNAL.split(','))}>>"), F.array().cast(f"array<struct<{', '.join(x.strip().replace(' ', ':', 1) for x in SIGNAL.split(','))}>>"))
     sure = F.filter(found, lambda s: F.coalesce(s["confidence"], F.lit(0.0)) >= least)
     return F.transform(sure, lambda s: s.withField("bank_name", F.coalesce(F.nullif(s["bank_name"], F.lit("")), bank)))
+
+
+#: How many single units each unit holds.
+UNITS = {"one": 1.0, "thousand": 1e3, "lakh": 1e5, "million": 1e6, "crore": 1e7, "billion": 1e9}
+
+
+def converted(value: Column, unit: str, into: str) -> Column:
+    """An amount in one unit as an amount in another; an unknown unit is an error."""
+    return value * F.lit(UNITS[unit]) / F.lit(UNITS[into])
+
+
+def signed_percent(value: Column, digits: int = 1) -> Column:
+    """A percentage as text with its sign; what rounds to zero has none, null stays null."""
+    x = F.round(value, digits)
+    return F.when(x == 0, F.lit(f"{0:.{digits}f}%")).otherwise(F.when(x.isNotNull(), F.format_string(f"%+.{digits}f%%", x)))

@@ -94,3 +94,23 @@ def split_by_type(rows: DataFrame, kind: str, kinds: list[str], optional: list[s
     """A table for each kind; an optional column stays where any of the kind's rows has a value. One pass counts them all."""
     counts = {r[kind]: r for r in rows.filter(F.col(kind).isin(kinds)).groupBy(kind).agg(*(F.count(c).alias(c) for c in optional)).collect()}  # a row for each kind
     return {k: rows.filter(F.col(kind) == k).drop(*(c for c in optional if k not in counts or not counts[k][c])) for k in kinds}
+
+
+def structure_issues(rows: DataFrame, by: list[str], month: str, target: str, regressors: list[str], dummies: list[str], max_days: int = 35) -> DataFrame:
+    """(by, column, issue, n, low, high) of a training frame: null regressors, null targets, dummies that are neither 0 nor 1 (with their range), gaps.
+
+    n counts the rows; a group without issues has one row of issue "none". Null dummies are unexpected values too.
+    """
+    days = F.date_diff(month, F.lag(month).over(Window.partitionBy(*by).orderBy(month)))
+    rows = rows.withColumn("_days", days)
+    none = F.lit(None).cast("double")
+    found = lambda column, issue, bad, low=none, high=none: F.struct(F.lit(column).alias("column"), F.lit(issue).alias("issue"), F.count_if(bad).alias("n"), low.alias("low"), high.alias("high"))
+    checks = [found(c, "null", F.col(c).isNull()) for c in (target, *regressors)]
+    for c in dummies:
+        odd = F.coalesce(~F.col(c).isin(0.0, 1.0), F.lit(True))
+        checks.append(found(c, "not 0 or 1", odd, F.min(F.when(odd, F.col(c))).cast("double"), F.max(F.when(odd, F.col(c))).cast("double")))
+    gap = F.col("_days") > max_days
+    checks.append(found(month, "gap", gap, F.min(F.when(gap, F.col("_days"))).cast("double"), F.max(F.when(gap, F.col("_days"))).cast("double")))
+    clean = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit("none").alias("issue"), F.lit(0).cast("long").alias("n"), none.alias("low"), none.alias("high")))
+    held = rows.groupBy(*by).agg(F.filter(F.array(*checks), lambda x: x["n"] > 0).alias("_i"))
+    return held.select(*by, F.explode(F.when(F.size("_i") > 0, F.col("_i")).otherwise(clean)).alias("_x")).select(*by, "_x.*")

@@ -193,3 +193,27 @@ def ablation(errors: DataFrame, series: list[str], without: str, band: float = 0
     base = mean.filter(F.col("variant") == without).select(*series, F.col("m").alias("without_pct"))
     out = mean.filter(F.col("variant") != without).join(base, series).withColumn("delta", F.round(F.col("without_pct") - F.col("m"), 6))
     return out.select(*series, "variant", F.col("m").alias("with_pct"), "without_pct", "delta", F.when(F.col("delta") > band, "KEEP").when(F.col("delta") < -band, "REMOVE").otherwise("MARGINAL").alias("verdict"))
+
+
+def forecast_delta(forecasts: DataFrame, series: list[str], with_it: str, without: str, threshold: float = 1.0) -> DataFrame:
+    """How far a feature moves the forecast, in percent of the forecast without it: (series, n, mean_abs_pct, max_abs_pct, decision).
+
+    DROP where the mean is under `threshold`, else ESCALATE; null where no forecast without it differs from zero.
+    """
+    pct = F.abs((F.col(with_it) - F.col(without)) / F.nullif(F.col(without), F.lit(0.0))) * 100
+    out = forecasts.groupBy(*series).agg(F.count(pct).alias("n"), F.avg(pct).alias("mean_abs_pct"), F.max(pct).alias("max_abs_pct"))
+    return out.withColumn("decision", F.when(F.round("mean_abs_pct", 9) < threshold, "DROP").when(F.col("mean_abs_pct").isNotNull(), "ESCALATE"))
+
+
+def holdout_scores(scored: DataFrame, series: list[str], month: str, y: str, forecast: str, half_width: str, window: tuple[str, str], points: float = 5.0) -> DataFrame:
+    """Error and interval coverage of a holdout, and of a given window of it: (series, n, mape, coverage, n_window, mape_window, stressed).
+
+    A window is stressed if its error is over `points` points of a percent worse than that of the whole holdout.
+    """
+    inside = (F.abs(F.col(y) - F.col(forecast)) <= F.col(half_width)).cast("double")
+    here = F.col(month).between(*(F.lit(d).cast("date") for d in window))
+    at = lambda c: F.when(here, c)
+    out = scored.groupBy(*series).agg(
+        F.count(F.lit(1)).alias("n"), mape(F.col(y), F.col(forecast)).alias("mape"), F.avg(inside).alias("coverage"), F.count_if(here).alias("n_window"), mape(at(F.col(y)), F.col(forecast)).alias("mape_window")
+    )
+    return out.withColumn("stressed", F.round((F.col("mape_window") - F.col("mape")) * 100, 9) > points)

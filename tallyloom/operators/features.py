@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def event_columns(rows: DataFrame, month: str, events: list[tuple[str, str, list[str]]]) -> DataFrame:
     """rows with event_<name>: "pulse" is 1 in the listed months, "step" from the listed month on; change points make no column."""
     out = {}
@@ -41,15 +42,25 @@ def signal_regressors(signals: DataFrame, rules: list[tuple[str, str, str, float
 
 
 def future_rows(rows: DataFrame, series: list[str], month: str, value: str, rule: str, horizon: int = 24) -> DataFrame:
-    """The months after each series' end with a projected regressor: "flat" (last), "mean" (of the last 12) or "slope" (of the last 6)."""
+    """The months after each series' end with a projected regressor: "flat" (last), "mean" (of the last 12), "slope" (of the last 6) or "decay".
+
+    A falling series decays by its slope's share of the last value each month, by a half at most; others go on as with "slope".
+    """
     from .align import trailing
 
     last = trailing(rows, series, month, value).groupBy(*series).agg(*(F.max_by(c, month).alias(c) for c in (value, "mean12", "slope6")), F.max(month).alias("_end"))
     steps = last.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_h"))
-    out = {"flat": F.col(value), "mean": F.col("mean12"), "slope": F.col(value) + F.col("slope6") * F.col("_h")}[rule]
+    line = F.col(value) + F.col("slope6") * F.col("_h")
+    decayed = F.col(value) * F.pow(F.greatest(1 + F.col("slope6") / F.col(value), F.lit(0.5)), F.col("_h"))
+    out = {"flat": F.col(value), "mean": F.col("mean12"), "slope": line, "decay": F.when((F.col("slope6") < 0) & (F.col(value) > 0), decayed).otherwise(line)}[rule]
     return steps.select(*series, F.add_months("_end", F.col("_h")).alias(month), F.greatest(F.lit(0.0), out).alias(value))
 
 
+def future_events(rows: DataFrame, events: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """Rows of future months with event_<name>: a pulse doesn't come again (0), a step stays (1); change points make no column."""
+    return rows.withColumns({f"event_{name}": F.lit({"pulse": 0.0, "step": 1.0}[kind]) for name, kind, _ in events if kind in ("pulse", "step")})
+
+
 def with_extra_regressors(train: DataFrame, extra: DataFrame, series: list[str], month: str, columns: list[str]) -> DataFrame:
     """(series, month, name, value) of the extra regressors at the training rows: 0 where missing, and only those that aren't constant in a series."""
     rows = train.select(*series, month).join(extra, month, "left").unpivot([*series, month], columns, "name", "value").withColumn("value", F.coalesce("value", F.lit(0.0)))

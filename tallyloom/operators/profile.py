@@ -41,6 +41,14 @@ def lag_correlation(rows: DataFrame, series: list[str], month: str, a: str, b: s
     return pairs.groupBy(*series, "lag").agg(F.count(F.lit(1)).alias("n"), F.when(F.count(F.lit(1)) >= least, correlation("y", "x")).alias("r"))
 
 
+def strongest_lags(lagged: DataFrame, series: list[str]) -> DataFrame:
+    """The lag with the most negative correlation (null if none is negative) and that with the largest absolute one; of equals the shortest lag."""
+    r = F.round("r", 9)
+    negative = F.min(F.when(r < 0, F.struct(r.alias("_r"), "lag", "r")))
+    largest = F.min(F.when(r.isNotNull(), F.struct((-F.abs(r)).alias("_r"), "lag", "r")))
+    return lagged.groupBy(*series).agg(negative.alias("_n"), largest.alias("_a")).select(*series, F.col("_n.lag").alias("lag_negative"), F.col("_n.r").alias("r_negative"), F.col("_a.lag").alias("lag_strongest"), F.col("_a.r").alias("r_strongest"))
+
+
 def spearman(rows: DataFrame, series: list[str], a: str, b: str) -> DataFrame:
     """Rank correlation with average ranks of equal values."""
     def rank(c: str):

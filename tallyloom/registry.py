@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.plans import fold_queries, input_queries, model_queries, more_queries, relation_queries  # noqa: F401  register their queries
+from tallyloom.plans import detail_queries, fold_queries, input_queries, model_queries, more_queries, relation_queries  # noqa: F401  register their queries
 from tallyloom.plans.queries import QUERIES, SQL
 
 

@@ -35,23 +35,27 @@ def load_named(spark: SparkSession, folder: str, names: list[str]) -> dict[str,
     return out
 
 
-def stacked(spark: SparkSession, globs: dict[str, str], columns: dict[str, Column] | None = None) -> DataFrame:
+def stacked(spark: SparkSession, globs: dict[str, str], columns: dict[str, Column] | None = None, formats: dict[str, str] | None = None, schemas: dict[str, str] | None = None) -> DataFrame:
     """All files of each source's glob, with `source` and `file`; columns that a source lacks are null.
 
+    A source's format is Parquet unless `formats` names another that Spark reads, such as csv (with a header line) or
+    json; `schemas` has the columns of those, else they are inferred, which reads the files once more.
+
     Of files whose names differ in case only the first by name counts. A source without files is left out, unreadable
     files are skipped, and it is an error if no source has any.
     """
     found = []
     for source, glob in globs.items():
         try:
-            rows = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(glob)
+            reader = spark.read.format((formats or {}).get(source, "parquet")).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").option("header", "true")
+            rows = (reader.schema(schemas[source]) if source in (schemas or {}) else reader).load(glob)
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE.NO_HINT"):
                 raise
             continue
         rows = rows.select("*", F.lit(source).alias("source"), F.col("_metadata.file_path").alias("file"))
         first = rows.groupBy(F.lower("file").alias("_low")).agg(F.min("file").alias("file")).select("file")
-        found.append(rows.join(F.broadcast(first), "file", "left_semi"))  # one row for each file
+        found.append(rows.join(first, "file", "left_semi"))
     if not found:
         raise ValueError(f"no files in any of {sorted(globs)}")
     out = found[0]
