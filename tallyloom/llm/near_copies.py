@@ -8,9 +8,11 @@ asks for. In each (table, value) the Gray-order index of simhash_groups finds th
 of them is verified by its exact similarity, so no false link is made.
 
 Equal texts are folded first. Pairs are looked at in two passes. The first compares each text with one text of its value,
-drawn by hash, and joins those that are alike. The second compares texts of different groups only, and drops a pair as
-soon as others have joined its groups: exact comparisons are few for each copy. But the pairs that share a value are still
-listed before they are filtered, so a very large group of different near copies is quadratic there. Pairs to verify are dealt into cells by the hashes of both ends, and a cell gets each text's shingles once.
+drawn by hash, and joins those that are alike. The second looks for texts of different groups only: the index leaves out
+every node whose members are all of the query's group, and a pair is dropped as soon as others have joined its groups. So
+a large group of different near copies costs a few comparisons for each. What remains quadratic is many texts that share a
+value and lie within the limit without being alike. The entries of one value meet in one task, as numbers. Pairs to verify
+are dealt into cells by the hashes of both ends, and a cell gets each text's shingles once.
 """
 
 from __future__ import annotations
@@ -124,30 +126,32 @@ def with_shingles(nodes: DataFrame) -> DataFrame:
     return nodes.mapInArrow(run, "node long, shingles binary")
 
 
-def to_shards(prints: DataFrame, masks: np.ndarray, shards: int) -> DataFrame:
-    """(shard, keys, nodes, groups, fps), packed, of (node, group, fp): an entry for each table."""
+def to_shards(prints: DataFrame, masks: np.ndarray, shards: int, carried: str) -> DataFrame:
+    """(shard, keys, nodes, carried), packed, of (node, fp, ...): an entry for each table; carried is "fp" or another long column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only()
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
-                node, group = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                fp = unpacked(part.column(2)).reshape(-1, WIDTH)
+                node = part.column(0).to_numpy(zero_copy_only=False)
+                fp = unpacked(part.column(1)).reshape(-1, WIDTH)
+                more = fp if carried == "fp" else part.column(2).to_numpy(zero_copy_only=False)
                 key = table_keys(fp, masks).ravel()
                 shard = (key % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 row, key, shard = order // len(masks), key[order], shard[order]
                 numbers, first = np.unique(shard, return_index=True)
                 cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(shard)], strict=True))
-                columns = [pa.array([packed(x[i:j]) for i, j in cuts], pa.binary()) for x in (key, node[row], group[row], fp[row])]
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), *columns], ["shard", "keys", "nodes", "groups", "fps"])
+                columns = [pa.array([packed(x[i:j]) for i, j in cuts], pa.binary()) for x in (key, node[row], more[row])]
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), *columns], ["shard", "keys", "nodes", "carried"])
 
-    return prints.select("node", "group", "fp").mapInArrow(run, "shard long, keys binary, nodes binary, groups binary, fps binary")
+    columns = ["node", "fp"] if carried == "fp" else ["node", "fp", carried]
+    return prints.select(*columns).mapInArrow(run, "shard long, keys binary, nodes binary, carried binary")
 
 
-def entries(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return unpacked(part.column("keys")), unpacked(part.column("nodes"), np.int64), unpacked(part.column("groups"), np.int64), unpacked(part.column("fps")).reshape(-1, WIDTH)
+def entries(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return unpacked(part.column("keys")), unpacked(part.column("nodes"), np.int64), unpacked(part.column("carried")).reshape(-1, WIDTH)
 
 
 def in_cells(a: np.ndarray, b: np.ndarray, side: int) -> pa.Table:
@@ -164,42 +168,43 @@ def part_of(node: np.ndarray, side: int) -> np.ndarray:
     return (mixed(node.view(np.uint64)) % np.uint64(side)).astype(np.int64)
 
 
-def drawn_pairs(shards: DataFrame, side: int) -> DataFrame:
-    """Pairs, in cells, of each text and the one drawn for its (table, value); `near` has the nodes with any pair within the limit."""
+def drawn_pairs(shards: DataFrame) -> DataFrame:
+    """Pairs, in one cell, of each text and the one drawn for its (table, value), within the limit."""
 
     def run(part: pa.Table) -> pa.Table:
         only()
-        key, node, _, fp = entries(part)
-        near = np.zeros(len(key), bool)
-        for x, y in GrayIndex(key, fp, LIMIT).pairs():
-            near[x] = near[y] = True
+        key, node, fp = entries(part)
         order = np.lexsort((mixed(node.view(np.uint64) ^ key), key))
         head = np.ones(len(order), bool)
         head[1:] = key[order[1:]] != key[order[:-1]]
         drawn = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
         ok = (np.bitwise_count(fp[order] ^ fp[drawn]).sum(1, dtype=np.int64) <= LIMIT) & (order != drawn)
-        out = in_cells(node[order[ok]], node[drawn[ok]], side)
-        near = np.unique(node[near])
-        rows = pa.table([pa.array([-1] * bool(len(near)), pa.int64()), pa.array([packed(near)] * bool(len(near)), pa.binary()), pa.array([b""] * bool(len(near)), pa.binary())], names=["cell", "a", "b"])
-        return pa.concat_tables([out, rows])
+        return in_cells(node[order[ok]], node[drawn[ok]], 1)
 
     return shards.groupBy("shard").applyInArrow(run, "cell long, a binary, b binary")
 
 
-def open_pairs(shards: DataFrame, side: int) -> DataFrame:
-    """Pairs, in cells, of texts of different groups within the limit."""
+def open_pairs(shards: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs, in one cell, of texts of different groups within the limit; members are the groups so far, in the same shards."""
 
-    def run(part: pa.Table) -> pa.Table:
+    def run(part: pa.Table, told: pa.Table) -> pa.Table:
         only()
-        key, node, group, fp = entries(part)
+        if not part.num_rows:
+            return in_cells(np.zeros(0, np.int64), np.zeros(0, np.int64), 1)
+        key, node, fp = entries(part)
+        group = node.copy()
+        member, at = np.unique(unpacked(told.column("nodes"), np.int64), return_index=True)
+        if len(member):
+            place = np.minimum(np.searchsorted(member, node), len(member) - 1)
+            known = member[place] == node
+            group[known] = unpacked(told.column("carried"), np.int64)[at][place[known]]
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x, y in GrayIndex(key, fp, LIMIT).pairs():
-            ok = group[x] != group[y]
-            a.append(node[x[ok]])
-            b.append(node[y[ok]])
-        return in_cells(np.concatenate(a), np.concatenate(b), side)
+        for x, y in GrayIndex(key, fp, LIMIT, group).pairs():
+            a.append(node[x])
+            b.append(node[y])
+        return in_cells(np.concatenate(a), np.concatenate(b), 1)
 
-    return shards.groupBy("shard").applyInArrow(run, "cell long, a binary, b binary")
+    return shards.groupBy("shard").cogroup(members.groupBy("shard")).applyInArrow(run, "cell long, a binary, b binary")
 
 
 def named_nodes(packed_nodes: DataFrame, columns: list[str]) -> DataFrame:
@@ -269,23 +274,32 @@ def near_copy_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
     prints = kept(with_fingerprints(nodes).groupBy("node").agg(F.first("fp").alias("fp")), "near-prints")
     count = prints.count()
     masks = table_masks(count)
-    entry = len(masks) * (24 + 8 * WIDTH)
-    first = kept(to_shards(prints.withColumn("group", F.col("node")), masks, max(1, count * entry // SHARD_BYTES)), "near-shards")
-    seen = kept(drawn_pairs(first, 1), "near-drawn")
-    near = kept(named_nodes(seen.filter("cell < 0"), ["a"]).select("node").distinct(), "near-nodes")
-    sets = kept(with_shingles(nodes.join(near, "node", "left_semi")).groupBy("node").agg(F.first("shingles").alias("shingles")), "near-shingles")
-    # sides of the cells: as many as the shingles of texts with a pair ask for
-    held = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
-    side = max(1, -(-held // CELL_BYTES))
-    links = kept(verified(coarser(seen.filter("cell >= 0"), side), sets, None), "near-links")
+    shards = max(1, count * len(masks) * (16 + 8 * WIDTH) // SHARD_BYTES)
+    entries_of = kept(to_shards(prints, masks, shards, "fp"), "near-shards")
+    drawn = kept(drawn_pairs(entries_of), "near-drawn")
+    sets = kept(shingle_sets(nodes, named_nodes(drawn, ["a", "b"])), "near-shingles")
+    links = kept(verified(coarser(drawn, sides(sets)), sets, None), "near-links")
     groups = linked_groups(links)
-    grouped = prints.join(near, "node", "left_semi").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    again = kept(to_shards(grouped, masks, max(1, grouped.count() * entry // SHARD_BYTES)), "near-shards")
-    rest = kept(open_pairs(again, side), "near-open")
-    links = links.unionByName(kept(verified(rest, sets, groups), "near-links"))
+    members = to_shards(prints.join(groups.filter("node <> group"), "node"), masks, shards, "group")
+    rest = kept(open_pairs(entries_of, members), "near-open")
+    new = named_nodes(rest, ["a", "b"]).join(sets, "node", "left_anti")
+    sets = sets.unionByName(kept(shingle_sets(nodes, new), "near-shingles"))
+    links = links.unionByName(kept(verified(coarser(rest, sides(sets)), sets, groups), "near-links"))
     return linked_groups(links)
 
 
+def shingle_sets(nodes: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, shingles) of the named nodes."""
+    found = with_shingles(nodes.join(named.select("node").distinct(), "node", "left_semi"))
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def sides(sets: DataFrame) -> int:
+    """Sides of the cells: as many as the shingles of texts with a pair ask for."""
+    held = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    return max(1, -(-held // CELL_BYTES))
+
+
 def coarser(pairs: DataFrame, side: int) -> DataFrame:
     """Pairs in the cells of another side."""
 

@@ -99,9 +99,13 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """Fingerprints of one or more words, in buckets by key; pairs of a bucket with at most `limit` differing bits."""
+    """Fingerprints of one or more words, in buckets by key; pairs of a bucket with at most `limit` differing bits.
 
-    def __init__(self, key: np.ndarray, fp: np.ndarray, limit: int):
+    With `group`, only pairs of different groups are of interest. A node also keeps its members' least and greatest
+    group then, and a query leaves out a node whose members are all of its own group, whatever their number.
+    """
+
+    def __init__(self, key: np.ndarray, fp: np.ndarray, limit: int, group: np.ndarray | None = None):
         fp = fp if fp.ndim == 2 else fp[:, None]
         self.order = np.lexsort((gray_rank(fp[:, 0]), key))
         self.fp, self.limit, key = fp[self.order], limit, key[self.order]
@@ -114,6 +118,8 @@ class GrayIndex:
         self.levels = []
         starts, mask = np.arange(n + 1), np.full(self.fp.shape, ~np.uint64(0))
         pattern, owner = self.fp, bucket
+        self.group = None if group is None else group[self.order]
+        ends = [] if group is None else [(self.group, self.group)]  # least and greatest group below, from the entries up
         for fan in (LEAF, FAN, n + 1):
             head = np.ones(len(owner), bool)
             head[1:] = owner[1:] != owner[:-1]
@@ -123,15 +129,20 @@ class GrayIndex:
             if len(cuts):
                 shared = ~(np.bitwise_and.reduceat(pattern, cuts) ^ np.bitwise_or.reduceat(pattern, cuts)) & np.bitwise_and.reduceat(mask, cuts)
                 pattern, mask, owner = pattern[cuts] & shared, shared, owner[cuts]
+                if ends:
+                    ends.append((np.minimum.reduceat(ends[-1][0], cuts), np.maximum.reduceat(ends[-1][1], cuts)))
             self.levels.insert(0, (np.append(cuts, len(starts) - 1), mask, pattern))
             starts = np.append(cuts, n)
-        self.bucket = bucket
+        self.bucket, self.ends = bucket, ends[::-1]
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places in the arrays that the index was made of, each pair once."""
         n = len(self.bucket)
         sizes = np.bincount(self.bucket) if n else np.zeros(0, np.int64)
-        crowded = np.flatnonzero(sizes[self.bucket] > 1)
+        several = sizes > 1
+        if self.ends and n:
+            several &= self.ends[0][0] < self.ends[0][1]
+        crowded = np.flatnonzero(several[self.bucket])
         at = 0
         while at < len(crowded):
             q = crowded[at : at + 4096]
@@ -153,6 +164,10 @@ class GrayIndex:
             child = np.repeat(first[node[at:stop]] - np.cumsum(size) + size, size) + np.arange(len(owner))
             begin = child if last else self.entry(level + 1, child)
             ok = begin < q[owner]
+            if self.ends:
+                low, high = self.ends[level + 1]
+                own = self.group[q[owner]]
+                ok &= (low[child] != own) | (high[child] != own)
             owner, child = owner[ok], child[ok]
             fixed = ~mask[node[owner]] if under[1] is None else under[1][child] & ~mask[node[owner]]
             d = differ[owner] + np.bitwise_count((self.fp[q[owner]] ^ under[0][child]) & fixed).sum(1, dtype=np.int64)

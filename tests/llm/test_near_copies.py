@@ -1,11 +1,13 @@
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline as p
-from tallyloom.llm.near_copies import LIMIT, shingle_hashes, table_keys, table_masks, wide_fingerprints
+from tallyloom.llm.near_copies import LIMIT, WIDTH, near_copy_groups, shingle_hashes, table_keys, table_masks, wide_fingerprints
+from tallyloom.llm.simhash_groups import GrayIndex
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -105,3 +107,40 @@ def test_nothing_alike(spark):
 
 def test_empty(spark):
     assert p.near_duplicates(spark, spark.createDataFrame([], SCHEMA), "").count() == 0
+
+
+def test_index_with_groups():
+    """All pairs of different groups within the limit, and nodes of the query's own group are left out."""
+    rng = np.random.Generator(np.random.PCG64(5))
+    base = rng.integers(0, 2**63, WIDTH, dtype=np.uint64)
+    fp = np.tile(base, (3000, 1))
+    fp[np.arange(3000), rng.integers(0, WIDTH, 3000)] ^= np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64)
+    key, group = np.zeros(3000, np.uint64), np.zeros(3000, np.int64)
+    strays = rng.choice(3000, 12, replace=False)
+    group[strays] = np.arange(1, 13) // 2
+    index = GrayIndex(key, fp, 2, group)
+    got = {tuple(sorted(p)) for x, y in index.pairs() for p in zip(x.tolist(), y.tolist(), strict=True)}
+    want = set()
+    for i in strays.tolist():
+        near = np.flatnonzero((np.bitwise_count(fp ^ fp[i]).sum(1) <= 2) & (group != group[i]))
+        want |= {tuple(sorted((i, j))) for j in near.tolist()}
+    assert got == want and len(want) > 11 * 2900  # the first of the twelve is in the large group
+    assert index.looked < 30 * 3000, index.looked
+    alone = GrayIndex(key, fp, 2, np.zeros(3000, np.int64))
+    assert list(alone.pairs()) == [] and alone.looked == 0
+
+
+def test_very_many_near_copies(spark):
+    """20,000 different copies of one text: one group, found without looking at their pairs."""
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(20000):
+        some = list(words)
+        some[rng.randrange(120)] = f"n{i}"
+        texts.append(" ".join(some))
+    frame = spark.createDataFrame(list(enumerate([*texts, "quite another text"])), "doc_id long, text string").repartition(8)
+    at = time.time()
+    groups = near_copy_groups(frame).groupBy("group").count().collect()
+    assert [r["count"] for r in groups] == [20000]
+    assert time.time() - at < 240
