@@ -7,7 +7,8 @@ samples the written characters at shared random steps, as many in each doubling
 and far into very long texts alike there are samples.
 
 Near texts are found by bands. Of each of a text's last octaves, which hold most of its steps, BANDS bands of randomly
-sampled bits (PICKED samples of four bits each) are its keys; equal fingerprints are folded first. Each text is compared
+sampled bits (PICKED samples of four bits each) are its keys; a text of fewer samples than an octave has keys by
+pigeonhole over all of them, so very short texts share a key only if they are nearly alike. Equal fingerprints are folded first. Each text is compared
 with one other of its band, drawn by hash, and joined to it if the share of equal samples, weighted by the steps that
 each stands for, is LEAST or more. Then, in bands that still hold several groups, texts of different groups are compared.
 So a large group of near copies costs a few comparisons for each text, and none of a band's pairs is left out.
@@ -125,22 +126,41 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the bands of each row's last whole octaves, or of the first one; there a missing sample is a value like others."""
+    """(row, key) of the bands of each row's last whole octaves, and of the whole fingerprint where it has few samples.
+
+    A row whose first octave isn't full has keys by pigeonhole: of u samples at most (1 - LEAST) * u differ between near
+    rows, where u is the longer row's number, so that they agree on all of at least one of that many and one more blocks.
+    No link between such rows is lost, and a block holds four or more samples, missing ones only where the other row is
+    longer. Rows that may be near one with a full octave have that octave's bands as well.
+    """
     n, width = samples.shape
     padded = np.full((n, -(-max(1, width) // SAMPLES) * SAMPLES), NONE, np.uint8)
     padded[:, :width] = samples
-    top = np.maximum((samples != NONE).sum(1) // SAMPLES - 1, 0)
+    there = (samples != NONE).sum(1)
+    top = np.maximum(there // SAMPLES - 1, 0)
     rows, keys = [], []
+
+    def add(row: np.ndarray, value: np.ndarray, name: np.ndarray | int) -> None:
+        rows.append(row)
+        keys.append(mixed(value ^ mixed(np.atleast_1d(np.asarray(name, np.uint64)) * MANY)))
+
     for back in range(LAST):
-        row = np.flatnonzero(top >= back)
+        row = np.flatnonzero((top >= back) & (there >= LEAST * SAMPLES))
         octave = top[row] - back
         for band, pick in enumerate(PICKS):
             value = np.zeros(len(row), np.uint64)
             for i in pick:
                 value = value * MANY + padded[row, octave * SAMPLES + i]
-            rows.append(row)
-            keys.append(mixed(value ^ mixed((octave * BANDS + band + 1).astype(np.uint64))))
-    return np.concatenate(rows), np.concatenate(keys)
+            add(row, value, octave * BANDS + band + 1)
+    for u in range(1, SAMPLES):
+        row = np.flatnonzero((there <= u) & (there >= LEAST * u - 1e-9))
+        blocks = int((1 - LEAST) * u + 1e-9) + 1
+        for block in range(blocks if len(row) else 0):
+            value = np.zeros(len(row), np.uint64)
+            for i in range(block, u, blocks):
+                value = value * MANY + padded[row, i]
+            add(row, value, (1 << 32) + u * SAMPLES + block)
+    return np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([np.zeros(0, np.uint64), *keys])
 
 
 def banded(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from tallyloom.llm.edit_fingerprint import BITS, MULTIPLIER, NONE, LEAST, embedded, fingerprint_documents, grouped_fingerprints, likeness, near_groups, sampled_steps, unwritten, with_next, written
+from tallyloom.llm.edit_fingerprint import BITS, LEAST, MULTIPLIER, NONE, band_keys, embedded, fingerprint_documents, grouped_fingerprints, likeness, near_groups, sampled_steps, unwritten, with_next, written
 
 
 def walk(text):
@@ -120,3 +120,26 @@ def test_near_groups_against_all_pairs(spark, sf):
     for k in range(len(different)):  # nothing is joined that links don't join
         assert find(different.index(prints[of[different[k]]])) == find(k)
     assert near_groups(spark.createDataFrame([], "node long, fingerprint string")).count() == 0
+
+
+def test_bands_of_short_texts():
+    """Every near pair of short texts shares a key, and no key is shared by many of them."""
+    rng = random.Random(11)
+    texts = {"".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=8)) for _ in range(20000)}
+    different = sorted(set(written(embedded(sorted(texts)))))
+    row, key = band_keys(unwritten(different))
+    sizes = np.unique(key, return_counts=True)[1]
+    assert sizes.max() < len(different) // 100 and len(row) < 12 * len(different), (sizes.max(), len(row), len(different))
+    few = sorted({"".join(rng.choices("abc", k=rng.randrange(1, 22))) for _ in range(400)})
+    few += [t[:i] + "d" + t[i + 1 :] for t in few[::4] for i in range(0, len(t), 3)]
+    samples = unwritten(sorted(set(written(embedded(few)))))
+    counts = (samples != NONE).sum(1)
+    row, key = band_keys(samples)
+    keys_of = [set(key[row == i].tolist()) for i in range(len(samples))]
+    found = 0
+    for i in range(len(samples)):
+        for j in np.flatnonzero(likeness(samples[:i], np.broadcast_to(samples[i], (i, samples.shape[1]))) >= LEAST).tolist():
+            if max(counts[i], counts[j]) < 32:
+                found += 1
+                assert keys_of[i] & keys_of[j], (i, j)
+    assert found > 30, found
