@@ -33,14 +33,19 @@ def filled(rows: DataFrame, series: list[str], month: str, value: str, how: str,
     return rows.withColumn(into or value, out).drop("_n", "_known")
 
 
+#: Calendar units in which opening values are carried on, from the slices of time that are dealt out to the longest.
+UNITS = ["MINUTE", "DAY", "MONTH"]
+
+
 def as_of(spine: DataFrame, events: DataFrame, at: str, effective: str, value: str, keys: list[str] | None = None) -> DataFrame:
     """spine with the value of the latest event at or before each time; null before the first. Of events at one time the largest counts.
 
-    Without keys time itself is dealt out, by day: a day's opening value is the last one of the days before it.
+    Without keys time itself is dealt out, by minute: a minute's opening value is the last one of those before it. Events
+    without a value count as not there.
     """
     if not keys:
-        spine, events = (x.withColumn("_day", F.to_date(t)) for x, t in ((spine, at), (events, effective)))
-        return as_of(spine, events.unionByName(openings(spine, events, effective, value), allowMissingColumns=True), at, effective, value, ["_day"]).drop("_day")
+        spine, events = (x.withColumn("_slice", F.date_trunc(UNITS[0], t)) for x, t in ((spine, at), (events, effective)))
+        return as_of(spine, events.unionByName(openings(spine, events, effective, value), allowMissingColumns=True), at, effective, value, ["_slice"]).drop("_slice")
     e = events.groupBy(*keys, F.col(effective).alias("_t")).agg(F.max(value).alias(value)).withColumn("_kind", F.lit(0))
     s = spine.withColumns({"_t": F.col(at), value: F.lit(None).cast(events.schema[value].dataType), "_kind": F.lit(1)})
     both = e.unionByName(s, allowMissingColumns=True)
@@ -49,19 +54,26 @@ def as_of(spine: DataFrame, events: DataFrame, at: str, effective: str, value: s
 
 
 def openings(spine: DataFrame, events: DataFrame, effective: str, value: str) -> DataFrame:
-    """(_day, effective, value): for each day of either table the last value of the days before it, a moment before it begins.
+    """(_slice, effective, value): for each slice of either table the last value of those before it, a moment before it begins."""
+    last = events.filter(F.col(value).isNotNull()).groupBy("_slice").agg(F.max_by(value, F.struct(effective, value)).alias(value))
+    slices = spine.select("_slice").unionByName(events.select("_slice")).filter("_slice is not null").distinct().join(last, "_slice", "left")
+    out = carried(slices, value, UNITS[1:]).filter(F.col(value).isNotNull())
+    return out.select("_slice", (F.col("_slice") - F.expr("interval 1 microsecond")).alias(effective), value)
+
+
+def carried(slices: DataFrame, value: str, units: list[str]) -> DataFrame:
+    """(_slice, value): of each slice of time the latest value of the slices before it.
 
-    Days are carried on in two levels, months and the days of a month, so that no window holds more than a month's days
-    or, once, the months.
+    A window holds the slices of one unit; what a unit opens with is carried in the same way over the next longer units.
     """
-    last = events.groupBy("_day").agg(F.max_by(value, F.struct(effective, value)).alias(value))
-    days = spine.select("_day").unionByName(events.select("_day")).filter("_day is not null").distinct().join(last, "_day", "left").withColumn("_month", F.trunc("_day", "MM"))
-    months = days.groupBy("_month").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_day"))).alias("_last"))
-    before = F.last("_last", True).over(Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1))  # a row for each month
-    within = F.last(value, True).over(Window.partitionBy("_month").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
-    carried = days.withColumn("_within", within).join(F.broadcast(months.select("_month", before.alias("_before"))), "_month")
-    out = carried.select("_day", (F.col("_day").cast("timestamp") - F.expr("interval 1 microsecond")).alias(effective), F.coalesce("_within", "_before").alias(value))
-    return out.filter(F.col(value).isNotNull())
+    before = lambda w: F.last(value, True).over(w.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    if not units:
+        return slices.select("_slice", before(Window.partitionBy()).alias(value))  # a row for each of the longest units
+    within = slices.withColumn("_unit", F.date_trunc(units[0], "_slice"))
+    upper = within.groupBy(F.col("_unit").alias("_slice")).agg(F.max_by(value, F.when(F.col(value).isNotNull(), within["_slice"])).alias(value))
+    opening = carried(upper, value, units[1:]).select(F.col("_slice").alias("_unit"), F.col(value).alias("_opening"))
+    out = within.withColumn("_within", before(Window.partitionBy("_unit"))).join(opening, "_unit")
+    return out.select("_slice", F.coalesce("_within", "_opening").alias(value))
 
 
 def changes(rows: DataFrame, series: list[str], month: str, value: str) -> DataFrame:

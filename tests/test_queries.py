@@ -217,3 +217,18 @@ def test_missing_sources(spark, sf):
     with pytest.raises(ValueError, match="no files"):
         readers.stacked(spark, {"a": f"{sf}/gone*.parquet"})
     assert readers.load_named(spark, sf, ["gone"]) == {}
+
+
+def test_as_of_within_minutes(spark):
+    """Many times in a few minutes of one day, events without a value, empty tables."""
+    rng = random.Random(6)
+    moment = lambda: datetime(2024, 3, 1, 10) + timedelta(milliseconds=rng.randrange(400_000))
+    events = [(moment(), float(i)) for i in range(60)] + [(moment(), None) for _ in range(60)] + [(datetime(2024, 2, 29, 23, 59, 59), -1.0)]
+    spine = [(i, moment()) for i in range(500)] + [(900, datetime(2024, 2, 1)), (901, datetime(2024, 3, 1)), (902, datetime(2024, 3, 1, 10, 3)), (903, None)]
+    e = spark.createDataFrame(events, "effective timestamp, v double")
+    s = spark.createDataFrame(spine, "id long, at timestamp")
+    got = {r.id: r.v for r in align.as_of(s, e, "at", "effective", "v").collect()}
+    known = sorted((t, v) for t, v in events if v is not None)
+    assert got == {i: next((v for u, v in reversed(known) if t and u <= t), None) for i, t in spine}
+    assert {r.v for r in align.as_of(s, e.limit(0), "at", "effective", "v").collect()} == {None}
+    assert align.as_of(s.limit(0), e, "at", "effective", "v").count() == 0
