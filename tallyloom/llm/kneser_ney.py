@@ -5,7 +5,7 @@ symbol of its own, space and all: trusted text rarely repeats words, so repetiti
 of all orders, context sums and the interpolation down the orders are grouped and joined by n-gram, which Spark shards
 by hash. Scoring is joins too: a block of documents asks once for each of its different n-grams, these meet the tables
 order by order, and one value for each goes back to the block, which adds up its documents. No table is gathered.
-The model comes from a bounded sample of each language's labelled rows; perplexities and quantiles cover all documents.
+The model counts all trusted documents of a language; perplexities and quantiles cover all documents.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from .shared import Hasher, in_blocks, joined_words, kept, let_go, mixed, only, steps, strings, word_spans
 
 ORDER = 5
-#: Trusted documents of each language that the model is fitted on, those with the least hash of doc_id.
-TRAIN_ROWS = 600
-#: Parts in which a language's trusted ids are ranked first.
+#: Parts in which a language's trusted ids are ranked first, if only some are asked for.
 PARTS = 64
+#: Different grams that a task holds of a language before it hands them on.
+HELD_GRAMS = 1 << 21
 #: Text bytes of a block of documents, about.
 BLOCK_BYTES = 32 << 20
 #: Share of a language's trusted documents that the threshold lets through.
@@ -81,18 +81,40 @@ def counted(whole: np.ndarray, at: np.ndarray, order: int = ORDER) -> tuple[np.n
 def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, n) of the highest order, from (lang, text)."""
 
+    def rows(lang: str, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        codes, n = summed(held)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for b in batches:
             langs, texts = np.array(b.column(0).to_pylist(), object), strings(b.column(1))
-            for lang in set(langs):
+            for lang in sorted(set(langs)):
+                mine = held.setdefault(lang, [])
                 for _, _, data, offsets in steps(texts.take(pa.array(np.flatnonzero(langs == lang)))):
-                    whole, at = symbols(data, offsets)
-                    codes, n = counted(whole, at, order)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+                    mine.append(counted(*symbols(data, offsets), order))
+                    if sum(len(codes) for codes, _ in mine) > HELD_GRAMS:
+                        mine[:] = [summed(mine)]
+                        if len(mine[0][0]) > HELD_GRAMS // 2:
+                            yield rows(lang, mine)
+                            mine.clear()
+        for lang, mine in held.items():
+            if mine:
+                yield rows(lang, mine)
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of several steps as one."""
+    codes, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+    return codes[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def suffix(gram: Column, order: int) -> Column:
     """A gram of `order` symbols without its first."""
     return gram.bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1))
@@ -100,13 +122,14 @@ def suffix(gram: Column, order: int) -> Column:
 
 def fitted(counts: DataFrame, order: int = ORDER) -> dict[str, DataFrame]:
     """Tables (lang, gram, value) by kind: log10 probabilities p1 to pORDER, and log10 weights g0 to gORDER-1 of shorter contexts."""
-    tables = {order: counts}
+    named = lambda t, k: kept(t.withColumn("context", F.shiftright("gram", 8)), f"kn-counts-{k}")
+    tables = {order: named(counts, order)}
     for k in range(order - 1, 0, -1):  # continuation counts: in how many different contexts an n-gram follows
-        tables[k] = tables[k + 1].groupBy("lang", suffix(F.col("gram"), k + 1).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        tables[k] = named(tables[k + 1].groupBy("lang", suffix(F.col("gram"), k + 1).alias("gram")).agg(F.count(F.lit(1)).alias("n")), k)
     out: dict[str, DataFrame] = {}
     lower = None
     for k in range(1, order + 1):
-        t = kept(tables[k].withColumn("context", F.shiftright("gram", 8)), f"kn-counts-{k}")
+        t = tables[k]
         of = t.groupBy("lang").agg(*(F.sum((F.col("n") == i).cast("double")).alias(f"t{i}") for i in range(1, 5)))
         y = F.coalesce(F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2")), F.lit(0.5))
         d = [F.when(F.col(f"t{i}") > 0, F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), i - (i + 1) * y * F.col(f"t{i + 1}") / F.col(f"t{i}")))).otherwise(0.5) for i in (1, 2, 3)]
@@ -124,27 +147,44 @@ def fitted(counts: DataFrame, order: int = ORDER) -> dict[str, DataFrame]:
         lower = kept(p, f"kn-p{k}")
         out[f"p{k}"] = lower.select("lang", "gram", F.log10("p").alias("value"))
         out[f"g{k - 1}"] = kept(sums.select("lang", F.col("context").alias("gram"), F.log10(F.col("taken") / F.col("total")).alias("value")), f"kn-g{k - 1}")
+        let_go(tables[k])
     return out
 
 
-def trained_models(sample: DataFrame) -> dict[str, DataFrame]:
-    """Tables of the sample's languages and of all (ANY), from (lang, text)."""
-    both = sample.unionByName(sample.withColumn("lang", F.lit(ANY)))
-    return fitted(kept(gram_counts(both), "kn-counts"))
+def trained_models(texts: DataFrame, overall: bool = True) -> dict[str, DataFrame]:
+    """Tables of the texts' languages and, if asked for, of all (ANY), from (lang, text)."""
+    counts = kept(gram_counts(texts), "kn-counts")
+    whole = counts
+    if overall:  # each text once, whatever its language
+        whole = counts.filter(F.col("lang") != ANY).unionByName(counts.groupBy("gram").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(ANY)))
+    out = fitted(whole)
+    let_go(counts)
+    return out
 
 
 def gram_logs(wanted: DataFrame, models: dict[str, DataFrame], order: int = ORDER) -> DataFrame:
     """(lang, gram, value): log10 probability of each wanted gram's last symbol after the others.
 
-    Joined with the tables order by order; what an order lacks takes the weight of its context and the next lower order.
+    Looked up in the highest order first; what an order lacks asks the next lower one for its different suffixes, and
+    takes their value and the weight of its context. So few grams go through the lower orders.
     """
-    out, value = wanted, F.lit(-math.log10(256))
+    looked = {}
+    for k in range(order, 0, -1):
+        looked[k] = kept(wanted.join(models[f"p{k}"], ["lang", "gram"], "left"), f"kn-looked-{k}")
+        missed = looked[k].filter("value is null").select("lang", "gram", F.shiftright("gram", 8).alias("context"), suffix(F.col("gram"), k).alias("rest"))
+        looked[k] = looked[k].filter("value is not null"), missed
+        wanted = missed.select("lang", F.col("rest").alias("gram")).distinct()
+    out = wanted.withColumn("value", F.lit(-math.log10(256)))
     for k in range(1, order + 1):
-        rest = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
-        for kind, key in ((f"g{k - 1}", F.shiftright(rest, 8)), (f"p{k}", rest)):
-            out = out.withColumn("key", key).join(models[kind].select("lang", F.col("gram").alias("key"), F.col("value").alias(kind)), ["lang", "key"], "left").drop("key")
-        value = F.coalesce(F.col(f"p{k}"), F.coalesce(F.col(f"g{k - 1}"), F.lit(0.0)) + value)
-    return out.select("lang", "gram", value.cast("float").alias("value"))
+        found, missed = looked[k]
+        weights = models[f"g{k - 1}"].select("lang", F.col("gram").alias("context"), F.col("value").alias("weight"))
+        below = out.select("lang", F.col("gram").alias("rest"), F.col("value").alias("below"))
+        value = F.coalesce("weight", F.lit(0.0)) + F.col("below")
+        out = found.unionByName(missed.join(weights, ["lang", "context"], "left").join(below, ["lang", "rest"]).select("lang", "gram", value.alias("value")))
+    logs = kept(out.select("lang", "gram", F.col("value").cast("float").alias("value")), "kn-logs")
+    for found, _ in looked.values():
+        let_go(found)
+    return logs
 
 
 class Lookup:
@@ -186,9 +226,11 @@ class Lookup:
         return out, found
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(lang, text) of trusted documents: quality 1 and not toxic; for each language at most `rows`, with the least hash of doc_id."""
+def trusted_sample(docs: DataFrame, labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """(lang, text) of trusted documents: quality 1 and not toxic. All of them, or for each language `rows`, with the least hash of doc_id."""
     trusted = trusted_ids(labels)
+    if rows is None:
+        return docs.join(trusted, "doc_id", "left_semi").select(F.coalesce("lang", F.lit(ANY)).alias("lang"), "text")
     named = docs.select("doc_id", F.coalesce("lang", F.lit(ANY)).alias("lang")).join(trusted, "doc_id", "left_semi").distinct()
     least = lambda *keys: F.row_number().over(Window.partitionBy("lang", *keys).orderBy(F.xxhash64("doc_id"), "doc_id"))
     # first within each of PARTS parts of a language, so that the task of its last choice sees at most rows * PARTS ids
@@ -248,10 +290,12 @@ def perplexities(docs: DataFrame, models: dict[str, DataFrame], id_col: str = "d
             mean[places] = (sums[at[1:]] - sums[at[:-1] + ORDER - 1]) / size
         return pa.table([part.column("doc_id"), part.column("lang"), pa.array(n), pa.array(10.0**-mean), part.column("row_key")], names=["doc_id", "lang", "n_symbols", "perplexity", "row_key"])
 
+    # looked up when this is called: the models aren't read later
     asked = kept(blocked.groupBy("block").applyInArrow(ask, "block long, lang string, gram long"), "kn-asked")
-    logs = kept(gram_logs(asked.select("lang", "gram").distinct(), models), "kn-logs")
+    logs = gram_logs(asked.select("lang", "gram").distinct(), models)
     back = kept(asked.join(logs, ["lang", "gram"]).select("block", "lang", "gram", "value"), "kn-answers")
     let_go(asked)
+    let_go(logs)
     return blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, lang string, n_symbols long, perplexity double, row_key long")
 
 
@@ -266,13 +310,19 @@ def with_thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUAN
     return out.select(*scores.columns, limit.alias("threshold"), F.coalesce(F.col("perplexity") <= limit, F.lit(True)).alias("keep"))
 
 
-def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, train_rows: int | None = None) -> DataFrame:
     """One row for each document: doc_id, lang, n_symbols, perplexity, row_key, threshold, keep.
 
     docs has doc_id, text and lang, labels has doc_id, quality and toxic; other columns are not read. Null text counts
     as empty; a very long text is read in its block like others; a null or unmodelled language is scored by the model of all; without trusted rows perplexity is 1 and all
     is kept. Repeated rows give repeated result rows, null ids have rows too, and an empty table gives an empty result.
+    The model counts all trusted documents, unless train_rows asks for so many of each language.
     """
-    models = trained_models(trusted_sample(docs, labels, train_rows))
-    scores = kept(perplexities(docs, models), "kn-scores")
-    return with_thresholds(scores, labels, quantile)
+    texts = trusted_sample(docs, labels, train_rows)
+    own = texts.select("lang").filter(F.col("lang") != ANY).distinct()
+    overall = not docs.select("lang").distinct().join(own, "lang", "left_anti").isEmpty()  # some language has no model of its own
+    models = trained_models(texts, overall)
+    scores = perplexities(docs, models)
+    for model in models.values():
+        let_go(model)
+    return with_thresholds(kept(scores, "kn-scores"), labels, quantile)

@@ -135,3 +135,14 @@ def test_lookup():
     assert (table.get(keys)[0] == np.arange(len(keys))).all()
     assert not table.get(keys + np.uint64(2**41))[1].any()
     assert ANY == "*"
+
+
+def test_all_trusted_documents_count(spark):
+    """However many a language has; a document without a language counts once in the model of all."""
+    docs = [(i, f"w{i} again", "en" if i % 50 else None, "") for i in range(1500)] + [(2000, "w3 w1499 x", "zz", "")]
+    frame, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, 1, 0) for i in range(1500)], LABELS)
+    got = {r.doc_id: r.perplexity for r in classify_quality(frame, marks).filter("doc_id in (3, 1499, 1450, 2000)").collect()}
+    own, whole = Plain([t for _, t, lang, _ in docs[:1500] if lang]), Plain([t for _, t, _, _ in docs[:1500]])
+    for i, model in ((3, own), (1499, own), (1450, whole), (2000, whole)):
+        text = next(t for d, t, _, _ in docs if d == i)
+        assert math.isclose(got[i], model.perplexity(text), rel_tol=1e-4)
