@@ -17,7 +17,8 @@ are dealt into cells by the hashes of both ends, and a cell gets each text's shi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ EQUAL_BITS = 0.8486
 LIMIT = 54
 #: Bytes of entries in a shard, and of shingles that a cell holds of each side, about.
 SHARD_BYTES, CELL_BYTES = 8 << 20, 16 << 20
+#: Shares of the tables whose entries are shuffled one after the other.
+PASSES = 3
 WORDS = Hasher(515)
 SEEDS = np.random.Generator(np.random.PCG64(82)).integers(1, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -274,20 +277,31 @@ def near_copy_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
     prints = kept(with_fingerprints(nodes).groupBy("node").agg(F.first("fp").alias("fp")), "near-prints")
     count = prints.count()
     masks = table_masks(count)
-    shards = max(1, count * len(masks) * (16 + 8 * WIDTH) // SHARD_BYTES)
-    entries_of = kept(to_shards(prints, masks, shards, "fp"), "near-shards")
-    drawn = kept(drawn_pairs(entries_of), "near-drawn")
+    drawn = in_passes(masks, count, lambda part, shards: drawn_pairs(to_shards(prints, part, shards, "fp")), "near-drawn")
     sets = kept(shingle_sets(nodes, named_nodes(drawn, ["a", "b"])), "near-shingles")
-    links = kept(verified(coarser(drawn, sides(sets)), sets, None), "near-links")
-    groups = linked_groups(links)
-    members = to_shards(prints.join(groups.filter("node <> group"), "node"), masks, shards, "group")
-    rest = kept(open_pairs(entries_of, members), "near-open")
+    first = kept(verified(coarser(drawn, sides(sets)), sets, None), "near-links")
+    groups = linked_groups(first)
+    members = kept(prints.join(groups.filter("node <> group"), "node"), "near-members")
+    rest = in_passes(masks, count, lambda part, shards: open_pairs(to_shards(prints, part, shards, "fp"), to_shards(members, part, shards, "group")), "near-open")
     new = named_nodes(rest, ["a", "b"]).join(sets, "node", "left_anti")
     sets = sets.unionByName(kept(shingle_sets(nodes, new), "near-shingles"))
-    links = links.unionByName(kept(verified(coarser(rest, sides(sets)), sets, groups), "near-links"))
+    links = first.unionByName(kept(verified(coarser(rest, sides(sets)), sets, groups), "near-links"))
     return linked_groups(links)
 
 
+def in_passes(masks: np.ndarray, texts: int, found: Callable[[np.ndarray, int], DataFrame], name: str) -> DataFrame:
+    """What is found of some tables' entries in so many shards, for a share of the tables after the other.
+
+    An entry bears a fingerprint, so entries are many times as large as the fingerprints: they are made anew for each job,
+    not kept, and disk holds those of one share at a time.
+    """
+    out = []
+    for part in np.array_split(masks, min(PASSES, len(masks))):
+        shards = max(1, texts * len(part) * (16 + 8 * WIDTH) // SHARD_BYTES)
+        out.append(kept(found(part, shards), name))
+    return reduce(DataFrame.unionByName, out)
+
+
 def shingle_sets(nodes: DataFrame, named: DataFrame) -> DataFrame:
     """(node, shingles) of the named nodes."""
     found = with_shingles(nodes.join(named.select("node").distinct(), "node", "left_semi"))

@@ -144,3 +144,28 @@ def test_very_many_near_copies(spark):
     groups = near_copy_groups(frame).groupBy("group").count().collect()
     assert [r["count"] for r in groups] == [20000]
     assert time.time() - at < 240
+
+
+def test_tables_are_taken_in_shares(spark):
+    """No entries are kept, the shares of the tables make up all of them, and a pair that only one share finds is a link."""
+    import os
+
+    from tallyloom.llm.near_copies import PASSES, in_passes, table_masks
+    from tallyloom.llm.shared import shared_dir
+
+    masks, seen = table_masks(300), []
+
+    def found(part, shards):
+        seen.append(part)
+        return spark.createDataFrame([(len(seen), shards)], "share int, shards int")
+
+    rows = in_passes(masks, 300, found, "test-share").collect()
+    assert len(seen) == PASSES > 1 and (np.concatenate(seen) == masks).all()
+    assert sorted(r.share for r in rows) == list(range(1, PASSES + 1))
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[i : i + 80]) for i in range(0, 320, 80)] + [" ".join([*words[i : i + 79], "other"]) for i in range(0, 320, 80)]
+    folder = shared_dir(spark).removeprefix("file:") + "/kept"
+    before = set(os.listdir(folder))
+    groups = near_copy_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(groups) == 8 and len({r.group for r in groups}) == 4
+    assert not [x for x in set(os.listdir(folder)) - before if x.startswith("near-shards")]
