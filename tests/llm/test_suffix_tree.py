@@ -4,7 +4,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from tallyloom.llm.suffix_tree import score_documents
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from tallyloom.llm.suffix_tree import STATE, Rules, Walk, different, score_documents, told
 
 SCHEMA = "doc_id long, text string, block long, held boolean"
 
@@ -90,3 +94,34 @@ def test_empty(spark):
     assert score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     held = [(i, "a b") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
     same(spark, held)
+
+
+def test_deeper_levels_start_from_states():
+    """What a block asks at the third level is the same from its texts as from the state it sent at the second."""
+    rng = random.Random(8)
+    words = ["a", "b", "c", "d"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 40))) for _ in range(60)] + [None, "a"]
+    part = pa.table({"text": pa.array(texts), "held": pa.array([i % 7 == 2 for i in range(len(texts))])})
+    rules = Rules(4, 5, 10.0, 0.0, 1 << 17, 900, 5)
+    walk, depth = Walk.of_texts(part, rules), 4
+    state = None
+    for level in range(depth + 1):
+        from_texts = told(walk, 7, depth)
+        if state is not None:
+            other = Walk.of_state(state, level - 1, rules)
+            other.take(answers)
+            assert told(other, 7, depth).equals(from_texts)
+        shards = from_texts.filter(pc.not_equal(from_texts.column("shard"), STATE))
+        state = from_texts.filter(pc.equal(from_texts.column("shard"), STATE))
+        assert len(state) == (2 <= level < depth)
+        state = state if len(state) else None
+        said = [np.frombuffer(x, np.uint32).astype(np.int64) * (2 if level else 1) + bool(level) for x in shards.column("counts").to_pylist()]
+        answers = pa.table([shards.column("shard"), pa.array([level] * len(said), pa.int32()), pa.array([x.tobytes() for x in said], pa.binary())], names=["shard", "level", "counts"])
+        walk.take(answers)
+
+
+def test_different():
+    key = np.random.default_rng(2).integers(0, 40, 500, dtype=np.uint64) << np.uint64(58)
+    found, place, number = different(key)
+    assert (found == np.unique(key)).all() and (key[place] == found).all() and (found[number] == key).all()
+    assert [len(x) for x in different(key[:0])] == [0, 0, 0]
