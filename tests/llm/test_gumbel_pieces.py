@@ -1,10 +1,14 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
+from tallyloom.llm import gumbel_pieces
 from tallyloom.llm.gumbel_pieces import Vocabulary, decode_documents, encode_documents, sample_segmentations, sampled
+from tallyloom.llm.shared import steps, strings
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 V = Vocabulary(PATH)
@@ -90,3 +94,17 @@ def test_plain_encoding_and_decoding(spark, sf):
     back = Counter((r.doc_id, r.text) for r in decode_documents(sampled_ids.filter("sample = 0"), PATH).collect())
     assert back == Counter((d, t or "") for d, t in docs)
     assert encode_documents(frame.limit(0), PATH).count() == 0 and decode_documents(spark.createDataFrame([(1, None), (2, [None, 5])], "doc_id long, ids array<int>"), PATH).count() == 2
+
+
+def test_a_step_takes_little_memory():
+    rng = np.random.default_rng(5)
+    words = [p.strip("▁") for p in V.pieces if p.startswith("▁") and len(p) > 3]
+    texts = strings(pa.array([" ".join(rng.choice(words, 330)) for _ in range(1800)]))
+    tracemalloc.start()
+    try:
+        for first, end, _, _ in steps(texts, gumbel_pieces.STEP):
+            sampled(V, texts[first:end].to_pylist(), np.arange(first, end, dtype=np.uint64), 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 160 << 20, peak >> 20
