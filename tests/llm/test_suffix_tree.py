@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -125,3 +126,25 @@ def test_different():
     found, place, number = different(key)
     assert (found == np.unique(key)).all() and (key[place] == found).all() and (found[number] == key).all()
     assert [len(x) for x in different(key[:0])] == [0, 0, 0]
+
+
+def test_values_of_equal_leading_bits_are_told_apart():
+    key = np.random.default_rng(3).integers(0, 9, 3000, dtype=np.uint64) + (np.random.default_rng(4).integers(0, 5, 3000, dtype=np.uint64) << np.uint64(60))
+    found, place, number = different(key)
+    assert (found == np.unique(key)).all() and (key[place] == found).all() and (found[number] == key).all()
+
+
+def test_asking_takes_little_memory():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 500) % 50_000) for _ in range(1000)]
+    part = pa.table({"text": pa.array(texts), "held": pa.array([False] * len(texts))})
+    walk = Walk.of_texts(part, Rules(4, 50, 100.0, 0.01, 1 << 17, 500_000, 50_000))
+    walk.level, walk.at, walk.total = 1, walk.at[1:], walk.total[1:]
+    tracemalloc.start()
+    try:
+        asked = walk.ask()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(asked.key) > 100_000
+    assert peak < 55 * len(walk.at), peak / len(walk.at)
