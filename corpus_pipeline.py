@@ -28,13 +28,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Candidates come from the SimHash index, with wide fingerprints; links are exact. Null ids come last and equal ids are
     told apart by text, so of every group one row stays, whatever its ids are.
     """
-    rows = docs.select(COLUMNS).withColumn("_node", node_of())
+    rows = docs.select(*COLUMNS, node_of().alias("_node"), F.xxhash64(*COLUMNS).alias("_row"))
     groups = near_copy_groups(docs).select(F.col("node").alias("_node"), F.col("group").alias("_group"))
-    ids = rows.groupBy("_node").agg(F.min("doc_id").alias("_id")).join(groups, "_node", "left")
-    first = F.struct(F.col("_id").isNull(), "_id", "_node")
-    stay = kept(ids.groupBy(F.coalesce("_group", "_node").alias("_group")).agg(F.min(first).alias("_first")).select("_first._node", "_first._id"), "representatives")
-    named = rows.join(stay, "_node").filter("doc_id <=> _id")
-    return named.groupBy("_node").agg(F.min_by(F.struct(*COLUMNS), F.xxhash64(*COLUMNS)).alias("_row")).select("_row.*")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("_least")
+    ids = rows.groupBy("_node").agg(least).join(groups, "_node", "left")
+    first = F.struct("_least.none", "_least.doc_id", "_node", "_least._row")
+    stay = kept(ids.groupBy(F.coalesce("_group", "_node").alias("_group")).agg(F.min(first).alias("_first")).select("_first._node", "_first._row"), "representatives")
+    # joined and grouped by the same columns, so that the texts are shuffled once
+    return rows.join(stay, ["_node", "_row"]).groupBy("_node", "_row").agg(F.first(F.struct(*COLUMNS)).alias("_text")).select("_text.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

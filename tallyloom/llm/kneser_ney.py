@@ -290,13 +290,15 @@ def perplexities(docs: DataFrame, models: dict[str, DataFrame], id_col: str = "d
             mean[places] = (sums[at[1:]] - sums[at[:-1] + ORDER - 1]) / size
         return pa.table([part.column("doc_id"), part.column("lang"), pa.array(n), pa.array(10.0**-mean), part.column("row_key")], names=["doc_id", "lang", "n_symbols", "perplexity", "row_key"])
 
-    # looked up when this is called: the models aren't read later
+    # looked up and scored when this is called: models and answers aren't read later
     asked = kept(blocked.groupBy("block").applyInArrow(ask, "block long, lang string, gram long"), "kn-asked")
     logs = gram_logs(asked.select("lang", "gram").distinct(), models)
     back = kept(asked.join(logs, ["lang", "gram"]).select("block", "lang", "gram", "value"), "kn-answers")
     let_go(asked)
     let_go(logs)
-    return blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, lang string, n_symbols long, perplexity double, row_key long")
+    scores = kept(blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, lang string, n_symbols long, perplexity double, row_key long"), "kn-scores")
+    let_go(back)
+    return scores
 
 
 def with_thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE, least: int = LEAST_TRUSTED) -> DataFrame:
@@ -325,4 +327,4 @@ def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANT
     scores = perplexities(docs, models)
     for model in models.values():
         let_go(model)
-    return with_thresholds(kept(scores, "kn-scores"), labels, quantile)
+    return with_thresholds(scores, labels, quantile)

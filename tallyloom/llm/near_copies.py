@@ -303,9 +303,9 @@ def in_passes(masks: np.ndarray, texts: int, found: Callable[[np.ndarray, int],
 
 
 def shingle_sets(nodes: DataFrame, named: DataFrame) -> DataFrame:
-    """(node, shingles) of the named nodes."""
-    found = with_shingles(nodes.join(named.select("node").distinct(), "node", "left_semi"))
-    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    """(node, shingles) of the named nodes; grouped by what they are joined by, so that texts are shuffled once and sets aren't."""
+    found = nodes.join(named.select("node").distinct(), "node", "left_semi")
+    return with_shingles(found.groupBy("node").agg(F.first("text").alias("text")))
 
 
 def sides(sets: DataFrame) -> int:

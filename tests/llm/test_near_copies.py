@@ -169,3 +169,18 @@ def test_tables_are_taken_in_shares(spark):
     groups = near_copy_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert len(groups) == 8 and len({r.group for r in groups}) == 4
     assert not [x for x in set(os.listdir(folder)) - before if x.startswith("near-shards")]
+
+
+def test_texts_are_shuffled_once(spark):
+    """Of the exchanges before the result one bears texts; equal rows, null ids and rows of equal id and other columns stay one."""
+    rows = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "de", "s", 11), (None, "x", "en", "s", 1), (None, "x", "en", "s", 1), (2, "y", None, "s", 1)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = p.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "")
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        got = done.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # the documents, and the rows that stay
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "x"), (1, "a b c d e f"), (2, "y")]
